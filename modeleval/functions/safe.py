@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 INT_MAX = 2147483647
 INT_MIN = -2147483648
 
-# Exact integer sums of scaled weights: 10^12 rows of weight 10^8 overflow BIGINT.
+# Aggregate sums of scaled weights are exact (10^12 rows of weight 10^8 overflow
+# BIGINT); per-row running weights are DOUBLE like the original's, exact below 2^53.
 WEIGHT_SUM_TYPE = "decimal(38,0)"
 
 
@@ -49,5 +50,10 @@ def bucket_of(metric: Column, buckets: int) -> Column:
 
 
 def weight_sum(c: Column) -> Column:
-    """Sum of a scaled integer weight without overflow."""
+    """Exact sum of a scaled integer weight (no overflow), as DECIMAL(38,0)."""
     return F.sum(c.cast(WEIGHT_SUM_TYPE))
+
+
+def running_weight(c: Column) -> Column:
+    """A per-row running weight value: DOUBLE."""
+    return c.cast("double")

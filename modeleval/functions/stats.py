@@ -43,4 +43,4 @@ RATE_PATTERN = "#.########"
 
 def format_rate(c: Column) -> Column:
     """A rate as text with up to eight decimals and no trailing zeros."""
-    return F.format_number(c, RATE_PATTERN)
+    return F.call_function("format_number", c, F.lit(RATE_PATTERN))

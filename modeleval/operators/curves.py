@@ -38,7 +38,7 @@ def is_top() -> Column:
 
 
 def metric_changes(metric: str, buckets: int) -> Column:
-    now = row_rates()[metric]
+    now = F.col(metric)
     above = row_rates(at_next=True)[metric]
     return bucket_of(now, buckets) != bucket_of(above, buckets)
 

@@ -43,33 +43,32 @@ def _pct(name: str) -> "F.Column":
     return c if name == "score" else c * F.lit(100.0)
 
 
-def _panel(points: DataFrame, chart: str, panel: int, curve: str, keys: tuple[str, ...]) -> DataFrame:
-    src = points.filter(F.col("curve") == F.lit(curve))
-    vals = [_pct(k) for k in keys[:-1]]
-    while len(vals) < 6:
-        vals.append(F.lit(None).cast("double"))
-    return src.select(
-        F.lit(chart).alias("chart"), F.lit(panel).alias("panel"), "series", "seq",
-        *[v.alias(n) for v, n in zip(vals, PANEL_COLS[4:10])],
-        F.col(keys[-1]).cast("double").alias("score"),
-    )
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _panels(points: DataFrame, chart: str, table: tuple) -> DataFrame:
+    """All panels of a chart in one pass: each point row fans out to the panels
+    drawn from its curve (``explode`` of the matching panel structs)."""
+    names = PANEL_COLS[4:10]
+    choices = []
+    for panel, curve, keys in table:
+        vals = [_pct(k) for k in keys[:-1]]
+        while len(vals) < len(names):
+            vals.append(F.lit(None).cast("double"))
+        row = F.struct(F.lit(panel).alias("panel"), *[v.alias(n) for v, n in zip(vals, names)],
+                       F.col(keys[-1]).cast("double").alias("score"))
+        choices.append(F.when(F.col("curve") == F.lit(curve), row))
+    fanned = points.select("series", "seq",
+                           F.explode(F.array_compact(F.array(*choices))).alias("_p"))
+    return fanned.select(F.lit(chart).alias("chart"), "_p.panel", "series", "seq",
+                         *[f"_p.{n}" for n in names], "_p.score")
 
 
 def gain_panels(points: DataFrame) -> DataFrame:
     """Gain chart panels 0-5 from a points table holding the needed curves."""
-    return _union([_panel(points, "gain", p, c, k) for p, c, k in GAIN_PANELS])
+    return _panels(points, "gain", GAIN_PANELS)
 
 
 def pr_roc_panels(points: DataFrame) -> DataFrame:
     """Precision-recall (0-3) and ROC (4-7) panels."""
-    return _union([_panel(points, "pr_roc", p, c, k) for p, c, k in PR_ROC_PANELS])
+    return _panels(points, "pr_roc", PR_ROC_PANELS)
 
 
 def score_histogram(long_or_perf: DataFrame) -> DataFrame:

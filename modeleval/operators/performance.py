@@ -33,27 +33,32 @@ PERF_COLS = ("series", "score", "current_record", *COUNT_COLS, *WEIGHT_COLS, *RA
 
 def confusion(cr: Column, ct: Column, total: Column, pos: Column) -> dict[str, Column]:
     """tp, tn, fn, fp from exclusive sums (unit-wise or weighted alike)."""
-    neg = total - pos
     tn = cr - ct
-    return {"tp": pos - ct, "tn": tn, "fn": ct, "fp": neg - tn}
+    return {"tp": pos - ct, "tn": tn, "fn": ct, "fp": (total - pos) - tn}
 
 
 def rates_from_sums(cr: Column, ct: Column, cw: Column, cwt: Column,
                     n: Column, p: Column, w: Column, wp: Column) -> dict[str, Column]:
-    """Every count and rate of a row, as expressions of its exclusive sums."""
+    """Every count and rate of a row, as expressions of its exclusive sums.
+
+    Denominators use the integer identities tp + fp = n - cr, tp + fn = P and
+    fp + tn = N, so the expressions stay small and the values are those of the
+    textbook formulas.
+    """
     c = confusion(cr, ct, n, p)
     wc = confusion(cw, cwt, w, wp)
+    above, w_above = n - cr, w - cw
     return {
         "tp": c["tp"], "tn": c["tn"], "fn": c["fn"], "fp": c["fp"],
         "weight_tp": wc["tp"], "weight_tn": wc["tn"], "weight_fn": wc["fn"], "weight_fp": wc["fp"],
-        "action_rate": ratio(c["tp"] + c["fp"], n),
-        "weight_action_rate": ratio(wc["tp"] + wc["fp"], w),
-        "recall": ratio(c["tp"], c["tp"] + c["fn"]),
-        "weight_recall": ratio(wc["tp"], wc["tp"] + wc["fn"]),
-        "precision": ratio_or_one(c["tp"], c["tp"] + c["fp"]),
-        "weight_precision": ratio_or_one(wc["tp"], wc["tp"] + wc["fp"]),
-        "fpr": ratio(c["fp"], c["fp"] + c["tn"]),
-        "weight_fpr": ratio(wc["fp"], wc["fp"] + wc["tn"]),
+        "action_rate": ratio(above, n),
+        "weight_action_rate": ratio(w_above, w),
+        "recall": ratio(c["tp"], p),
+        "weight_recall": ratio(wc["tp"], wp),
+        "precision": ratio_or_one(c["tp"], above),
+        "weight_precision": ratio_or_one(wc["tp"], w_above),
+        "fpr": ratio(c["fp"], n - p),
+        "weight_fpr": ratio(wc["fp"], w - wp),
     }
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modeleval.functions.safe import WEIGHT_SUM_TYPE, weight_sum
+from modeleval.functions.safe import running_weight, weight_sum
 from modeleval.session import scratch_path
 
 # Offsets are broadcast only while (partitions x series) stays under this bound.
@@ -66,16 +66,16 @@ def prefix_window(long: DataFrame, keys: Sequence[str]) -> DataFrame:
         "*",
         (F.row_number().over(w) - 1).cast("bigint").alias("cum_records"),
         F.coalesce(F.sum("tag").over(before), zero).cast("bigint").alias("cum_tag"),
-        F.coalesce(weight_sum(F.col("weight")).over(before), zero)
-        .cast(WEIGHT_SUM_TYPE).alias("cum_weight"),
-        F.coalesce(weight_sum(F.col("weight_tag")).over(before), zero)
-        .cast(WEIGHT_SUM_TYPE).alias("cum_weight_tag"),
+        running_weight(F.coalesce(F.sum(running_weight(F.col("weight"))).over(before), zero))
+        .alias("cum_weight"),
+        running_weight(F.coalesce(F.sum(running_weight(F.col("weight_tag"))).over(before), zero))
+        .alias("cum_weight_tag"),
         F.lag("score").over(w).alias("prev_score"),
         F.lead("score").over(w).alias("next_score"),
         F.count(F.lit(1)).over(whole).alias("total_records"),
         F.sum("tag").over(whole).cast("bigint").alias("total_pos"),
-        weight_sum(F.col("weight")).over(whole).alias("total_weight"),
-        weight_sum(F.col("weight_tag")).over(whole).alias("total_weight_pos"),
+        running_weight(weight_sum(F.col("weight")).over(whole)).alias("total_weight"),
+        running_weight(weight_sum(F.col("weight_tag")).over(whole)).alias("total_weight_pos"),
     )
     return out.select(*_out_columns(keys))
 
@@ -199,29 +199,27 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
         "_pid", "series",
         F.coalesce(F.sum("seg_records").over(before), zero).cast("bigint").alias("off_records"),
         F.coalesce(F.sum("seg_tag").over(before), zero).cast("bigint").alias("off_tag"),
-        F.coalesce(F.sum("seg_weight").over(before), zero).cast(WEIGHT_SUM_TYPE).alias("off_weight"),
-        F.coalesce(F.sum("seg_weight_tag").over(before), zero)
-        .cast(WEIGHT_SUM_TYPE).alias("off_weight_tag"),
+        running_weight(F.coalesce(F.sum("seg_weight").over(before), zero)).alias("off_weight"),
+        running_weight(F.coalesce(F.sum("seg_weight_tag").over(before), zero))
+        .alias("off_weight_tag"),
         F.lag("seg_last").over(w).alias("prev_run_last"),
         F.lead("seg_first").over(w).alias("next_run_first"),
         F.sum("seg_records").over(whole).cast("bigint").alias("total_records"),
         F.sum("seg_tag").over(whole).cast("bigint").alias("total_pos"),
-        F.sum("seg_weight").over(whole).cast(WEIGHT_SUM_TYPE).alias("total_weight"),
-        F.sum("seg_weight_tag").over(whole).cast(WEIGHT_SUM_TYPE).alias("total_weight_pos"),
+        running_weight(F.sum("seg_weight").over(whole)).alias("total_weight"),
+        running_weight(F.sum("seg_weight_tag").over(whole)).alias("total_weight_pos"),
     )
     # Offsets have one row per (partition, series): at most P x S, known here.
     bound = p * (series_count if series_count else 1)
     if series_count and bound <= MAX_BROADCAST_OFFSET_ROWS:
         offsets = F.broadcast(offsets)
     joined = table.join(offsets, ["_pid", "series"])
-    dec = WEIGHT_SUM_TYPE
     out = joined.select(
         "series", "score", *keys, "tag", "weight", "weight_tag",
         (F.col("off_records") + F.col("loc_records")).alias("cum_records"),
         (F.col("off_tag") + F.col("loc_tag")).alias("cum_tag"),
-        (F.col("off_weight") + F.col("loc_weight").cast(dec)).cast(dec).alias("cum_weight"),
-        (F.col("off_weight_tag") + F.col("loc_weight_tag").cast(dec)).cast(dec)
-        .alias("cum_weight_tag"),
+        (F.col("off_weight") + running_weight(F.col("loc_weight"))).alias("cum_weight"),
+        (F.col("off_weight_tag") + running_weight(F.col("loc_weight_tag"))).alias("cum_weight_tag"),
         F.coalesce("prev_score", "prev_run_last").alias("prev_score"),
         F.coalesce("next_score", "next_run_first").alias("next_score"),
         *TOTAL_COLS,

@@ -23,27 +23,31 @@ from pyspark.sql.types import BooleanType
 from modeleval.sources.text import skip_header, split_fields
 
 
-def parse_condition(condition: str | None, on_invalid: str = "error") -> Column | None:
-    """The condition as a Column, or None when every row should pass."""
+def parse_condition(df: DataFrame, condition: str | None, on_invalid: str = "error") -> Column | None:
+    """The condition as a boolean Column over ``df``, or None when every row should pass.
+
+    Parsing happens when the plan is analysed, so the check runs against ``df``:
+    a syntax error keeps every row (``on_invalid='keep'``) or raises; an unknown
+    column or a non-boolean result always raises.
+    """
     if condition is None or not condition.strip():
         return None
+    cond = F.expr(condition)
     try:
-        return F.expr(condition)
+        dtype = df.select(cond.alias("_keep")).schema["_keep"].dataType
     except ParseException:
         if on_invalid == "keep":
             return None
         raise
+    if not isinstance(dtype, BooleanType):
+        raise ValueError(f"filter condition is not boolean: {condition!r}")
+    return cond
 
 
 def purify(df: DataFrame, condition: str | None, on_invalid: str = "error") -> DataFrame:
     """Keep the rows for which ``condition`` is true (false and NULL drop the row)."""
-    cond = parse_condition(condition, on_invalid)
-    if cond is None:
-        return df
-    dtype = df.select(cond.alias("_keep")).schema["_keep"].dataType
-    if not isinstance(dtype, BooleanType):
-        raise ValueError(f"filter condition is not boolean: {condition!r}")
-    return df.filter(cond)
+    cond = parse_condition(df, condition, on_invalid)
+    return df if cond is None else df.filter(cond)
 
 
 def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
@@ -54,12 +58,14 @@ def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
     As in the original job, a set condition also drops header lines; with no
     condition the input passes through untouched.
     """
-    cond = parse_condition(condition, on_invalid)
-    if cond is None:
+    if condition is None or not condition.strip():
         return lines
     body = skip_header(lines, headers, delimiter) if has_header else lines
     parsed = split_fields(body, headers, delimiter, on_short_row=on_short_row, keep_line=True)
-    return purify(parsed, condition, on_invalid).select("value")
+    cond = parse_condition(parsed, condition, on_invalid)
+    if cond is None:
+        return lines
+    return parsed.filter(cond).select("value")
 
 
 def purifier(condition: str | None, on_invalid: str = "error") -> Callable[[DataFrame], DataFrame]:

@@ -19,8 +19,10 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from modeleval.functions.stats import score_avg, score_max, score_median, score_min
 from modeleval.functions.tags import trim_tag
@@ -91,22 +93,17 @@ class PandasScorer:
     load: Callable[[], Any] = field(default=lambda: None)
 
     def apply(self, df: DataFrame, out: str) -> DataFrame:
-        import pandas as pd
-        from pyspark.sql.functions import pandas_udf
-
         names = list(self.inputs)
         load, predict = self.load, self.predict
 
         @pandas_udf("double")
-        def _score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             model = load()
-            for cols in batches:
-                if isinstance(cols, pd.Series):
-                    cols = (cols,)
-                frame = pd.DataFrame({n: c for n, c in zip(names, cols)})
+            for frame in batches:
+                frame.columns = names
                 yield pd.Series(predict(model, frame), dtype="float64").reset_index(drop=True)
 
-        return df.withColumn(out, _score(*[F.col(c) for c in names]))
+        return df.withColumn(out, _score(F.struct(*[F.col(c) for c in names])))
 
 
 @dataclass(frozen=True)
