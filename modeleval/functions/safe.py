@@ -35,13 +35,12 @@ def ratio_or_one(num: Column, den: Column) -> Column:
 
 
 def to_int(x: Column) -> Column:
-    """Scala ``Double.toInt``: truncate toward zero, NaN -> 0, clamp to int range."""
-    return (
-        F.when(F.isnan(x), F.lit(0))
-        .when(x >= F.lit(float(INT_MAX)), F.lit(INT_MAX))
-        .when(x <= F.lit(float(INT_MIN)), F.lit(INT_MIN))
-        .otherwise(x.cast("int"))
-    )
+    """Scala ``Double.toInt``: truncate toward zero, NaN -> 0, clamp to int range.
+
+    ``x`` appears once, so a large rate expression is not copied into the plan.
+    """
+    clamped = F.least(F.greatest(F.nanvl(x, F.lit(0.0)), F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
+    return clamped.cast("int")
 
 
 def bucket_of(metric: Column, buckets: int) -> Column:

@@ -66,11 +66,16 @@ def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
     counts and rates.
     """
     names = list(names or CURVE_METRICS)
-    flags = [F.when(point_keep(CURVE_METRICS[c], buckets), F.lit(c)) for c in names]
-    kept = perf.select(*_point_cols(keys),
-                       F.array_compact(F.array(*flags)).alias("_curves"))
-    kept = kept.filter(F.size("_curves") > 0)
-    points = kept.select(F.explode("_curves").alias("curve"), *_point_cols(keys))
+    keeps = {c: point_keep(CURVE_METRICS[c], buckets) for c in names}
+    any_keep = None
+    for k in keeps.values():
+        any_keep = k if any_keep is None else any_keep | k
+    # A plain boolean filter (codegen) first; only the few kept rows build the
+    # list of curves they belong to.
+    kept = perf.filter(any_keep)
+    flags = [F.when(keeps[c], F.lit(c)) for c in names]
+    tagged = kept.select(*_point_cols(keys), F.array_compact(F.array(*flags)).alias("_curves"))
+    points = tagged.select(F.explode("_curves").alias("curve"), *_point_cols(keys))
     points = _number_desc(points, keys)
     return points.select("series", "curve", "seq", *_point_cols(keys)[1:])
 

@@ -20,7 +20,7 @@ from modeleval.operators.performance import performance_from_long, perf_view
 from modeleval.operators.purify import purify
 from modeleval.operators.scoring import score_multiclass
 from modeleval.operators.series import series_sources, series_unpivot
-from modeleval.session import scratch_path
+from modeleval.session import materialize, scratch_path
 from modeleval.sources import sinks
 from modeleval.spec import EvalSpec
 
@@ -40,7 +40,9 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None) ->
         result["scores"] = scored_output(scored)
     long = series_unpivot(scored, spec)
     perf = performance_from_long(long, spec, series_count=len(series_sources(spec)))
-    points = all_points(perf, spec.buckets, spec.row_key)
+    # Points are small (about B + 1 per curve and series); written once, they
+    # feed the panels and the CSV without recomputing the curve filters.
+    points = materialize(all_points(perf, spec.buckets, spec.row_key), "points")
     result.update(
         perf=perf_view(thin_perf(perf, spec.buckets, spec.row_key, spec.thin), spec.row_key),
         points=points,

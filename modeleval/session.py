@@ -59,3 +59,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "modeleval", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, label: str):
+    """Write ``df`` once under the shared checkpoint root and read it back.
+
+    Cuts the lineage: later readers share the written rows instead of
+    recomputing them, and a lost executor costs a re-read, not a recompute.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
