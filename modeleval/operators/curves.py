@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modeleval.functions.safe import bucket_of, to_int
-from modeleval.operators.performance import COUNT_COLS, RATE_COLS, WEIGHT_COLS, row_rates
+from modeleval.operators.performance import (
+    COUNT_COLS, RATE_COLS, WEIGHT_COLS, row_rate_parts, row_rates,
+)
 
 # Curve names and the perf metric each one is thinned on.
 CURVE_METRICS = {
@@ -30,6 +32,9 @@ CURVE_METRICS = {
     "roc": "fpr",
 }
 SCORE_CURVE = "score"
+# Rates whose denominator is the same for a row and the row above it.
+SHARED_DENOMINATOR = ("action_rate", "weight_action_rate", "recall", "weight_recall",
+                      "fpr", "weight_fpr")
 
 
 def is_top() -> Column:
@@ -38,9 +43,27 @@ def is_top() -> Column:
 
 
 def metric_changes(metric: str, buckets: int) -> Column:
-    now = F.col(metric)
-    above = row_rates(at_next=True)[metric]
-    return bucket_of(now, buckets) != bucket_of(above, buckets)
+    """Does ``trunc(metric * B)`` differ between this row and the row above?
+
+    Where both rows share the denominator, a zero one makes both NaN (bucket 0,
+    no change), so the test is ``den != 0 and the buckets of num/den differ``.
+    Unit-wise precision below the top row has non-zero denominators on both
+    rows (records at or above a row), so it needs no guard either; the top
+    row is always kept by the caller. The quotients are the same doubles as
+    the rate columns.
+    """
+    b = F.lit(float(buckets))
+    num, den, _ = row_rate_parts()[metric]
+    num_up, den_up, _ = row_rate_parts(at_next=True)[metric]
+    if metric in SHARED_DENOMINATOR:
+        now = to_int((num.cast("double") / den.cast("double")) * b)
+        up = to_int((num_up.cast("double") / den.cast("double")) * b)
+        return (den != 0) & (now != up)
+    if metric == "precision":
+        now = to_int((num.cast("double") / den.cast("double")) * b)
+        up = to_int((num_up.cast("double") / den_up.cast("double")) * b)
+        return ~is_top() & (now != up)
+    return bucket_of(F.col(metric), buckets) != bucket_of(row_rates(at_next=True)[metric], buckets)
 
 
 def point_keep(metric: str, buckets: int) -> Column:

@@ -14,6 +14,7 @@ and the same with weights. ``current_record`` is the 1-based rank.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from modeleval.functions.safe import ratio, ratio_or_one
 from modeleval.operators.prefix import prefix_sums
 from modeleval.operators.series import series_unpivot
+from modeleval.session import materialize
 from modeleval.spec import EvalSpec
 
 COUNT_COLS = ("tp", "tn", "fn", "fp")
@@ -37,9 +39,10 @@ def confusion(cr: Column, ct: Column, total: Column, pos: Column) -> dict[str, C
     return {"tp": pos - ct, "tn": tn, "fn": ct, "fp": (total - pos) - tn}
 
 
-def rates_from_sums(cr: Column, ct: Column, cw: Column, cwt: Column,
-                    n: Column, p: Column, w: Column, wp: Column) -> dict[str, Column]:
-    """Every count and rate of a row, as expressions of its exclusive sums.
+# Each rate as (numerator, denominator, value on a zero denominator).
+def rate_parts(cr: Column, ct: Column, cw: Column, cwt: Column,
+               n: Column, p: Column, w: Column, wp: Column) -> dict[str, tuple[Column, Column, float]]:
+    """Numerator and denominator of every rate, from a row's exclusive sums.
 
     Denominators use the integer identities tp + fp = n - cr, tp + fn = P and
     fp + tn = N, so the expressions stay small and the values are those of the
@@ -47,19 +50,31 @@ def rates_from_sums(cr: Column, ct: Column, cw: Column, cwt: Column,
     """
     c = confusion(cr, ct, n, p)
     wc = confusion(cw, cwt, w, wp)
-    above, w_above = n - cr, w - cw
+    nan = float("nan")
     return {
+        "action_rate": (n - cr, n, nan),
+        "weight_action_rate": (w - cw, w, nan),
+        "recall": (c["tp"], p, nan),
+        "weight_recall": (wc["tp"], wp, nan),
+        "precision": (c["tp"], n - cr, 1.0),
+        "weight_precision": (wc["tp"], w - cw, 1.0),
+        "fpr": (c["fp"], n - p, nan),
+        "weight_fpr": (wc["fp"], w - wp, nan),
+    }
+
+
+def rates_from_sums(cr: Column, ct: Column, cw: Column, cwt: Column,
+                    n: Column, p: Column, w: Column, wp: Column) -> dict[str, Column]:
+    """Every count and rate of a row, as expressions of its exclusive sums."""
+    c = confusion(cr, ct, n, p)
+    wc = confusion(cw, cwt, w, wp)
+    out: dict[str, Column] = {
         "tp": c["tp"], "tn": c["tn"], "fn": c["fn"], "fp": c["fp"],
         "weight_tp": wc["tp"], "weight_tn": wc["tn"], "weight_fn": wc["fn"], "weight_fp": wc["fp"],
-        "action_rate": ratio(above, n),
-        "weight_action_rate": ratio(w_above, w),
-        "recall": ratio(c["tp"], p),
-        "weight_recall": ratio(wc["tp"], wp),
-        "precision": ratio_or_one(c["tp"], above),
-        "weight_precision": ratio_or_one(wc["tp"], w_above),
-        "fpr": ratio(c["fp"], n - p),
-        "weight_fpr": ratio(wc["fp"], w - wp),
     }
+    for name, (num, den, empty) in rate_parts(cr, ct, cw, cwt, n, p, w, wp).items():
+        out[name] = ratio(num, den) if math.isnan(empty) else ratio_or_one(num, den)
+    return out
 
 
 def _totals() -> tuple[Column, Column, Column, Column]:
@@ -67,18 +82,27 @@ def _totals() -> tuple[Column, Column, Column, Column]:
             F.col("total_weight"), F.col("total_weight_pos"))
 
 
+def _row_sums(at_next: bool) -> tuple[Column, Column, Column, Column]:
+    cr, ct = F.col("cum_records"), F.col("cum_tag")
+    cw, cwt = F.col("cum_weight"), F.col("cum_weight_tag")
+    if at_next:
+        cr, ct = cr + F.lit(1), ct + F.col("tag")
+        cw, cwt = cw + F.col("weight"), cwt + F.col("weight_tag")
+    return cr, ct, cw, cwt
+
+
 def row_rates(at_next: bool = False) -> dict[str, Column]:
     """Rates of this row, or (``at_next``) of the next-higher row of the series.
 
     The next row's exclusive sums are this row's sums plus its own values, so
     the successor's rates need no window at all.
     """
-    cr, ct = F.col("cum_records"), F.col("cum_tag")
-    cw, cwt = F.col("cum_weight"), F.col("cum_weight_tag")
-    if at_next:
-        cr, ct = cr + F.lit(1), ct + F.col("tag")
-        cw, cwt = cw + F.col("weight"), cwt + F.col("weight_tag")
-    return rates_from_sums(cr, ct, cw, cwt, *_totals())
+    return rates_from_sums(*_row_sums(at_next), *_totals())
+
+
+def row_rate_parts(at_next: bool = False) -> dict[str, tuple[Column, Column, float]]:
+    """Numerators and denominators of this row's (or the next row's) rates."""
+    return rate_parts(*_row_sums(at_next), *_totals())
 
 
 def add_rates(sums: DataFrame, keys: Sequence[str] = (), keep_inputs: bool = True) -> DataFrame:
@@ -98,11 +122,20 @@ def add_rates(sums: DataFrame, keys: Sequence[str] = (), keep_inputs: bool = Tru
 
 
 def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | None = None,
-                          method: str | None = None) -> DataFrame:
-    """Perf rows (with the inputs the curves need) for a long series table."""
+                          method: str | None = None, written: bool = True) -> DataFrame:
+    """Perf rows (with the inputs the curves need) for a long series table.
+
+    ``written=True`` (default) writes the rows once under the shared checkpoint
+    folder and returns the table read back: every later reader (perf output,
+    curves, thinning) is then a plain scan instead of a re-run of the offset
+    join, and the wide curve filters run in their own small stage instead of
+    being fused into the join (where the generated code grows too large to be
+    compiled to native code).
+    """
     sums = prefix_sums(long, spec.row_key, method=method or spec.prefix_method,
                        partitions=spec.prefix_partitions, series_count=series_count)
-    return add_rates(sums, spec.row_key)
+    perf = add_rates(sums, spec.row_key)
+    return materialize(perf, "perf") if written else perf
 
 
 def performance(scored: DataFrame, spec: EvalSpec, method: str | None = None) -> DataFrame:

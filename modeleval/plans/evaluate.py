@@ -39,7 +39,7 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None) ->
         scored = df.sparkSession.read.parquet(path)
         result["scores"] = scored_output(scored)
     long = series_unpivot(scored, spec)
-    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)))
+    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=True)
     # Points are small (about B + 1 per curve and series); written once, they
     # feed the panels and the CSV without recomputing the curve filters.
     points = materialize(all_points(perf, spec.buckets, spec.row_key), "points")

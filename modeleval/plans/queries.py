@@ -49,9 +49,17 @@ def li_long(spark: SparkSession, sf: str) -> DataFrame:
     return series_unpivot(li_scored(spark, sf), K.LI)
 
 
-def li_perf(spark: SparkSession, sf: str, method: str | None = None) -> DataFrame:
+def li_perf(spark: SparkSession, sf: str, method: str | None = None,
+            written: bool = True) -> DataFrame:
+    """Perf rows of eval set LI; written once unless only row-level columns are read."""
     return performance_from_long(li_long(spark, sf), K.LI,
-                                 series_count=len(series_sources(K.LI)), method=method)
+                                 series_count=len(series_sources(K.LI)), method=method,
+                                 written=written)
+
+
+def li_perf_rows(spark: SparkSession, sf: str, method: str | None = None) -> DataFrame:
+    """Perf rows for queries that only project columns (no curve filters on top)."""
+    return li_perf(spark, sf, method=method, written=False)
 
 
 def li_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +68,7 @@ def li_points(spark: SparkSession, sf: str) -> DataFrame:
 
 def _perf_of(df: DataFrame, spec) -> DataFrame:
     long = series_unpivot(score(df, spec), spec)
-    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)))
+    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=False)
     return perf_view(perf, spec.row_key)
 
 
@@ -108,7 +116,7 @@ def q_save_scores(spark, sf):
 
 
 def q_save_perf(spark, sf):
-    path = sinks.save_perf(perf_view(li_perf(spark, sf), KEY), scratch_path(spark, "perf"))
+    path = sinks.save_perf(perf_view(li_perf_rows(spark, sf), KEY), scratch_path(spark, "perf"))
     return spark.read.parquet(path)
 
 
@@ -267,31 +275,31 @@ def q_prefix_sums_distributed(spark, sf):
 
 
 def q_record_rank(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, "current_record")
+    return li_perf_rows(spark, sf).select("series", *KEY, "current_record")
 
 
 def q_confusion_counts(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, *COUNT_COLS)
+    return li_perf_rows(spark, sf).select("series", *KEY, *COUNT_COLS)
 
 
 def q_weighted_confusion(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, *WEIGHT_COLS)
+    return li_perf_rows(spark, sf).select("series", *KEY, *WEIGHT_COLS)
 
 
 def q_action_rate(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, "action_rate", "weight_action_rate")
+    return li_perf_rows(spark, sf).select("series", *KEY, "action_rate", "weight_action_rate")
 
 
 def q_recall(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, "recall", "weight_recall")
+    return li_perf_rows(spark, sf).select("series", *KEY, "recall", "weight_recall")
 
 
 def q_precision(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, "precision", "weight_precision")
+    return li_perf_rows(spark, sf).select("series", *KEY, "precision", "weight_precision")
 
 
 def q_fpr(spark, sf):
-    return li_perf(spark, sf).select("series", *KEY, "fpr", "weight_fpr")
+    return li_perf_rows(spark, sf).select("series", *KEY, "fpr", "weight_fpr")
 
 
 def q_perf_single(spark, sf):
@@ -300,11 +308,11 @@ def q_perf_single(spark, sf):
 
 
 def q_perf_all(spark, sf):
-    return perf_view(li_perf(spark, sf), KEY)
+    return perf_view(li_perf_rows(spark, sf), KEY)
 
 
 def q_perf_window(spark, sf):
-    return perf_view(li_perf(spark, sf, method="window"), KEY)
+    return perf_view(li_perf_rows(spark, sf, method="window"), KEY)
 
 
 def q_thin_any_metric(spark, sf):
