@@ -134,8 +134,10 @@ def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | N
     """
     sums = prefix_sums(long, spec.row_key, method=method or spec.prefix_method,
                        partitions=spec.prefix_partitions, series_count=series_count)
-    perf = add_rates(sums, spec.row_key)
-    return materialize(perf, "perf") if written else perf
+    if written:
+        # Only the sums are stored; counts and rates are cheap expressions of them.
+        sums = materialize(sums, "sums")
+    return add_rates(sums, spec.row_key)
 
 
 def performance(scored: DataFrame, spec: EvalSpec, method: str | None = None) -> DataFrame:

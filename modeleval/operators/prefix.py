@@ -175,7 +175,7 @@ def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | Non
     schema = T.StructType(list(staged.schema.fields) + extra)
     local = staged.mapInArrow(_local_sums, schema)
     path = scratch_path(spark, "prefix")
-    local.write.parquet(path)
+    local.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -68,5 +68,5 @@ def materialize(df, label: str):
     recomputing them, and a lost executor costs a re-read, not a recompute.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

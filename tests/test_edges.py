@@ -149,3 +149,12 @@ def test_bad_spec():
         spec(pos_tags=("R",), neg_tags=("R",))
     with pytest.raises(ValueError):
         spec(prefix_method="global")
+
+
+def test_median_with_missing_scores(spark):
+    s = spec(scorers=("score", "nullif(score, 4.0)", "score + 1"))
+    df = spark.createDataFrame([(1, 4.0, "R", 2.0), (2, 1.0, "N", 3.0)], SCHEMA)
+    r = {x["row_id"]: x for x in score(df, s).collect()}
+    assert r[1]["score_median"] == 4.5 and r[1]["score_avg"] == 4.5
+    assert r[1]["score_max"] == 5.0 and r[1]["score_min"] == 4.0
+    assert r[2]["score_median"] == 1.0
