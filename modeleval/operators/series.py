@@ -66,6 +66,17 @@ def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True)
     return missing_score_policy(long, spec.on_missing_score) if apply_policy else long
 
 
+def prune_for_series(long: DataFrame) -> DataFrame:
+    """The columns a series needs before its sort (Catalyst prunes the rest anyway)."""
+    return long.select("series", "score", *LONG_VALUES)
+
+
+def as_doubles(long: DataFrame, keys: list[str]) -> DataFrame:
+    """The series table with tag and weights as DOUBLE, the original's value type."""
+    return long.select("series", "score", *keys,
+                       *[F.col(c).cast("double").alias(c) for c in LONG_VALUES])
+
+
 def missing_scores(long: DataFrame) -> DataFrame:
     """Per series: how many rows have no score."""
     return long.groupBy("series").agg(

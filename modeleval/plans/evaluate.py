@@ -30,9 +30,14 @@ def score(df: DataFrame, spec: EvalSpec) -> DataFrame:
     return score_rows(purify(df, spec.condition, spec.on_invalid), spec)
 
 
-def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None) -> dict[str, DataFrame]:
+def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
+                    reports: bool = True) -> dict[str, DataFrame]:
     scored = score(df, spec)
     result = {"counters": run_counters(scored), "scores": scored_output(scored)}
+    if not reports:
+        if output is not None:
+            sinks.save_scores(scored, f"{output}/scores")
+        return result
     if output is not None:
         # The saved score table is the input of the reports: read back, not recomputed.
         path = sinks.save_scores(scored, f"{output}/scores")
@@ -63,11 +68,16 @@ def evaluate_multiclass(df: DataFrame, spec: EvalSpec, output: str | None = None
     return {"scores": scores, "counters": scores.agg(F.count(F.lit(1)).alias("records"))}
 
 
-def evaluate(df: DataFrame, spec: EvalSpec, output: str | None = None) -> dict[str, DataFrame]:
-    """Run the evaluation; ``output`` (shared storage) also writes scores, perf and CSVs."""
+def evaluate(df: DataFrame, spec: EvalSpec, output: str | None = None,
+             reports: bool = True) -> dict[str, DataFrame]:
+    """Run the evaluation; ``output`` (shared storage) also writes scores, perf and CSVs.
+
+    ``reports=False`` stops after scores and counters (the performance tables
+    write intermediate tables as soon as they are planned).
+    """
     if spec.multiclass:
         return evaluate_multiclass(df, spec, output)
-    return evaluate_binary(df, spec, output)
+    return evaluate_binary(df, spec, output, reports)
 
 
 def new_output(df: DataFrame, label: str = "eval") -> str:

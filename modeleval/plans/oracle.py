@@ -352,6 +352,9 @@ def oracle() -> dict[str, str]:
         "top_row": li_perf_sql(f"SELECT {pc} FROM perf WHERE next_score IS NULL"),
         "bottom_row": li_perf_sql(f"SELECT {pc} FROM perf WHERE prev_score IS NULL"),
         "series_unpivot": f"WITH {LI_LONG} SELECT * FROM li_long",
+        "prune_for_series": f"WITH {LI_LONG} SELECT series, score, tag, weight, weight_tag FROM li_long",
+        "to_double": (f"WITH {LI_LONG} SELECT series, score, {keys}, CAST(tag AS DOUBLE) AS tag, "
+                      "CAST(weight AS DOUBLE) AS weight, CAST(weight_tag AS DOUBLE) AS weight_tag FROM li_long"),
         "curve_score": li_perf_sql(",\n" + score_curve_cte(LI_KEYS) + "\nSELECT * FROM c_score"),
         "gain_panels": panels_sql("gain", GAIN_PANELS),
         "pr_roc_panels": panels_sql("pr_roc", PR_ROC_PANELS),

@@ -23,7 +23,8 @@ from modeleval.operators.prefix import local_sums_table, partition_totals, prefi
 from modeleval.operators.purify import purifier, purify_lines
 from modeleval.operators.scoring import score_models, score_multiclass
 from modeleval.operators.series import (
-    edge_rows, missing_scores, population_totals, score_range, series_sources, series_unpivot,
+    as_doubles, edge_rows, missing_scores, population_totals, prune_for_series, score_range,
+    series_sources, series_unpivot,
 )
 from modeleval.plans import catalog as K
 from modeleval.plans.evaluate import evaluate, score
@@ -229,7 +230,7 @@ def q_score_multiclass(spark, sf):
 
 def q_mode_dispatch(spark, sf):
     multi = evaluate(K.table(spark, sf, "orders"), K.OR)["counters"]
-    binary = evaluate(K.lineitem(spark, sf), K.LI)["counters"].select("records")
+    binary = evaluate(K.lineitem(spark, sf), K.LI, reports=False)["counters"].select("records")
     return (multi.select(F.lit("multiclass").alias("mode"), "records")
             .unionByName(binary.select(F.lit("binary").alias("mode"), "records")))
 
@@ -344,6 +345,16 @@ def q_series_unpivot(spark, sf):
     return li_long(spark, sf)
 
 
+def q_prune_for_series(spark, sf):
+    """Only what the sort needs: series, score, tag, weight and positive weight."""
+    return prune_for_series(li_long(spark, sf))
+
+
+def q_to_double(spark, sf):
+    """The series table with every value as DOUBLE (tag 1.0 / 0.0)."""
+    return as_doubles(li_long(spark, sf), KEY)
+
+
 def _curve_query(name: str) -> Query:
     def q(spark, sf):
         return C.curve(li_perf(spark, sf), name, K.LI.buckets, KEY)
@@ -444,6 +455,8 @@ def registry() -> dict[str, Query]:
         "top_row": q_top_row,
         "bottom_row": q_bottom_row,
         "series_unpivot": q_series_unpivot,
+        "prune_for_series": q_prune_for_series,
+        "to_double": q_to_double,
     }
     for name in C.CURVE_METRICS:
         q[f"curve_{name}"] = _curve_query(name)
