@@ -39,11 +39,11 @@ def single(fn):
     return run
 
 
+# evaluate_full covers the flagship curve points (the ``evaluate`` query) and more.
 HEADLINE = {
     "evaluate_full": q_evaluate_full,
     "perf_all_range": single(Q.q_perf_all),
     "perf_all_window": single(Q.q_perf_window),
-    "curves": single(Q.q_evaluate),
     "thin_any_metric": single(Q.q_thin_any_metric),
     "run_counters": single(Q.q_run_counters),
     "score_stats": single(Q.q_score_stats),
