@@ -132,8 +132,10 @@ def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | N
     being fused into the join (where the generated code grows too large to be
     compiled to native code).
     """
+    from modeleval.operators.series import series_sources
     sums = prefix_sums(long, spec.row_key, method=method or spec.prefix_method,
-                       partitions=spec.prefix_partitions, series_count=series_count)
+                       partitions=spec.prefix_partitions, series_count=series_count,
+                       series_names=[n for n, _ in series_sources(spec)])
     if written:
         # Only the sums are stored; counts and rates are cheap expressions of them.
         sums = materialize(sums, "sums")

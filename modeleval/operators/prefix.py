@@ -47,15 +47,33 @@ def _out_columns(keys: Sequence[str]) -> list[str]:
 
 
 def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
-                partitions: int | None = None, series_count: int | None = None) -> DataFrame:
-    """Running sums for the long ``series, score, key.., tag, weight, weight_tag`` table."""
+                partitions: int | None = None, series_count: int | None = None,
+                series_names: Sequence[str] | None = None) -> DataFrame:
+    """Running sums for the long ``series, score, key.., tag, weight, weight_tag`` table.
+
+    ``series_names`` (when known) lets the range plan shuffle and sort a small
+    integer id instead of the name.
+    """
     if method == "window":
         return prefix_window(long, keys)
     if method == "range":
-        return prefix_range(long, keys, partitions=partitions, series_count=series_count)
+        return prefix_range(long, keys, partitions=partitions, series_count=series_count,
+                            series_names=series_names)
     raise ValueError(f"unknown prefix method {method!r}")
 
 
+def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Replace the series name by its position in ``names`` (unknown names fail)."""
+    pairs = []
+    for i, n in enumerate(names):
+        pairs += [F.lit(n), F.lit(i)]
+    return long.withColumn("series", F.element_at(F.create_map(*pairs), F.col("series")))
+
+
+def decode_series(col: "F.Column", names: Sequence[str]) -> "F.Column":
+    return F.element_at(F.array(*[F.lit(n) for n in names]), col + F.lit(1))
+
+
 def prefix_window(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     order = [F.col("score"), *[F.col(k) for k in keys]]
     w = Window.partitionBy("series").orderBy(*order)
@@ -160,9 +178,15 @@ def _range_partitions(long: DataFrame, partitions: int | None) -> int:
     return int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Steps 1-3 of the range plan; returns the written table read back."""
+def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
+                     series_names: Sequence[str] | None = None) -> DataFrame:
+    """Steps 1-3 of the range plan; returns the written table read back.
+
+    With ``series_names`` the table holds the series as its integer position.
+    """
     spark = long.sparkSession
+    if series_names:
+        long = encode_series(long, series_names)
     p = _range_partitions(long, partitions)
     order = ["series", "score", *keys]
     staged = (long.repartitionByRange(p, *order)
@@ -180,9 +204,12 @@ def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | Non
 
 
 def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
-                 series_count: int | None = None) -> DataFrame:
+                 series_count: int | None = None,
+                 series_names: Sequence[str] | None = None) -> DataFrame:
     p = _range_partitions(long, partitions)
-    table = local_sums_table(long, keys, p)
+    if series_names:
+        series_count = len(series_names)
+    table = local_sums_table(long, keys, p, series_names=series_names)
     seg = table.groupBy("_pid", "series").agg(
         F.count(F.lit(1)).alias("seg_records"),
         F.sum("tag").cast("bigint").alias("seg_tag"),
@@ -214,8 +241,9 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
     if series_count and bound <= MAX_BROADCAST_OFFSET_ROWS:
         offsets = F.broadcast(offsets)
     joined = table.join(offsets, ["_pid", "series"])
+    series = decode_series(F.col("series"), series_names).alias("series") if series_names else F.col("series")
     out = joined.select(
-        "series", "score", *keys, "tag", "weight", "weight_tag",
+        series, "score", *keys, "tag", "weight", "weight_tag",
         (F.col("off_records") + F.col("loc_records")).alias("cum_records"),
         (F.col("off_tag") + F.col("loc_tag")).alias("cum_tag"),
         (F.col("off_weight") + running_weight(F.col("loc_weight"))).alias("cum_weight"),
@@ -227,9 +255,10 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
     return out
 
 
-def partition_totals(table: DataFrame) -> DataFrame:
+def partition_totals(table: DataFrame, series_names: Sequence[str] | None = None) -> DataFrame:
     """Per (partition, series) sums of a written local-sums table."""
-    return table.groupBy(F.col("_pid").alias("part"), "series").agg(
+    series = decode_series(F.col("series"), series_names) if series_names else F.col("series")
+    return table.groupBy(F.col("_pid").alias("part"), series.alias("series")).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum("tag").cast("bigint").alias("pos"),
         weight_sum(F.col("weight")).cast("double").alias("weight_sum"),

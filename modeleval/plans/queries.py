@@ -241,7 +241,8 @@ def q_run_counters(spark, sf):
 
 
 def q_partition_totals(spark, sf):
-    return partition_totals(local_sums_table(li_long(spark, sf), KEY))
+    names = [n for n, _ in series_sources(K.LI)]
+    return partition_totals(local_sums_table(li_long(spark, sf), KEY, series_names=names), names)
 
 
 def q_population_totals(spark, sf):
@@ -262,7 +263,7 @@ def q_missing_score_check(spark, sf):
 # ------------------------------------------------------------------ windows and sorts
 def q_sort_by_score(spark, sf):
     sums = prefix_sums(li_long(spark, sf), KEY, method="range",
-                       series_count=len(series_sources(K.LI)))
+                       series_names=[n for n, _ in series_sources(K.LI)])
     return sums.select("series", "score", *KEY, (F.col("cum_records") + 1).alias("current_record"))
 
 
@@ -272,7 +273,7 @@ def q_prefix_sums(spark, sf):
 
 def q_prefix_sums_distributed(spark, sf):
     return _sums_view(prefix_sums(li_long(spark, sf), KEY, method="range",
-                                  series_count=len(series_sources(K.LI))))
+                                  series_names=[n for n, _ in series_sources(K.LI)]))
 
 
 def q_record_rank(spark, sf):
