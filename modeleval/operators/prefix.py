@@ -2,25 +2,30 @@
 
 For every row of a series, in ascending (score, row key) order, we need the
 records, positives, weight and positive weight of all rows *before* it, the
-scores of its neighbours, and the series totals. Two plans give the same rows:
-
-``window``  one ``Window.partitionBy(series).orderBy(score, key)``: simple and fast
-            on small data, but each series is a single task.
-
-``range``   the plan for big data, one range shuffle and no skew:
-            1. ``repartitionByRange(P, series, score, *key)``: Spark samples the
-               composite key, so a score tied on a third of all rows is still
-               cut across many tasks by the row key;
-            2. ``sortWithinPartitions`` + ``mapInArrow``: per task, vectorised
-               running sums that restart where the series changes (numpy
-               cumsum over Arrow batches, state carried between batches);
-            3. the result, tagged with its partition id, is written once as a
-               Parquet table under the shared checkpoint folder; that cuts the
-               lineage and pins the partition layout for what follows;
-            4. per (partition, series) totals - at most P x S rows - give the
-               offsets with a window over that tiny table;
-            5. the offsets are broadcast-joined back (size bound P x S checked)
-               and added to the local sums.
+scores of its neighbours, and the series totals. Both plans cut every series
+into range partitions first, so no task ever holds a whole series:
+
+1. ``repartitionByRange(P, series, score, *key)``: Spark samples the composite
+   key, so a score tied on a third of all rows is still cut across many tasks
+   by the row key;
+2. local running sums inside each (partition, series) run:
+
+   ``range``  (default) ``sortWithinPartitions`` + ``mapInArrow``: vectorised
+              numpy cumulative sums over Arrow batches, state carried between
+              batches; one shuffle in all;
+   ``window`` the rows tagged with their partition id are written first, then
+              ``Window.partitionBy(series, partition).orderBy(score, key)``
+              gives the local sums: all JVM, one more shuffle;
+
+3. the partition-tagged table is written once under the shared checkpoint
+   folder; that cuts the lineage and pins the layout for what follows;
+4. per (partition, series) totals - at most P x S rows - give the offsets with
+   a window over that tiny table;
+5. the offsets are broadcast-joined back (size bound P x S checked) and added
+   to the local sums.
+
+``prefix_global_window`` (one window per series, a single task each) is kept
+only as a small-data reference for tests.
 """
 
 from __future__ import annotations
@@ -54,12 +59,11 @@ def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
     ``series_names`` (when known) lets the range plan shuffle and sort a small
     integer id instead of the name.
     """
-    if method == "window":
-        return prefix_window(long, keys)
-    if method == "range":
-        return prefix_range(long, keys, partitions=partitions, series_count=series_count,
-                            series_names=series_names)
-    raise ValueError(f"unknown prefix method {method!r}")
+    if method not in ("range", "window"):
+        raise ValueError(f"unknown prefix method {method!r}")
+    local = "arrow" if method == "range" else "window"
+    return prefix_range(long, keys, partitions=partitions, series_count=series_count,
+                        series_names=series_names, local=local)
 
 
 def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -74,7 +78,8 @@ def decode_series(col: "F.Column", names: Sequence[str]) -> "F.Column":
     return F.element_at(F.array(*[F.lit(n) for n in names]), col + F.lit(1))
 
 
-def prefix_window(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+def prefix_global_window(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One window per series (a single task each): a small-data reference only."""
     order = [F.col("score"), *[F.col(k) for k in keys]]
     w = Window.partitionBy("series").orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -179,8 +184,9 @@ def _range_partitions(long: DataFrame, partitions: int | None) -> int:
 
 
 def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
-                     series_names: Sequence[str] | None = None) -> DataFrame:
-    """Steps 1-3 of the range plan; returns the written table read back.
+                     series_names: Sequence[str] | None = None, local: str = "arrow") -> DataFrame:
+    """Steps 1-3: rows tagged with their range partition ``_pid``, written once,
+    with the local sums of their (partition, series) run.
 
     With ``series_names`` the table holds the series as its integer position.
     """
@@ -189,27 +195,47 @@ def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | Non
         long = encode_series(long, series_names)
     p = _range_partitions(long, partitions)
     order = ["series", "score", *keys]
-    staged = (long.repartitionByRange(p, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = long.repartitionByRange(p, *order)
+    if local == "window":
+        path = scratch_path(spark, "ranged")
+        ranged.withColumn("_pid", F.spark_partition_id()) \
+            .write.option("compression", "zstd").parquet(path)
+        return _window_local_sums(spark.read.parquet(path), keys)
+    staged = ranged.sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
     extra = [T.StructField(n, T.LongType(), False)
              for n in ("loc_records", "loc_tag", "loc_weight", "loc_weight_tag")]
     extra += [T.StructField("prev_score", T.DoubleType(), True),
               T.StructField("next_score", T.DoubleType(), True)]
     schema = T.StructType(list(staged.schema.fields) + extra)
-    local = staged.mapInArrow(_local_sums, schema)
+    local_df = staged.mapInArrow(_local_sums, schema)
     path = scratch_path(spark, "prefix")
-    local.write.option("compression", "zstd").parquet(path)
+    local_df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
+def _window_local_sums(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Local sums of each (series, partition) run with built-in window functions."""
+    w = Window.partitionBy("series", "_pid").orderBy("score", *keys)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    return tagged.select(
+        "*",
+        (F.row_number().over(w) - 1).cast("bigint").alias("loc_records"),
+        F.coalesce(F.sum(F.col("tag").cast("bigint")).over(before), zero).alias("loc_tag"),
+        F.coalesce(F.sum("weight").over(before), zero).alias("loc_weight"),
+        F.coalesce(F.sum("weight_tag").over(before), zero).alias("loc_weight_tag"),
+        F.lag("score").over(w).alias("prev_score"),
+        F.lead("score").over(w).alias("next_score"),
+    )
+
+
 def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
                  series_count: int | None = None,
-                 series_names: Sequence[str] | None = None) -> DataFrame:
+                 series_names: Sequence[str] | None = None, local: str = "arrow") -> DataFrame:
     p = _range_partitions(long, partitions)
     if series_names:
         series_count = len(series_names)
-    table = local_sums_table(long, keys, p, series_names=series_names)
+    table = local_sums_table(long, keys, p, series_names=series_names, local=local)
     seg = table.groupBy("_pid", "series").agg(
         F.count(F.lit(1)).alias("seg_records"),
         F.sum("tag").cast("bigint").alias("seg_tag"),

@@ -59,3 +59,20 @@ def test_against_rules(spark, seed, method, parts):
         assert ours == fold_points(exp, metric, buckets), curve
     ours = [r["row_id"] for r in points.filter(F.col("curve") == "score").orderBy("seq").collect()]
     assert ours == fold_score_points(exp)
+
+
+def test_plans_equal_global_window(spark):
+    from modeleval.operators.prefix import prefix_global_window, prefix_sums
+    from modeleval.operators.series import series_unpivot
+    rows = _data(11, n=400)
+    df = spark.createDataFrame(rows, "row_id INT, score DOUBLE, tag STRING, weight DOUBLE")
+    spec = EvalSpec(target="tag", pos_tags=("R",), neg_tags=("N",), row_key=("row_id",),
+                    scorers=(ExprScorer("score"), ExprScorer("score * -1")), weight_col="weight")
+    long = series_unpivot(score(df, spec), spec).cache()
+    cols = ["series", "row_id", "cum_records", "cum_tag", "cum_weight", "cum_weight_tag",
+            "prev_score", "next_score", "total_records", "total_pos", "total_weight"]
+    ref = sorted(tuple(r) for r in prefix_global_window(long, ["row_id"]).select(*cols).collect())
+    names = ["model0", "model1", "avg"]
+    for method, parts in [("range", 7), ("window", 7), ("window", 1)]:
+        got = prefix_sums(long, ["row_id"], method=method, partitions=parts, series_names=names)
+        assert sorted(tuple(r) for r in got.select(*cols).collect()) == ref, (method, parts)
