@@ -28,28 +28,41 @@ def labelled_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_pos") | F.col("is_neg"))
 
 
+def counter_columns() -> list:
+    """The five counters as aggregate expressions over scored rows (unlabelled included)."""
+    pos, neg = F.col("is_pos"), F.col("is_neg")
+    return [
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(pos).alias("pos"),
+        F.count_if(neg).alias("neg"),
+        weight_sum(F.when(pos, F.col("weight")).otherwise(F.lit(0))).alias("weighted_pos"),
+        weight_sum(F.when(neg, F.col("weight")).otherwise(F.lit(0))).alias("weighted_neg"),
+    ]
+
+
+COUNTER_SCHEMA = "records BIGINT, pos BIGINT, neg BIGINT, weighted_pos DOUBLE, weighted_neg DOUBLE"
+
+
 def run_counters(labelled: DataFrame) -> DataFrame:
     """One row: records (unlabelled included), positives, negatives and their weights.
 
     A single aggregate with map-side partial sums; weights are summed exactly
     as DECIMAL(38,0) and reported as DOUBLE.
     """
-    pos, neg = F.col("is_pos"), F.col("is_neg")
-    return labelled.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(pos).alias("pos"),
-        F.count_if(neg).alias("neg"),
-        weight_sum(F.when(pos, F.col("weight")).otherwise(F.lit(0))).cast("double")
-        .alias("weighted_pos"),
-        weight_sum(F.when(neg, F.col("weight")).otherwise(F.lit(0))).cast("double")
-        .alias("weighted_neg"),
-    ).select(
+    return labelled.agg(*counter_columns()).select(
         "records", "pos", "neg",
-        F.coalesce("weighted_pos", F.lit(0.0)).alias("weighted_pos"),
-        F.coalesce("weighted_neg", F.lit(0.0)).alias("weighted_neg"),
+        F.coalesce(F.col("weighted_pos").cast("double"), F.lit(0.0)).alias("weighted_pos"),
+        F.coalesce(F.col("weighted_neg").cast("double"), F.lit(0.0)).alias("weighted_neg"),
     )
 
 
+def counters_from_observation(spark, values: dict) -> DataFrame:
+    """The counters row from metrics observed while the score table was written."""
+    row = (int(values.get("records") or 0), int(values.get("pos") or 0), int(values.get("neg") or 0),
+           float(values.get("weighted_pos") or 0), float(values.get("weighted_neg") or 0))
+    return spark.createDataFrame([row], COUNTER_SCHEMA)
+
+
 def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     """Scored and labelled rows, before the label filter.
 

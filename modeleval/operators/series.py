@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeleval.functions.safe import weight_sum
+from modeleval.functions.tags import is_tag
 from modeleval.operators.labels import labelled_only
 from modeleval.operators.scoring import model_names
 from modeleval.spec import EvalSpec
@@ -55,7 +56,10 @@ def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True)
     rows = labelled_only(scored) if "is_pos" in scored.columns else scored
     keys = list(spec.row_key)
     pairs = series_sources(spec)
-    tag = F.col("is_pos").cast("int") if "is_pos" in rows.columns else F.col("tag").cast("int")
+    if "is_pos" in rows.columns:
+        tag = F.col("is_pos").cast("int")
+    else:  # a saved score table: the trimmed tag text
+        tag = is_tag(F.col("tag"), spec.pos_tags).cast("int")
     base = rows.select(
         *[F.col(k) for k in keys],
         tag.alias("tag"), F.col("weight"), F.col("weight_tag"),

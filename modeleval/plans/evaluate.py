@@ -10,11 +10,13 @@ original's ``isRegression`` switch); reports exist only for the binary path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from modeleval.operators.curves import all_points, thin_perf
-from modeleval.operators.labels import run_counters, score_rows, scored_output
+from modeleval.operators.labels import (
+    counter_columns, counters_from_observation, score_rows, scored_output,
+)
 from modeleval.operators.panels import gain_panels, pr_roc_panels, score_histogram
 from modeleval.operators.performance import performance_from_long, perf_view
 from modeleval.operators.purify import purify
@@ -32,18 +34,24 @@ def score(df: DataFrame, spec: EvalSpec) -> DataFrame:
 
 def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
                     reports: bool = True) -> dict[str, DataFrame]:
+    """Score once, then report from the written score table.
+
+    The labelled score rows are written (to ``output`` or the shared scratch
+    folder) and every report reads them back, so the scorers run once. The
+    counters, which also count unlabelled rows, are observed during that
+    same write (``DataFrame.observe``): no extra pass over the input.
+    """
+    spark = df.sparkSession
     scored = score(df, spec)
-    result = {"counters": run_counters(scored), "scores": scored_output(scored)}
+    seen = Observation("counters")
+    observed = scored.observe(seen, *counter_columns())
+    path = f"{output}/scores" if output is not None else scratch_path(spark, "scores")
+    sinks.save_scores(scored_output(observed), path)
+    saved = spark.read.parquet(path)
+    result = {"counters": counters_from_observation(spark, seen.get), "scores": saved}
     if not reports:
-        if output is not None:
-            sinks.save_scores(scored, f"{output}/scores")
         return result
-    if output is not None:
-        # The saved score table is the input of the reports: read back, not recomputed.
-        path = sinks.save_scores(scored, f"{output}/scores")
-        scored = df.sparkSession.read.parquet(path)
-        result["scores"] = scored_output(scored)
-    long = series_unpivot(scored, spec)
+    long = series_unpivot(saved, spec)
     perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=True)
     # Points are small (about B + 1 per curve and series); written once, they
     # feed the panels and the CSV without recomputing the curve filters.
@@ -53,7 +61,7 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
         points=points,
         gain_panels=gain_panels(points),
         pr_roc_panels=pr_roc_panels(points),
-        score_histogram=score_histogram(long),
+        score_histogram=score_histogram(perf),
     )
     if output is not None:
         sinks.save_perf(result["perf"], f"{output}/perf")

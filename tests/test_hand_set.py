@@ -73,9 +73,15 @@ def test_curve_points(hand, method):
     assert _keys(points, "score") == [1, 2, 4, 6, 6]
 
 
-def test_evaluate_outputs(hand):
-    out = evaluate(hand, SPEC)
-    assert out["counters"].collect()[0]["records"] == 7
+def test_evaluate_outputs(hand, spark):
+    from modeleval.session import scratch_path
+    target = scratch_path(spark, "eval-out")
+    out = evaluate(hand, SPEC, output=target)
+    assert out["counters"].collect()[0].asDict() == {
+        "records": 7, "pos": 3, "neg": 3, "weighted_pos": 6500.0, "weighted_neg": 3500.0}
+    assert spark.read.parquet(f"{target}/perf").count() == 6
+    csv = spark.read.option("header", True).csv(f"{target}/curves")
+    assert csv.filter("curve = 'gain'").count() == 5
     assert out["scores"].count() == 6
     assert out["perf"].count() == 6
     g = out["gain_panels"].filter("panel = 0").orderBy("seq").collect()
