@@ -1,0 +1,12 @@
+"""modeleval: measure classification models on large tables with PySpark.
+
+    from modeleval import EvalSpec, evaluate
+    out = evaluate(df, EvalSpec(...))   # counters, scores, perf, points, panels
+"""
+
+from modeleval.operators.scoring import ExprScorer, LogitScorer, PandasScorer, SparkMLScorer
+from modeleval.plans.evaluate import evaluate, score
+from modeleval.spec import EvalSpec
+
+__all__ = ["EvalSpec", "ExprScorer", "LogitScorer", "PandasScorer", "SparkMLScorer",
+           "evaluate", "score"]

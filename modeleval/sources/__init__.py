@@ -1,0 +1 @@
+"""Inputs (delimited text) and outputs (score, perf, sorted, filtered, curve CSV)."""
