@@ -91,15 +91,22 @@ def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
     counts and rates.
     """
     names = list(names or CURVE_METRICS)
-    keeps = {c: point_keep(CURVE_METRICS[c], buckets) for c in names}
-    any_keep = None
-    for k in keeps.values():
-        any_keep = k if any_keep is None else any_keep | k
-    # A plain boolean filter (codegen) first; only the few kept rows build the
-    # list of curves they belong to.
-    kept = perf.filter(any_keep)
-    flags = [F.when(keeps[c], F.lit(c)) for c in names]
-    tagged = kept.select(*_point_cols(keys), F.array_compact(F.array(*flags)).alias("_curves"))
+    parts = []
+    # Small groups of curves per filter keep the generated code JIT-friendly; a
+    # row kept by several curves appears once per curve, so no de-duplication.
+    for start in range(0, len(names), THIN_GROUP):
+        group = names[start:start + THIN_GROUP]
+        keeps = {c: point_keep(CURVE_METRICS[c], buckets) for c in group}
+        any_keep = None
+        for k in keeps.values():
+            any_keep = k if any_keep is None else any_keep | k
+        kept = perf.filter(any_keep)
+        flags = [F.when(keeps[c], F.lit(c)) for c in group]
+        parts.append(kept.select(*_point_cols(keys),
+                                 F.array_compact(F.array(*flags)).alias("_curves")))
+    tagged = parts[0]
+    for p in parts[1:]:
+        tagged = tagged.unionByName(p)
     points = tagged.select(F.explode("_curves").alias("curve"), *_point_cols(keys))
     points = _number_desc(points, keys)
     return points.select("series", "curve", "seq", *_point_cols(keys)[1:])
