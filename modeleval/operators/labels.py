@@ -40,9 +40,6 @@ def counter_columns() -> list:
     ]
 
 
-COUNTER_SCHEMA = "records BIGINT, pos BIGINT, neg BIGINT, weighted_pos DOUBLE, weighted_neg DOUBLE"
-
-
 def run_counters(labelled: DataFrame) -> DataFrame:
     """One row: records (unlabelled included), positives, negatives and their weights.
 
@@ -56,13 +53,6 @@ def run_counters(labelled: DataFrame) -> DataFrame:
     )
 
 
-def counters_from_observation(spark, values: dict) -> DataFrame:
-    """The counters row from metrics observed while the score table was written."""
-    row = (int(values.get("records") or 0), int(values.get("pos") or 0), int(values.get("neg") or 0),
-           float(values.get("weighted_pos") or 0), float(values.get("weighted_neg") or 0))
-    return spark.createDataFrame([row], COUNTER_SCHEMA)
-
-
 def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     """Scored and labelled rows, before the label filter.
 

@@ -10,13 +10,11 @@ original's ``isRegression`` switch); reports exist only for the binary path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeleval.operators.curves import all_points, thin_perf
-from modeleval.operators.labels import (
-    counter_columns, counters_from_observation, score_rows, scored_output,
-)
+from modeleval.operators.labels import run_counters, score_rows, scored_output
 from modeleval.operators.panels import gain_panels, pr_roc_panels, score_histogram
 from modeleval.operators.performance import performance_from_long, perf_view
 from modeleval.operators.purify import purify
@@ -38,17 +36,16 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
 
     The labelled score rows are written (to ``output`` or the shared scratch
     folder) and every report reads them back, so the scorers run once. The
-    counters, which also count unlabelled rows, are observed during that
-    same write (``DataFrame.observe``): no extra pass over the input.
+    counters also count unlabelled rows; they read only the target and weight
+    columns, so Catalyst prunes every scorer from their plan and they cost one
+    narrow scan of the input.
     """
     spark = df.sparkSession
     scored = score(df, spec)
-    seen = Observation("counters")
-    observed = scored.observe(seen, *counter_columns())
     path = f"{output}/scores" if output is not None else scratch_path(spark, "scores")
-    sinks.save_scores(scored_output(observed), path)
+    sinks.save_scores(scored_output(scored), path)
     saved = spark.read.parquet(path)
-    result = {"counters": counters_from_observation(spark, seen.get), "scores": saved}
+    result = {"counters": run_counters(scored), "scores": saved}
     if not reports:
         return result
     long = series_unpivot(saved, spec)

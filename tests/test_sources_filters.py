@@ -101,3 +101,18 @@ def test_multiclass_keeps_all_rows(spark):
     rows = {r["k"]: r for r in score_multiclass(df, spec).collect()}
     assert rows[2]["tag"] == "X" and rows[2]["scores"] == [20.0, 40.0]
     assert rows[1]["meta_m"] == "p1"
+
+
+def test_ml_fit_after_evaluate(spark):
+    """An evaluation must not leave the session unable to run pyspark.ml jobs."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from modeleval.plans.evaluate import evaluate
+    df = spark.createDataFrame([(i, float(i), "R" if i % 2 else "N", 1.0) for i in range(8)],
+                               "row_id INT, score DOUBLE, tag STRING, weight DOUBLE")
+    spec = EvalSpec(target="tag", pos_tags=("R",), neg_tags=("N",), row_key=("row_id",),
+                    scorers=("score",), weight_col="weight")
+    assert evaluate(df, spec)["counters"].collect()[0]["records"] == 8
+    train = VectorAssembler(inputCols=["score"], outputCol="features").transform(
+        df.withColumn("label", (F.col("tag") == "R").cast("double")))
+    LogisticRegression(maxIter=5).fit(train)
