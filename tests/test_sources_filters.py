@@ -116,3 +116,12 @@ def test_ml_fit_after_evaluate(spark):
     train = VectorAssembler(inputCols=["score"], outputCol="features").transform(
         df.withColumn("label", (F.col("tag") == "R").cast("double")))
     LogisticRegression(maxIter=5).fit(train)
+
+
+def test_rate_format(spark):
+    from modeleval.functions.stats import format_rate
+    df = spark.createDataFrame([(0.5,), (0.0,), (1.0,), (1 / 3,), (float("nan"),), (0.123456785,), (100.25,)], "x DOUBLE")
+    got = [r[0] for r in df.select(format_rate(F.col("x"))).collect()]
+    assert got[:5] == ["0.5", "0", "1", "0.33333333", "NaN"]
+    assert got[6] == "100.25"
+    assert len(got[5].split(".")[1]) <= 8
