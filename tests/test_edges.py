@@ -158,3 +158,13 @@ def test_median_with_missing_scores(spark):
     assert r[1]["score_median"] == 4.5 and r[1]["score_avg"] == 4.5
     assert r[1]["score_max"] == 5.0 and r[1]["score_min"] == 4.0
     assert r[2]["score_median"] == 1.0
+
+
+def test_series_id_round_trip_and_unknown_name(spark):
+    from modeleval.operators.prefix import decode_series, encode_series
+    df = spark.createDataFrame([("avg",), ("model0",)], "series STRING")
+    names = ["model0", "avg"]
+    back = encode_series(df, names).select(decode_series(F.col("series"), names).alias("s"))
+    assert sorted(r["s"] for r in back.collect()) == ["avg", "model0"]
+    with pytest.raises(Exception):
+        encode_series(spark.createDataFrame([("other",)], "series STRING"), names).collect()
