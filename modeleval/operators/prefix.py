@@ -71,7 +71,9 @@ def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
     pairs = []
     for i, n in enumerate(names):
         pairs += [F.lit(n), F.lit(i)]
-    return long.withColumn("series", F.element_at(F.create_map(*pairs), F.col("series")))
+    sid = F.element_at(F.create_map(*pairs), F.col("series"))
+    return long.withColumn("series", F.when(sid.isNull(), F.raise_error(
+        F.concat(F.lit("unknown series "), F.col("series")))).otherwise(sid).cast("int"))
 
 
 def decode_series(col: "F.Column", names: Sequence[str]) -> "F.Column":
