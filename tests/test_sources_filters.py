@@ -125,3 +125,13 @@ def test_rate_format(spark):
     assert got[:5] == ["0.5", "0", "1", "0.33333333", "NaN"]
     assert got[6] == "100.25"
     assert len(got[5].split(".")[1]) <= 8
+
+
+def test_read_delimited_and_header_of(spark):
+    from modeleval.session import scratch_path
+    from modeleval.sources.text import header_of, read_delimited
+    path = scratch_path(spark, "text-test")
+    lines(spark, ["a|b|c|d", "1|2||4", "5|6|7|8"]).coalesce(1).write.text(path)
+    assert header_of(spark, path, "|") == ["a", "b", "c", "d"]
+    rows = sorted(tuple(r) for r in read_delimited(spark, path, HEAD, "|", has_header=True).collect())
+    assert rows == [("1", "2", "", "4"), ("5", "6", "7", "8")]
