@@ -46,6 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root, making a local one only if none is set."""
     global _local_root
     root = spark.sparkContext.getConf().get(_CONF_CHECKPOINT, None)
+    if not root:
+        # A folder set with setCheckpointDir is shared storage too.
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="modeleval-ckpt-")
