@@ -1,13 +1,14 @@
 """Session helpers: a local session for tests and the shared scratch folder.
 
 On a cluster the scratch folder is the one named by ``spark.checkpoint.dir``
-(shared storage every executor can reach). Only when that setting is missing,
-as in local tests, do we make a folder of our own.
+(shared storage every executor can reach). Only a ``local[...]`` session without
+that setting, as in tests, gets a folder of our own; any other master raises.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,13 +44,18 @@ _local_root: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, making a local one only if none is set."""
+    """Return the shared checkpoint root; only a local master may go without one set."""
     global _local_root
     root = spark.sparkContext.getConf().get(_CONF_CHECKPOINT, None)
     if not root:
         # A folder set with setCheckpointDir is shared storage too.
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set and the master is {master!r}: intermediate tables "
+                "need a folder that the driver and all executors share. Set spark.checkpoint.dir.")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="modeleval-ckpt-")
         root = _local_root
