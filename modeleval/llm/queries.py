@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from modeleval.llm import oracle as O
 from modeleval.llm.common import table
 from modeleval.llm.mixing import mix_report
+from modeleval.llm.quality import fit, score_quality
 from modeleval.llm.sharding import shard
 from modeleval.llm.tokens import count_tokens
 from modeleval.llm.urlfilter import filter_urls, rules_frame
@@ -28,6 +29,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id"), SHARDS, SLOTS)
 
@@ -46,7 +52,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op4_shard, op5_mix, op6_tokens, op7_urls)
+    found = (op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls)
     return {f.__name__: f for f in found}
 
 
