@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from modeleval.llm import oracle as O
 from modeleval.llm.common import table
+from modeleval.llm.minhash import near_duplicates
 from modeleval.llm.mixing import mix_report
 from modeleval.llm.quality import fit, score_quality
 from modeleval.llm.sharding import shard
@@ -51,8 +52,12 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls)
+    found = (op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op10_near)
     return {f.__name__: f for f in found}
 
 
