@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from modeleval.llm import oracle as O
 from modeleval.llm.common import table
+from modeleval.llm.decontam import contaminated
 from modeleval.llm.minhash import near_duplicates
 from modeleval.llm.mixing import mix_report
 from modeleval.llm.quality import fit, score_quality
@@ -30,6 +31,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -57,7 +62,7 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op10_near)
+    found = (op1_decontaminate, op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op10_near)
     return {f.__name__: f for f in found}
 
 
