@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from modeleval.llm import oracle as O
+from modeleval.llm.ann import nearest
 from modeleval.llm.common import table
 from modeleval.llm.decontam import contaminated
 from modeleval.llm.minhash import near_duplicates
@@ -57,12 +59,17 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
 def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op10_near)
+    found = (op1_decontaminate, op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op10_near)
     return {f.__name__: f for f in found}
 
 
