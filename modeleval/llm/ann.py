@@ -127,9 +127,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, miss: float = MISS,
     for size, (n, q) in sorted(counts.items()):
         index_blocks, query_blocks = -(-n // INDEX_BLOCK), -(-q // QUERY_BLOCK)
         dealt = entries.filter(F.col("size") == size).select(
-            F.pmod(F.xxhash64("key"), F.lit(index_blocks)).alias("i"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("j"), "vector", "ids")
+            F.pmod(F.xxhash64("key"), F.lit(index_blocks)).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("j"), "vector", "ids")
         sent = asked.filter(F.col("size") == size).select(
-            F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).cast("long").alias("i"),
+            F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("i"),
             F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("j"), "query_id", "vector")
         part = dealt.groupBy("i", "j").cogroup(sent.groupBy("i", "j")).applyInPandas(_searcher(k, miss), schema)
         found = part if found is None else found.unionAll(part)
