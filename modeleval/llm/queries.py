@@ -15,6 +15,7 @@ from modeleval.llm.minhash import near_duplicates
 from modeleval.llm.mixing import mix_report
 from modeleval.llm.quality import fit, score_quality
 from modeleval.llm.sharding import shard
+from modeleval.llm.suffixdedup import digest_kept, remove_repeats
 from modeleval.llm.tokens import count_tokens
 from modeleval.llm.urlfilter import filter_urls, rules_frame
 
@@ -42,6 +43,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_kept(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id"), SHARDS, SLOTS)
 
@@ -69,7 +74,7 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_quality, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op10_near)
+    found = (op1_decontaminate, op2_quality, op3_repeats, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op10_near)
     return {f.__name__: f for f in found}
 
 
