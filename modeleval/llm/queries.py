@@ -13,6 +13,7 @@ from modeleval.llm.common import table
 from modeleval.llm.decontam import contaminated
 from modeleval.llm.minhash import near_duplicates
 from modeleval.llm.mixing import mix_report
+from modeleval.llm.pii import report, train
 from modeleval.llm.quality import fit, score_quality
 from modeleval.llm.sharding import shard
 from modeleval.llm.suffixdedup import digest_kept, remove_repeats
@@ -69,13 +70,20 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(rows, rows.filter(F.col("vec_id") % 50 == 0))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return report(docs, train(docs))
+
+
 def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_quality, op3_repeats, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op10_near)
-    return {f.__name__: f for f in found}
+    found = (op1_decontaminate, op2_quality, op3_repeats, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op9_pii, op10_near)
+    import corpus_pipeline  # here, since the pipeline imports this module
+
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle() -> dict[str, str]:
