@@ -9,11 +9,11 @@ import sys
 from pyspark import cloudpickle
 
 from modeleval.operators.scoring import ExprScorer, LogitScorer, PandasScorer, SparkMLScorer
-from modeleval.plans.evaluate import evaluate, score
+from modeleval.plans.evaluate import evaluate, evaluate_text, score
 from modeleval.spec import EvalSpec
 
 __all__ = ["EvalSpec", "ExprScorer", "LogitScorer", "PandasScorer", "SparkMLScorer",
-           "evaluate", "score"]
+           "evaluate", "evaluate_text", "score"]
 
 # Functions that run inside tasks are pickled whole, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

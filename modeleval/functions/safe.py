@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 INT_MAX = 2147483647
 INT_MIN = -2147483648
 
-# Aggregate sums of scaled weights are exact (10^12 rows of weight 10^8 overflow
-# BIGINT); per-row running weights are DOUBLE like the original's, exact below 2^53.
+# Sums and running sums of scaled weights are exact (10^12 rows of weight 10^8 overflow
+# BIGINT); DOUBLE appears only in the finished weights and rates.
 WEIGHT_SUM_TYPE = "decimal(38,0)"
 
 
@@ -54,5 +54,5 @@ def weight_sum(c: Column) -> Column:
 
 
 def running_weight(c: Column) -> Column:
-    """A per-row running weight value: DOUBLE."""
-    return c.cast("double")
+    """A per-row running weight value, exact."""
+    return c.cast(WEIGHT_SUM_TYPE)

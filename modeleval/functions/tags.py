@@ -13,9 +13,13 @@ def null_to_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def trim_tag(c: Column) -> Column:
+# White space that is trimmed from a target value.
+TAG_SPACE = " \t\n\x0b\f\r"
+
+
+def trim_tag(c: Column, space: str = TAG_SPACE) -> Column:
     """Normalised target value: text, trimmed, missing -> ''."""
-    return F.coalesce(F.trim(c.cast("string")), F.lit(""))
+    return F.coalesce(F.btrim(c.cast("string"), F.lit(space)), F.lit(""))
 
 
 def is_tag(tag: Column, tags: Iterable[str]) -> Column:
@@ -35,12 +39,14 @@ def row_weight(weight: Column | None, scale: int) -> Column:
 
     A weight that is missing or not a number fails the task, as a bad weight did
     in the original job: ANSI casts raise on bad text and NULL is raised on here.
+    So does a negative one: the sums would no longer rise with the rank.
     """
     if weight is None:
         return F.lit(int(scale)).cast("bigint")
     w = weight.cast("double")
     return (
         F.when(w.isNull(), F.raise_error(F.lit("weight is missing")))
+        .when(w < 0, F.raise_error(F.lit("weight is negative")))
         .otherwise((w * F.lit(float(scale))).cast("bigint"))
     )
 

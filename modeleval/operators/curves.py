@@ -6,8 +6,10 @@ that is not kept has the last kept row's bucket, so "differs from the last
 kept row" is the same as "differs from the row just above". The row just above
 (next higher score) has exclusive sums equal to this row's sums plus this row's
 own values, so its metric is a column expression of this row: every curve is a
-plain filter over the perf table - no sort, no window, no driver fold. Only the
-kept points (at most B + 1 per series for the monotone metrics) get numbered.
+plain filter over the perf table - no sort, no window, no driver fold. All these
+tests are stored as bits of one integer column, so every curve and the thinning
+read it in one scan. Only kept points get numbered, in each range partition first;
+the counts of the partitions before it are added, so no task holds a whole curve.
 """
 
 from __future__ import annotations
@@ -17,10 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeleval.functions.safe import bucket_of, to_int
-from modeleval.operators.performance import (
-    COUNT_COLS, RATE_COLS, WEIGHT_COLS, row_rate_parts, row_rates,
-)
+from modeleval.functions.safe import to_int
+from modeleval.operators.performance import COUNT_COLS, RATE_COLS, WEIGHT_COLS, row_rate_parts
 
 # Curve names and the perf metric each one is thinned on.
 CURVE_METRICS = {
@@ -32,8 +32,8 @@ CURVE_METRICS = {
     "roc": "fpr",
 }
 SCORE_CURVE = "score"
-# Keep tests per filter in thin_perf (small enough for the JIT).
-THIN_GROUP = 3
+# Bits of the keep column: one per rate in RATE_COLS, then these.
+SCORE_ABOVE, SCORE_BELOW, TOP = 8, 9, 10
 # Rates whose denominator is the same for a row and the row above it.
 SHARED_DENOMINATOR = ("action_rate", "weight_action_rate", "recall", "weight_recall",
                       "fpr", "weight_fpr")
@@ -57,30 +57,79 @@ def metric_changes(metric: str, buckets: int) -> Column:
     b = F.lit(float(buckets))
     num, den, _ = row_rate_parts()[metric]
     num_up, den_up, _ = row_rate_parts(at_next=True)[metric]
+    now = to_int((num.cast("double") / den.cast("double")) * b)
     if metric in SHARED_DENOMINATOR:
-        now = to_int((num.cast("double") / den.cast("double")) * b)
         up = to_int((num_up.cast("double") / den.cast("double")) * b)
         return (den != 0) & (now != up)
+    up = to_int((num_up.cast("double") / den_up.cast("double")) * b)
     if metric == "precision":
-        now = to_int((num.cast("double") / den.cast("double")) * b)
-        up = to_int((num_up.cast("double") / den_up.cast("double")) * b)
         return ~is_top() & (now != up)
-    return bucket_of(F.col(metric), buckets) != bucket_of(row_rates(at_next=True)[metric], buckets)
+    # Weighted precision: an empty denominator counts as 1.0 on either row.
+    full = F.lit(int(buckets))
+    return ~is_top() & (F.when(den == 0, full).otherwise(now) != F.when(den_up == 0, full).otherwise(up))
 
 
-def point_keep(metric: str, buckets: int) -> Column:
-    """Keep flag of the greedy fold on ``metric`` (top row always kept)."""
-    return is_top() | metric_changes(metric, buckets)
+def kept_name(buckets: int) -> str:
+    return f"_kept_{buckets}"
+
+
+def kept_column(buckets: int) -> Column:
+    """All keep tests of a row as bits of one integer."""
+    score = to_int(F.col("score"))
+    tests = [metric_changes(m, buckets) for m in RATE_COLS]
+    tests.append(score != to_int(F.col("next_score")))
+    tests.append(F.col("prev_score").isNull() | (score != to_int(F.col("prev_score"))))
+    tests.append(is_top())
+    total = F.lit(0)
+    for i, t in enumerate(tests):
+        total = total + F.when(t, F.lit(1 << i)).otherwise(F.lit(0))
+    return total
+
+
+def _with_kept(perf: DataFrame, buckets: int) -> DataFrame:
+    name = kept_name(buckets)
+    return perf if name in perf.columns else perf.withColumn(name, kept_column(buckets))
+
+
+def _has(buckets: int, *bits: int) -> Column:
+    return F.col(kept_name(buckets)).bitwiseAND(F.lit(sum(1 << b for b in bits))) != 0
 
 
 def _point_cols(keys: Sequence[str]) -> list[str]:
     return ["series", "score", *keys, "current_record", *COUNT_COLS, *WEIGHT_COLS, *RATE_COLS]
 
 
-def _number_desc(points: DataFrame, keys: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy("series", "curve").orderBy(
-        F.col("score").desc(), *[F.col(k).desc() for k in keys])
-    return points.withColumn("seq", F.row_number().over(w))
+def _numbered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``seq`` of each point in its curve: from the highest score down, but the score curve from
+    the lowest up, its repeated top row last.
+
+    Points are numbered within (series, curve, range partition); the number of points in
+    the partitions that come first, at most partitions x series x curves rows, is added.
+    """
+    part = "_pid" if "_pid" in points.columns else None
+    rows = points if part else points.withColumn("_pid", F.lit(0))
+    sign = F.when(F.col("curve") == SCORE_CURVE, F.lit(1)).otherwise(F.lit(-1))
+    rows = rows.withColumn("_order", sign * F.col("current_record")).withColumn("_part", sign * F.col("_pid"))
+    counts = rows.groupBy("series", "curve", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("series", "curve").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("series", "curve", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("series", "curve", "_part").orderBy("_tail", "_order"))
+    out = rows.withColumn("_local", local).join(counts, ["series", "curve", "_part"])
+    return out.select("series", "curve", (F.col("_before") + F.col("_local")).cast("int").alias("seq"), *_point_cols(keys)[1:])
+
+
+def _points(perf: DataFrame, buckets: int, keys: Sequence[str], metrics: dict[str, str], with_score: bool) -> DataFrame:
+    """Points of the curves in ``metrics`` (name -> rate), and of the score curve, in one scan."""
+    rows = _with_kept(perf, buckets)
+    bits = {c: RATE_COLS.index(m) for c, m in metrics.items()}
+    names = [F.when(_has(buckets, b, TOP), F.struct(F.lit(c).alias("curve"), F.lit(0).alias("_tail"))) for c, b in bits.items()]
+    if with_score:
+        names += [F.when(_has(buckets, SCORE_BELOW), F.struct(F.lit(SCORE_CURVE).alias("curve"), F.lit(0).alias("_tail"))),
+                  F.when(_has(buckets, TOP), F.struct(F.lit(SCORE_CURVE).alias("curve"), F.lit(1).alias("_tail")))]
+    any_bit = [*bits.values(), TOP, *([SCORE_BELOW] if with_score else [])]
+    pid = ["_pid"] if "_pid" in rows.columns else []
+    kept = rows.filter(_has(buckets, *any_bit)).select(F.explode(F.array_compact(F.array(*names))).alias("_c"), *_point_cols(keys), *pid)
+    return _numbered(kept.select("_c.*", *_point_cols(keys), *pid), keys)
 
 
 def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
@@ -90,26 +139,7 @@ def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
     Columns: series, curve, seq (1 = highest score), score, row key, rank,
     counts and rates.
     """
-    names = list(names or CURVE_METRICS)
-    parts = []
-    # Small groups of curves per filter keep the generated code JIT-friendly; a
-    # row kept by several curves appears once per curve, so no de-duplication.
-    for start in range(0, len(names), THIN_GROUP):
-        group = names[start:start + THIN_GROUP]
-        keeps = {c: point_keep(CURVE_METRICS[c], buckets) for c in group}
-        any_keep = None
-        for k in keeps.values():
-            any_keep = k if any_keep is None else any_keep | k
-        kept = perf.filter(any_keep)
-        flags = [F.when(keeps[c], F.lit(c)) for c in group]
-        parts.append(kept.select(*_point_cols(keys),
-                                 F.array_compact(F.array(*flags)).alias("_curves")))
-    tagged = parts[0]
-    for p in parts[1:]:
-        tagged = tagged.unionByName(p)
-    points = tagged.select(F.explode("_curves").alias("curve"), *_point_cols(keys))
-    points = _number_desc(points, keys)
-    return points.select("series", "curve", "seq", *_point_cols(keys)[1:])
+    return _points(perf, buckets, keys, {c: CURVE_METRICS[c] for c in names or CURVE_METRICS}, with_score=False)
 
 
 def curve(perf: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> DataFrame:
@@ -120,30 +150,23 @@ def curve(perf: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> Data
 def point_thin(perf: DataFrame, metric: str, buckets: int, keys: Sequence[str],
                label: str | None = None) -> DataFrame:
     """Thin on any rate column (the general form behind the named curves)."""
-    kept = perf.filter(point_keep(metric, buckets)).select(*_point_cols(keys))
-    kept = kept.withColumn("curve", F.lit(label or metric))
-    return _number_desc(kept, keys).select("series", "curve", "seq", *_point_cols(keys)[1:])
+    return _points(perf, buckets, keys, {label or metric: metric}, with_score=False)
 
 
 def score_points(perf: DataFrame, keys: Sequence[str]) -> DataFrame:
     """From the lowest score up, keep each row whose integer score differs from the
     row below; then append the highest row again as the last point.
 
-    ``seq`` runs from 1 at the lowest kept row. Points are one per integer score
-    value present (plus one), so numbering them is bounded by the score range.
+    ``seq`` runs from 1 at the lowest kept row. Integer scores are clamped to the
+    32-bit range.
     """
-    first_of_int = F.col("prev_score").isNull() | (to_int(F.col("score")) != to_int(F.col("prev_score")))
-    body = perf.filter(first_of_int).select(*_point_cols(keys), F.lit(0).alias("_tail"))
-    tail = perf.filter(is_top()).select(*_point_cols(keys), F.lit(1).alias("_tail"))
-    both = body.unionByName(tail)
-    w = Window.partitionBy("series").orderBy(F.col("_tail"), F.col("score"), *[F.col(k) for k in keys])
-    out = both.withColumn("seq", F.row_number().over(w)).withColumn("curve", F.lit(SCORE_CURVE))
-    return out.select("series", "curve", "seq", *_point_cols(keys)[1:])
+    buckets = next((int(c.removeprefix("_kept_")) for c in perf.columns if c.startswith("_kept_")), 1)
+    return _points(perf, buckets, keys, {}, with_score=True)
 
 
 def all_points(perf: DataFrame, buckets: int, keys: Sequence[str]) -> DataFrame:
-    """The six metric curves and the score curve in one table."""
-    return curves(perf, buckets, keys).unionByName(score_points(perf, keys))
+    """The six metric curves and the score curve in one table, from one scan."""
+    return _points(perf, buckets, keys, CURVE_METRICS, with_score=True)
 
 
 def thin_perf(perf: DataFrame, buckets: int, keys: Sequence[str], thin: bool = True) -> DataFrame:
@@ -152,24 +175,8 @@ def thin_perf(perf: DataFrame, buckets: int, keys: Sequence[str], thin: bool = T
     ``thin=False`` keeps every row, which is what the original job ends up doing
     (its keep test is always true). ``thin=True`` does what it meant: from the
     top down, keep a row when the bucket of any of the eight rates or the
-    integer score differs from the row above.
-
-    The nine tests run as three filters of three, unioned and de-duplicated on
-    the unique (series, row key): one nine-way predicate compiles to a method
-    too large for the JIT and runs several times slower. Only kept rows are
-    shuffled by the de-duplication.
+    integer score differs from the row above. One scan, no shuffle.
     """
     if not thin:
         return perf.select(*_point_cols(keys))
-    changed = [metric_changes(m, buckets) for m in RATE_COLS]
-    changed.append(to_int(F.col("score")) != to_int(F.col("next_score")))
-    parts = []
-    for start in range(0, len(changed), THIN_GROUP):
-        keep = is_top()
-        for c in changed[start:start + THIN_GROUP]:
-            keep = keep | c
-        parts.append(perf.filter(keep).select(*_point_cols(keys)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates(["series", *keys])
+    return _with_kept(perf, buckets).filter(_has(buckets, *range(len(RATE_COLS)), SCORE_ABOVE, TOP)).select(*_point_cols(keys))

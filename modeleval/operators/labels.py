@@ -7,20 +7,29 @@ from pyspark.sql import functions as F
 
 from modeleval.functions.safe import weight_sum
 from modeleval.functions.tags import is_tag, meta_numeric, row_weight, trim_tag, weight_tag
-from modeleval.operators.scoring import model_names, score_models
+from modeleval.operators.scoring import apply_scorers, model_names, score_stats
 from modeleval.spec import EvalSpec
 
 
+LABELS = ("tag", "weight", "weight_tag", "is_pos", "is_neg")
+STATS = ("score_max", "score_min", "score_avg", "score_median")
+# Names that the reports use beside the row key.
+RESERVED = {"series", "score", "curve", "seq", "current_record", "_pid"}
+
+
 def add_labels(df: DataFrame, spec: EvalSpec) -> DataFrame:
     """Add ``tag`` (trimmed text), ``weight`` (scaled BIGINT), ``is_pos``, ``is_neg``
     and ``weight_tag`` (weight for positives, else 0)."""
-    w = F.col(spec.weight_col) if spec.weight_col else None
+    return df.withColumns(label_columns(spec))
+
+
+def label_columns(spec: EvalSpec) -> dict:
+    """The label columns, each from input columns only (an input column may have one's name)."""
     tag = trim_tag(F.col(spec.target))
-    staged = df.withColumn("tag", tag).withColumn("weight", row_weight(w, spec.weight_scale))
-    staged = (staged
-              .withColumn("is_pos", is_tag(F.col("tag"), spec.pos_tags))
-              .withColumn("is_neg", is_tag(F.col("tag"), spec.neg_tags)))
-    return staged.withColumn("weight_tag", weight_tag(F.col("is_pos"), F.col("weight")))
+    weight = row_weight(F.col(spec.weight_col) if spec.weight_col else None, spec.weight_scale)
+    pos = is_tag(tag, spec.pos_tags)
+    return {"tag": tag, "weight": weight, "is_pos": pos, "is_neg": is_tag(tag, spec.neg_tags),
+            "weight_tag": weight_tag(pos, weight)}
 
 
 def labelled_only(df: DataFrame) -> DataFrame:
@@ -57,8 +66,9 @@ def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     """Scored and labelled rows, before the label filter.
 
     Columns: row key, ``tag``, ``weight``, ``weight_tag``, ``is_pos``, ``is_neg``,
-    ``model0..``, ``score_max/min/avg/median``, ``meta_<c>`` (DOUBLE) for each
-    score-meta column, and the text meta columns as they are.
+    ``model0..``, ``score_max/min/avg/median`` and ``meta_<c>`` (DOUBLE) for each
+    meta and score-meta column. Everything is computed from input columns, whatever
+    their names; only a row key column may not have the name of an output column.
     """
     needed = set(spec.row_key) | {spec.target} | set(spec.meta_cols) | set(spec.score_meta_cols)
     if spec.weight_col:
@@ -66,16 +76,19 @@ def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     missing = [c for c in needed if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in the input: {sorted(missing)}")
-    scored = score_models(df, spec.scorers)
-    labelled = add_labels(scored, spec)
-    names = model_names(spec.model_count)
-    meta_num = [meta_numeric(F.col(c)).alias(f"meta_{c}") for c in spec.score_meta_cols]
-    meta_txt = [F.col(c) for c in spec.meta_cols if c not in spec.row_key]
-    return labelled.select(
+    metas = list(dict.fromkeys([*spec.score_meta_cols, *spec.meta_cols]))
+    outputs = {*LABELS, *model_names(spec.model_count), *STATS, *(f"meta_{c}" for c in metas)}
+    clash = set(spec.row_key) & (outputs | RESERVED)
+    if clash:
+        raise ValueError(f"row key columns have names of output columns: {sorted(clash)}")
+    scored, hidden = apply_scorers(df, spec.scorers)
+    labels = label_columns(spec)
+    return scored.select(
         *[F.col(k) for k in spec.row_key],
-        "tag", "weight", "weight_tag", "is_pos", "is_neg",
-        *names, "score_max", "score_min", "score_avg", "score_median",
-        *meta_num, *meta_txt,
+        *[labels[c].alias(c) for c in LABELS],
+        *[F.col(h).alias(n) for n, h in zip(model_names(spec.model_count), hidden)],
+        *[c.alias(n) for n, c in score_stats([F.col(h) for h in hidden]).items()],
+        *[meta_numeric(F.col(c)).alias(f"meta_{c}") for c in metas],
     )
 
 

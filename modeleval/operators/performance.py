@@ -117,7 +117,8 @@ def add_rates(sums: DataFrame, keys: Sequence[str] = (), keep_inputs: bool = Tru
         cols += [F.col(c) for c in ("tag", "weight", "weight_tag", "cum_records", "cum_tag",
                                     "cum_weight", "cum_weight_tag", "prev_score", "next_score",
                                     "total_records", "total_pos", "total_weight",
-                                    "total_weight_pos")]
+                                    "total_weight_pos", "_pid")]
+        cols += [F.col(c) for c in sums.columns if c.startswith("_kept_")]
     return sums.select(*cols)
 
 
@@ -125,20 +126,21 @@ def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | N
                           method: str | None = None, written: bool = True) -> DataFrame:
     """Perf rows (with the inputs the curves need) for a long series table.
 
-    ``written=True`` (default) writes the rows once under the shared checkpoint
-    folder and returns the table read back: every later reader (perf output,
-    curves, thinning) is then a plain scan instead of a re-run of the offset
-    join, and the wide curve filters run in their own small stage instead of
-    being fused into the join (where the generated code grows too large to be
-    compiled to native code).
+    ``written=True`` (default) writes the running sums once under the shared
+    checkpoint folder, with one integer per row that says which curves keep the
+    row, and returns the table read back: the perf output is a scan with cheap
+    expressions, and all curves and the thinning are a scan with a filter on
+    that integer. The write happens in this call.
     """
+    from modeleval.operators.curves import kept_column, kept_name
     from modeleval.operators.series import series_sources
     sums = prefix_sums(long, spec.row_key, method=method or spec.prefix_method,
                        partitions=spec.prefix_partitions, series_count=series_count,
-                       series_names=[n for n, _ in series_sources(spec)])
+                       series_names=[n for n, _ in series_sources(spec)],
+                       max_broadcast_rows=spec.max_broadcast_rows)
     if written:
-        # Only the sums are stored; counts and rates are cheap expressions of them.
-        sums = materialize(sums, "sums")
+        # Counts and rates are cheap expressions of the sums and are not stored.
+        sums = materialize(sums.withColumn(kept_name(spec.buckets), kept_column(spec.buckets)), "sums")
     return add_rates(sums, spec.row_key)
 
 

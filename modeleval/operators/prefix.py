@@ -24,8 +24,8 @@ into range partitions first, so no task ever holds a whole series:
 5. the offsets are broadcast-joined back (size bound P x S checked) and added
    to the local sums.
 
-``prefix_global_window`` (one window per series, a single task each) is kept
-only as a small-data reference for tests.
+Weights are whole numbers and never negative. Local sums are BIGINT and fail when
+they overflow; the sums over partitions are DECIMAL(38,0), so nothing is rounded.
 """
 
 from __future__ import annotations
@@ -38,9 +38,10 @@ from pyspark.sql import types as T
 
 from modeleval.functions.safe import running_weight, weight_sum
 from modeleval.session import scratch_path
+from modeleval.spec import DEFAULT_MAX_BROADCAST_ROWS
 
-# Offsets are broadcast only while (partitions x series) stays under this bound.
-MAX_BROADCAST_OFFSET_ROWS = 1_000_000
+# Compressed bytes of the score table that one range partition should hold.
+TARGET_PARTITION_BYTES = 64 << 20
 
 SUM_COLS = ("cum_records", "cum_tag", "cum_weight", "cum_weight_tag")
 TOTAL_COLS = ("total_records", "total_pos", "total_weight", "total_weight_pos")
@@ -48,12 +49,13 @@ TOTAL_COLS = ("total_records", "total_pos", "total_weight", "total_weight_pos")
 
 def _out_columns(keys: Sequence[str]) -> list[str]:
     return ["series", "score", *keys, "tag", "weight", "weight_tag", *SUM_COLS,
-            "prev_score", "next_score", *TOTAL_COLS]
+            "prev_score", "next_score", *TOTAL_COLS, "_pid"]
 
 
 def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
                 partitions: int | None = None, series_count: int | None = None,
-                series_names: Sequence[str] | None = None) -> DataFrame:
+                series_names: Sequence[str] | None = None,
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Running sums for the long ``series, score, key.., tag, weight, weight_tag`` table.
 
     ``series_names`` (when known) lets the range plan shuffle and sort a small
@@ -63,7 +65,8 @@ def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
         raise ValueError(f"unknown prefix method {method!r}")
     local = "arrow" if method == "range" else "window"
     return prefix_range(long, keys, partitions=partitions, series_count=series_count,
-                        series_names=series_names, local=local)
+                        series_names=series_names, local=local,
+                        max_broadcast_rows=max_broadcast_rows)
 
 
 def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -80,31 +83,6 @@ def decode_series(col: "F.Column", names: Sequence[str]) -> "F.Column":
     return F.element_at(F.array(*[F.lit(n) for n in names]), col + F.lit(1))
 
 
-def prefix_global_window(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One window per series (a single task each): a small-data reference only."""
-    order = [F.col("score"), *[F.col(k) for k in keys]]
-    w = Window.partitionBy("series").orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("series")
-    zero = F.lit(0)
-    out = long.select(
-        "*",
-        (F.row_number().over(w) - 1).cast("bigint").alias("cum_records"),
-        F.coalesce(F.sum("tag").over(before), zero).cast("bigint").alias("cum_tag"),
-        running_weight(F.coalesce(F.sum(running_weight(F.col("weight"))).over(before), zero))
-        .alias("cum_weight"),
-        running_weight(F.coalesce(F.sum(running_weight(F.col("weight_tag"))).over(before), zero))
-        .alias("cum_weight_tag"),
-        F.lag("score").over(w).alias("prev_score"),
-        F.lead("score").over(w).alias("next_score"),
-        F.count(F.lit(1)).over(whole).alias("total_records"),
-        F.sum("tag").over(whole).cast("bigint").alias("total_pos"),
-        running_weight(weight_sum(F.col("weight")).over(whole)).alias("total_weight"),
-        running_weight(weight_sum(F.col("weight_tag")).over(whole)).alias("total_weight_pos"),
-    )
-    return out.select(*_out_columns(keys))
-
-
 def _local_sums(batches: Iterator) -> Iterator:
     """Per task: exclusive running sums inside each series run, plus neighbour scores.
 
@@ -149,6 +127,11 @@ def _local_sums(batches: Iterator) -> Iterator:
         starts = np.flatnonzero(new_run)
         sums = []
         for j, x in enumerate(values):
+            if (x < 0).any():
+                raise ValueError("weights must not be negative")
+            # Close to the limit the exact sum decides; numpy itself would wrap in silence.
+            if carry[j] + float(x.sum(dtype=np.float64)) > 9e18 and carry[j] + sum(x.tolist()) >= 2**63:
+                raise OverflowError("the weights of one range partition exceed BIGINT; use more partitions")
             excl = np.cumsum(x) - x
             if len(starts):
                 base = np.where(run >= 0, excl[starts[np.maximum(run, 0)]], -carry[j])
@@ -179,6 +162,16 @@ def _local_sums(batches: Iterator) -> Iterator:
         yield emit(pending)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as its plan states it; for a scan of written files, their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partitions_for(table_bytes: int, series_count: int, least: int) -> int:
+    """Range partitions for a written score table that is unpivoted into ``series_count`` series."""
+    return max(int(least), -(-table_bytes * max(1, series_count) // TARGET_PARTITION_BYTES))
+
+
 def _range_partitions(long: DataFrame, partitions: int | None) -> int:
     if partitions:
         return int(partitions)
@@ -233,7 +226,8 @@ def _window_local_sums(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
                  series_count: int | None = None,
-                 series_names: Sequence[str] | None = None, local: str = "arrow") -> DataFrame:
+                 series_names: Sequence[str] | None = None, local: str = "arrow",
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     p = _range_partitions(long, partitions)
     if series_names:
         series_count = len(series_names)
@@ -266,7 +260,7 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
     )
     # Offsets have one row per (partition, series): at most P x S, known here.
     bound = p * (series_count if series_count else 1)
-    if series_count and bound <= MAX_BROADCAST_OFFSET_ROWS:
+    if series_count and bound <= max_broadcast_rows:
         offsets = F.broadcast(offsets)
     joined = table.join(offsets, ["_pid", "series"])
     series = decode_series(F.col("series"), series_names).alias("series") if series_names else F.col("series")
@@ -274,15 +268,29 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
         series, "score", *keys, "tag", "weight", "weight_tag",
         (F.col("off_records") + F.col("loc_records")).alias("cum_records"),
         (F.col("off_tag") + F.col("loc_tag")).alias("cum_tag"),
-        (F.col("off_weight") + running_weight(F.col("loc_weight"))).alias("cum_weight"),
-        (F.col("off_weight_tag") + running_weight(F.col("loc_weight_tag"))).alias("cum_weight_tag"),
+        running_weight(F.col("off_weight") + F.col("loc_weight")).alias("cum_weight"),
+        running_weight(F.col("off_weight_tag") + F.col("loc_weight_tag")).alias("cum_weight_tag"),
         F.coalesce("prev_score", "prev_run_last").alias("prev_score"),
         F.coalesce("next_score", "next_run_first").alias("next_score"),
-        *TOTAL_COLS,
+        *TOTAL_COLS, "_pid",
     )
     return out
 
 
+def merged_partitions(table: DataFrame, keys: Sequence[str], series_names: Sequence[str] | None = None) -> DataFrame:
+    """Per series: the partitions' sums merged, and how many partitions overlap the one before
+    them in (score, key) order, which must be none."""
+    place = F.struct("score", *keys)
+    series = decode_series(F.col("series"), series_names) if series_names else F.col("series")
+    parts = table.groupBy("_pid", "series").agg(F.min(place).alias("low"), F.max(place).alias("high")).withColumn(
+        "overlap", F.lag("high").over(Window.partitionBy("series").orderBy("_pid")) >= F.col("low"))
+    overlaps = parts.groupBy(series.alias("series")).agg(F.count_if("overlap").alias("overlaps"))
+    sums = partition_totals(table, series_names).groupBy("series").agg(
+        F.sum("records").alias("records"), F.sum("pos").alias("pos"),
+        F.sum("weight_sum").alias("weight_sum"), F.sum("weight_pos").alias("weight_pos"))
+    return sums.join(overlaps, "series")
+
+
 def partition_totals(table: DataFrame, series_names: Sequence[str] | None = None) -> DataFrame:
     """Per (partition, series) sums of a written local-sums table."""
     series = decode_series(F.col("series"), series_names) if series_names else F.col("series")

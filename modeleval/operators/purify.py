@@ -8,12 +8,17 @@ the row fail the test (dropped) instead of failing the job. Rules:
 * a condition that does not parse: every row passes (``on_invalid='keep'``,
   the original behaviour) or an error (``'error'``, our default);
 * a row where the condition is false or NULL is dropped;
+* a row on which it cannot be evaluated (text where a number is needed, say) fails the
+  job (``on_row_error='error'``, our default) or is dropped (``'drop'``, the original);
+* a column ``space::name`` can also be called ``name``, if nothing else has that name;
 * an unknown column or a non-boolean condition is always an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
@@ -44,15 +49,43 @@ def parse_condition(df: DataFrame, condition: str | None, on_invalid: str = "err
     return cond
 
 
-def purify(df: DataFrame, condition: str | None, on_invalid: str = "error") -> DataFrame:
+def simple_names(columns: Sequence[str]) -> dict[str, str]:
+    """Short name -> column, for each ``space::name`` whose short name nothing else has."""
+    short = {c: c.rsplit("::", 1)[1] for c in columns if "::" in c}
+    taken = Counter(short.values()) + Counter(columns)
+    return {s: c for c, s in short.items() if s and taken[s] == 1}
+
+
+@contextmanager
+def _errors_as_null(df: DataFrame, on: bool) -> Iterator[None]:
+    """Expressions analysed inside give NULL where they would otherwise end the job."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.ansi.enabled")
+    if on:
+        conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        if on:
+            conf.set("spark.sql.ansi.enabled", before)
+
+
+def purify(df: DataFrame, condition: str | None, on_invalid: str = "error",
+           on_row_error: str = "error") -> DataFrame:
     """Keep the rows for which ``condition`` is true (false and NULL drop the row)."""
-    cond = parse_condition(df, condition, on_invalid)
-    return df if cond is None else df.filter(cond)
+    if on_row_error not in ("error", "drop"):
+        raise ValueError(f"unknown row-error policy {on_row_error!r}")
+    extra = simple_names(df.columns)
+    named = df.withColumns({s: F.col(f"`{c}`") for s, c in extra.items()}) if extra else df
+    with _errors_as_null(df, on_row_error == "drop"):
+        cond = parse_condition(named, condition, on_invalid)
+        return df if cond is None else named.filter(cond).drop(*extra)
 
 
 def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
                  condition: str | None, on_invalid: str = "error",
-                 has_header: bool = True, on_short_row: str = "error") -> DataFrame:
+                 has_header: bool = True, on_short_row: str = "error",
+                 on_row_error: str = "error") -> DataFrame:
     """Filter raw text lines by a condition over their named fields; lines come out unchanged.
 
     As in the original job, a set condition also drops header lines; with no
@@ -62,14 +95,14 @@ def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
         return lines
     body = skip_header(lines, headers, delimiter) if has_header else lines
     parsed = split_fields(body, headers, delimiter, on_short_row=on_short_row, keep_line=True)
-    cond = parse_condition(parsed, condition, on_invalid)
-    if cond is None:
-        return lines
-    return parsed.filter(cond).select("value")
+    kept = purify(parsed, condition, on_invalid, on_row_error)
+    # Not parsable: all lines pass but headers, and unparsed, so no short row can matter.
+    return body.select("value") if kept is parsed else kept.select("value")
 
 
-def purifier(condition: str | None, on_invalid: str = "error") -> Callable[[DataFrame], DataFrame]:
+def purifier(condition: str | None, on_invalid: str = "error",
+             on_row_error: str = "error") -> Callable[[DataFrame], DataFrame]:
     """A filter callable for ``df.transform`` (the purifier extension point)."""
     def apply(df: DataFrame) -> DataFrame:
-        return purify(df, condition, on_invalid)
+        return purify(df, condition, on_invalid, on_row_error)
     return apply

@@ -59,8 +59,11 @@ class LogitScorer:
 
     def linear(self) -> Column:
         if self.array_col is not None:
-            terms = [F.col(self.array_col).getItem(i).cast("double") * F.lit(float(w))
-                     for i, w in enumerate(self.weights)]
+            # One array literal and a fold: the plan does not grow with the model.
+            terms = F.zip_with(F.slice(F.col(self.array_col), 1, len(self.weights)),
+                               F.array(*[F.lit(float(w)) for w in self.weights]),
+                               lambda x, w: x.cast("double") * w)
+            return F.aggregate(terms, F.lit(float(self.intercept)), lambda z, t: z + t)
         else:
             if len(self.features) != len(self.weights):
                 raise ValueError("features and weights differ in length")
@@ -140,28 +143,44 @@ def model_names(n: int) -> list[str]:
 
 
 def score_models(df: DataFrame, scorers: Sequence[Any], with_stats: bool = True) -> DataFrame:
-    """Add ``model0..`` (one per scorer) and, optionally, the per-row statistics."""
-    if not scorers:
-        raise ValueError("at least one scorer is needed")
+    """Add ``model0..`` (one per scorer) and, optionally, the per-row statistics.
+
+    Every scorer reads the input columns only: the scores get their names, and replace
+    input columns of these names, after all scorers have run.
+    """
     names = model_names(len(scorers))
-    out = df
-    for name, s in zip(names, scorers):
-        out = as_scorer(s).apply(out, name)
+    out, hidden = apply_scorers(df, scorers)
+    out = out.withColumns({n: F.col(h) for n, h in zip(names, hidden)}).drop(*hidden)
     if with_stats:
         out = add_score_stats(out, names)
     return out
 
 
+def apply_scorers(df: DataFrame, scorers: Sequence[Any]) -> tuple[DataFrame, list[str]]:
+    """``df`` with one more column per scorer, under names that no input column has."""
+    if not scorers:
+        raise ValueError("at least one scorer is needed")
+    prefix = "_score"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    hidden = [f"{prefix}{i}" for i in range(len(scorers))]
+    ready = {h: s.column() for h, s in zip(hidden, map(as_scorer, scorers)) if hasattr(s, "column")}
+    out = df.withColumns(ready) if ready else df
+    for h, s in zip(hidden, map(as_scorer, scorers)):
+        if h not in ready:
+            out = s.apply(out, h)
+    return out, hidden
+
+
 def add_score_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``score_max``, ``score_min``, ``score_avg``, ``score_median`` of the named scores."""
-    cols = [F.col(n) for n in names]
-    return df.select(
-        "*",
-        score_max(cols).alias("score_max"),
-        score_min(cols).alias("score_min"),
-        score_avg(cols).alias("score_avg"),
-        score_median(cols).alias("score_median"),
-    )
+    return df.withColumns(score_stats([F.col(n) for n in names]))
+
+
+def score_stats(cols: Sequence[Column]) -> dict[str, Column]:
+    cols = list(cols)
+    return {"score_max": score_max(cols), "score_min": score_min(cols), "score_avg": score_avg(cols),
+            "score_median": score_median(cols)}
 
 
 def score_multiclass(df: DataFrame, spec: Any) -> DataFrame:
@@ -170,10 +189,7 @@ def score_multiclass(df: DataFrame, spec: Any) -> DataFrame:
     The original looked meta values up under the wrong key and so emitted none;
     this keeps them as ``meta_<column>`` strings, which is what it meant to do.
     """
-    scored = df
-    names = model_names(len(spec.scorers))
-    for name, s in zip(names, spec.scorers):
-        scored = as_scorer(s).apply(scored, name)
+    scored, names = apply_scorers(df, spec.scorers)
     keys = [F.col(k) for k in spec.row_key]
     meta = [F.col(c).cast("string").alias(f"meta_{c}") for c in spec.meta_cols]
     return scored.select(

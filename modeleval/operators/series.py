@@ -53,13 +53,12 @@ def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True)
     the later shuffle moves nothing else. ``unpivot`` keeps NULL scores, so the
     missing-score rule can see them.
     """
-    rows = labelled_only(scored) if "is_pos" in scored.columns else scored
+    # A saved score table has the trimmed tag text only; rows of other tags are not in the reports.
+    saved = "is_pos" not in scored.columns
+    rows = scored.filter(is_tag(F.col("tag"), spec.pos_tags + spec.neg_tags)) if saved else labelled_only(scored)
     keys = list(spec.row_key)
     pairs = series_sources(spec)
-    if "is_pos" in rows.columns:
-        tag = F.col("is_pos").cast("int")
-    else:  # a saved score table: the trimmed tag text
-        tag = is_tag(F.col("tag"), spec.pos_tags).cast("int")
+    tag = (is_tag(F.col("tag"), spec.pos_tags) if saved else F.col("is_pos")).cast("int")
     base = rows.select(
         *[F.col(k) for k in keys],
         tag.alias("tag"), F.col("weight"), F.col("weight_tag"),

@@ -25,7 +25,6 @@ LI_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedpri
 LI_MODELS = ("l_quantity * 20", "l_discount * 10000", "l_extendedprice / 105")
 
 LI = EvalSpec(
-    name="LI",
     target="l_returnflag", pos_tags=("R",), neg_tags=("N",),
     row_key=LI_KEY,
     scorers=tuple(ExprScorer(m) for m in LI_MODELS),
@@ -42,7 +41,6 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- eval set EV
 EV = EvalSpec(
-    name="EV",
     target="event_type", pos_tags=("purchase",), neg_tags=("view", "signup", "click", "error"),
     row_key=("event_id",),
     scorers=(ExprScorer("value"),),
@@ -52,7 +50,6 @@ EV = EvalSpec(
 
 # ---------------------------------------------------------------- eval set LB
 LB = EvalSpec(
-    name="LB",
     target="quality", pos_tags=("1",), neg_tags=("0",),
     row_key=("doc_id",),
     scorers=(ExprScorer("n_chars"),),
@@ -80,7 +77,6 @@ LR_INTERCEPT = 0.25
 EM_SCORER = LogitScorer(weights=lr_weights(), intercept=LR_INTERCEPT, array_col="embedding",
                         scale=1000.0, digits=6)
 EM = EvalSpec(
-    name="EM",
     target="label", pos_tags=("0",), neg_tags=tuple(str(i) for i in range(1, 10)),
     row_key=("vec_id",),
     scorers=(EM_SCORER,),
@@ -91,7 +87,6 @@ EM = EvalSpec(
 # ---------------------------------------------------------------- multi-class OR
 OR_MODELS = ("o_totalprice / 500", "1000 - o_totalprice / 500", "abs(o_totalprice - 250000) / 250")
 OR = EvalSpec(
-    name="OR",
     target="o_orderstatus", pos_tags=("F", "O", "P"), neg_tags=(),
     row_key=("o_orderkey",),
     scorers=tuple(ExprScorer(m) for m in OR_MODELS),
@@ -126,6 +121,16 @@ def order_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- eval set OT (text)
+OT = EvalSpec(
+    target="o_orderstatus", pos_tags=("F",), neg_tags=("O",),
+    row_key=("o_orderkey",),
+    scorers=(ExprScorer("double(o_totalprice) / 600"), ExprScorer("length(o_orderpriority) * 50")),
+    condition="double(o_totalprice) > 1000", on_row_error="drop", on_short_row="drop",
+    buckets=10,
+)
+
+
 _text_cache: dict[tuple[str, str, str], str] = {}
 _text_lock = threading.Lock()
 
@@ -135,7 +140,8 @@ def text_set(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
     ``plain``   one line per order, no header;
     ``header``  the same lines as CSV-style files, each starting with the header line;
-    ``short``   like ``plain`` but lines of status 'F' lack the last field.
+    ``short``   like ``plain`` but lines of status 'F' lack the last field;
+    ``bad``     like ``header``, but every seventh order's price is ``n/a``.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     with _text_lock:
@@ -150,7 +156,10 @@ def text_set(spark: SparkSession, sf_dir: str, kind: str) -> str:
             short = F.concat_ws(DELIM, *TEXT_HEADERS[:-1])
             fields.select(F.when(F.col("o_orderstatus") == "F", short).otherwise(full)
                           .alias("value")).write.text(path)
-        elif kind == "header":
+        elif kind in ("header", "bad"):
+            if kind == "bad":
+                fields = fields.withColumn("o_totalprice", F.when(F.col("o_orderkey").cast("long") % 7 == 0, F.lit("n/a"))
+                                           .otherwise(F.col("o_totalprice")))
             (fields.write.option("header", True).option("sep", DELIM)
              .option("quote", "").option("escapeQuotes", False)
              .option("emptyValue", "").option("nullValue", "")

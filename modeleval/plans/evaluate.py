@@ -1,4 +1,4 @@
-"""The whole evaluation as one lazy plan per output.
+"""The whole evaluation: one DataFrame per output.
 
     rows -> purify -> score -> label/weight -> counters, score table
          -> series unpivot -> prefix sums -> rates -> perf rows
@@ -6,28 +6,35 @@
 
 ``evaluate`` picks the binary or the multi-class path from the spec (the
 original's ``isRegression`` switch); reports exist only for the binary path.
+
+The score table, the running sums and the curve points are written as soon as
+``evaluate`` is called; the other outputs are lazy and read what was written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeleval.operators.curves import all_points, thin_perf
 from modeleval.operators.labels import run_counters, score_rows, scored_output
 from modeleval.operators.panels import gain_panels, pr_roc_panels, score_histogram
 from modeleval.operators.performance import performance_from_long, perf_view
+from modeleval.operators.prefix import partitions_for, plan_bytes
 from modeleval.operators.purify import purify
 from modeleval.operators.scoring import score_multiclass
 from modeleval.operators.series import series_sources, series_unpivot
 from modeleval.session import materialize, scratch_path
 from modeleval.sources import sinks
+from modeleval.sources.text import header_of, read_delimited
 from modeleval.spec import EvalSpec
 
 
 def score(df: DataFrame, spec: EvalSpec) -> DataFrame:
     """Filtered, scored and labelled rows (unlabelled ones still present)."""
-    return score_rows(purify(df, spec.condition, spec.on_invalid), spec)
+    return score_rows(purify(df, spec.condition, spec.on_invalid, spec.on_row_error), spec)
 
 
 def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
@@ -49,6 +56,9 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
     if not reports:
         return result
     long = series_unpivot(saved, spec)
+    if spec.prefix_partitions is None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spec = spec.with_(prefix_partitions=partitions_for(plan_bytes(saved), len(series_sources(spec)), least))
     perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=True)
     # Points are small (about B + 1 per curve and series); written once, they
     # feed the panels and the CSV without recomputing the curve filters.
@@ -67,7 +77,7 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
 
 
 def evaluate_multiclass(df: DataFrame, spec: EvalSpec, output: str | None = None) -> dict[str, DataFrame]:
-    scores = score_multiclass(purify(df, spec.condition, spec.on_invalid), spec)
+    scores = score_multiclass(purify(df, spec.condition, spec.on_invalid, spec.on_row_error), spec)
     if output is not None:
         sinks.save_scores(scores, f"{output}/scores")
     return {"scores": scores, "counters": scores.agg(F.count(F.lit(1)).alias("records"))}
@@ -85,5 +95,14 @@ def evaluate(df: DataFrame, spec: EvalSpec, output: str | None = None,
     return evaluate_binary(df, spec, output, reports)
 
 
-def new_output(df: DataFrame, label: str = "eval") -> str:
-    return scratch_path(df.sparkSession, label)
+def evaluate_text(spark: SparkSession, paths: str | Sequence[str], delimiter: str, spec: EvalSpec,
+                  headers: Sequence[str] | None = None, has_header: bool = True,
+                  output: str | None = None, reports: bool = True) -> dict[str, DataFrame]:
+    """From delimited text to reports: lines -> fields (all text) -> ``evaluate``.
+
+    Without ``headers`` they are read from the first line. Header lines of all files are
+    dropped (``has_header``), and rows with too few fields follow ``spec.on_short_row``.
+    """
+    names = list(headers) if headers is not None else header_of(spark, paths, delimiter)
+    rows = read_delimited(spark, paths, names, delimiter, has_header=has_header, on_short_row=spec.on_short_row)
+    return evaluate(rows, spec, output, reports)

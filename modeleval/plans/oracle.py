@@ -148,6 +148,7 @@ def score_curve_cte(keys: Sequence[str], name: str = "c_score") -> str:
   FROM {name}_u)"""
 
 
+# Curve names and the rate each is thinned on.
 CURVES = (("weight_gain", "weight_action_rate"), ("gain", "action_rate"),
           ("weight_recall", "weight_recall"), ("recall", "recall"),
           ("weight_roc", "weight_fpr"), ("roc", "fpr"))
@@ -167,6 +168,7 @@ def li_perf_sql(select: str) -> str:
 
 
 # ------------------------------------------------------------------ panels
+# Which curve and which columns each chart panel shows.
 GAIN_PANELS = (
     (0, "weight_gain", ("weight_recall", "weight_action_rate", "weight_action_rate", "weight_precision", "action_rate", "score")),
     (1, "weight_gain", ("recall", "weight_action_rate", "weight_action_rate", "precision", "action_rate", "score")),
@@ -277,27 +279,28 @@ def oracle() -> dict[str, str]:
         "scan_text": PLAIN_LINES,
         "split_fields": ORDER_FIELDS,
         "skip_header": PLAIN_LINES,
-        "check_headers": ("SELECT * FROM (VALUES (0, 'o_orderkey'), (1, 'o_orderstatus'), "
-                          "(2, 'o_totalprice'), (3, 'o_orderdate'), (4, 'o_orderpriority')) "
-                          "AS t(position, name)"),
+        "check_headers": (f"WITH f AS ({ORDER_FIELDS}) " + " UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS name, count(*) FILTER (WHERE {c} <> '') AS filled FROM f"
+            for i, c in enumerate(("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")))),
         "short_row_policy": (f"WITH f AS ({ORDER_FIELDS}) SELECT o_orderkey, o_orderstatus, o_totalprice, "
                              "o_orderdate, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END "
                              "AS o_orderpriority FROM f"),
         "null_to_empty": (f"WITH f AS ({ORDER_FIELDS}) SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' "
                           "THEN '' ELSE o_orderpriority END AS o_orderpriority FROM f"),
         "save_scores": (f"WITH {LI_SCORED} SELECT {keys}, tag, weight, weight_tag, model0, model1, model2, "
-                        "score_max, score_min, score_avg, score_median, meta_l_tax, l_linestatus "
+                        "score_max, score_min, score_avg, score_median, meta_l_tax, "
+                        "TRY_CAST(l_linestatus AS DOUBLE) AS meta_l_linestatus "
                         "FROM li_lab WHERE is_pos OR is_neg"),
         "save_perf": li_perf_sql(f"SELECT {pc} FROM perf"),
-        "save_sorted": f"WITH {LI_LONG} SELECT * FROM li_long",
+        "save_sorted": li_perf_sql(f"SELECT series, {keys}, current_record, current_record AS written_rank FROM perf"),
         "save_filtered": PURIFIED,
         "points_csv": _csv_sql(),
-        "purify": PURIFIED,
+        "purify": PURIFIED.replace("WHERE", "WHERE o_orderkey::BIGINT % 7 <> 0 AND"),
         "purify_invalid": PLAIN_LINES,
         "purifier_api": f"SELECT {keys} FROM lineitem WHERE l_quantity > 25 AND l_linestatus = 'O'",
         "labelled_only": f"WITH {LI_SCORED} SELECT {keys}, tag FROM li_lab WHERE is_pos OR is_neg",
-        "perf_label_filter": (f"WITH {LI_SCORED} SELECT {keys}, CAST(is_pos AS INTEGER) AS tag "
-                              "FROM li_lab WHERE is_pos OR is_neg"),
+        "perf_label_filter": (f"WITH {LI_SCORED} SELECT {keys}, model0 AS score, CAST(is_pos AS INTEGER) AS tag "
+                              "FROM li_lab WHERE (is_pos OR is_neg) AND l_linenumber <> 7"),
         "row_weight": f"WITH {LI_SCORED} SELECT {keys}, weight FROM li_lab",
         "weight_tag": f"WITH {LI_SCORED} SELECT {keys}, weight_tag FROM li_lab",
         "binary_tag": (f"WITH {LI_SCORED} SELECT {keys}, CAST(is_pos AS INTEGER) AS binary_tag "
@@ -307,6 +310,13 @@ def oracle() -> dict[str, str]:
                          "TRY_CAST(l_linestatus AS DOUBLE) AS meta_l_linestatus FROM lineitem"),
         "meta_string": "SELECT o_orderkey, CAST(o_orderpriority AS VARCHAR) AS meta_o_orderpriority FROM orders",
         "score_models": f"WITH {LI_SCORED} SELECT {keys}, model0, model1, model2 FROM li_lab",
+        "score_models_clash": (f"SELECT {keys}, l_returnflag AS tag, CAST(trunc(l_quantity * 2 * 1000) AS BIGINT) AS weight, "
+                               "CAST(l_linenumber * 10 AS DOUBLE) AS model0, l_quantity + 0.5::DOUBLE AS model1, l_quantity * 2 AS model2, "
+                               "greatest(CAST(l_linenumber * 10 AS DOUBLE), l_quantity + 0.5::DOUBLE, l_quantity * 2) AS score_max, "
+                               "l_tax AS meta_score_max FROM lineitem"),
+        "partition_totals": (f"WITH {LI_LONG} SELECT series, count(*) AS records, CAST(sum(tag) AS BIGINT) AS pos, "
+                             "CAST(sum(weight) AS DOUBLE) AS weight_sum, CAST(sum(weight_tag) AS DOUBLE) AS weight_pos, "
+                             "CAST(0 AS BIGINT) AS overlaps FROM li_long GROUP BY series"),
         "score_stats": (f"WITH {LI_SCORED} SELECT {keys}, score_max, score_min, score_avg, score_median "
                         "FROM li_lab"),
         "score_lr": f"SELECT vec_id, {lr_sql()} AS model0 FROM embeddings",
@@ -361,6 +371,7 @@ def oracle() -> dict[str, str]:
         "score_histogram": (f"WITH {LI_LONG} SELECT series, {_itrunc('score')} AS score_bin, "
                             "count(*) AS records FROM li_long GROUP BY ALL"),
         "evaluate": li_perf_sql(f",\n{all_curves_ctes(LI_KEYS, 10)}\nSELECT * FROM points"),
+        "evaluate_text": _text_points_sql(),
         "perf_events": _simple_perf_sql(EV_BASE, "event_id"),
         "perf_labels": _simple_perf_sql(LB_BASE, "doc_id"),
         "perf_embeddings": _simple_perf_sql(EM_BASE, "vec_id"),
@@ -372,6 +383,17 @@ def oracle() -> dict[str, str]:
     return q
 
 
+def _text_points_sql() -> str:
+    base = (f"SELECT o_orderkey, o_orderstatus = 'F' AS is_pos, o_orderstatus = 'O' AS is_neg, CAST(1000 AS BIGINT) AS weight, "
+            "CASE WHEN o_orderstatus = 'F' THEN CAST(1000 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS weight_tag, "
+            "CAST(o_totalprice AS DOUBLE) / 600 AS model0, CAST(length(o_orderpriority) * 50 AS DOUBLE) AS model1, "
+            "(CAST(o_totalprice AS DOUBLE) / 600 + length(o_orderpriority) * 50) / 2 AS score_avg "
+            f"FROM ({ORDER_FIELDS}) WHERE o_orderkey::BIGINT % 7 <> 0 AND CAST(o_totalprice AS DOUBLE) > 1000")
+    long = _long_union("base", ["o_orderkey"], (("model0", "model0"), ("model1", "model1"), ("avg", "score_avg")))
+    return (f"WITH base AS ({base}),\nlong AS (\n  {long}),\n{perf_ctes('long', ['o_orderkey'])},\n"
+            f"{all_curves_ctes(['o_orderkey'], K.OT.buckets)}\nSELECT * FROM points")
+
+
 def _thin_select() -> str:
     w = f"PARTITION BY series ORDER BY score, {_k(LI_KEYS)}"
     leads = ", ".join(f"lead({r}) OVER ({w}) AS n_{r}" for r in RATES)

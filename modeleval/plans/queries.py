@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from modeleval.operators.panels import gain_panels, pr_roc_panels, score_histogr
 from modeleval.operators.performance import (
     COUNT_COLS, RATE_COLS, WEIGHT_COLS, performance_from_long, perf_view,
 )
-from modeleval.operators.prefix import local_sums_table, partition_totals, prefix_sums
+from modeleval.operators.prefix import local_sums_table, merged_partitions, prefix_sums
 from modeleval.operators.purify import purifier, purify_lines
 from modeleval.operators.scoring import score_models, score_multiclass
 from modeleval.operators.series import (
@@ -27,16 +27,17 @@ from modeleval.operators.series import (
     series_sources, series_unpivot,
 )
 from modeleval.plans import catalog as K
-from modeleval.plans.evaluate import evaluate, score
+from modeleval.plans.evaluate import evaluate, evaluate_text, score
 from modeleval.session import scratch_path
 from modeleval.sources import sinks
-from modeleval.sources.text import check_headers, scan_text, skip_header, split_fields
+from modeleval.sources.text import header_of, read_delimited, scan_text, skip_header, split_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = list(K.LI_KEY)
 
 # The conditions used by the filter queries.
 PURIFY_CONDITION = "try_cast(o_totalprice AS DOUBLE) > 250000 AND o_orderstatus <> 'F'"
+ROW_ERROR_CONDITION = "double(o_totalprice) > 250000 AND o_orderstatus <> 'F'"
 INVALID_CONDITION = "o_totalprice >>> ("
 API_CONDITION = "l_quantity > 25 AND l_linestatus = 'O'"
 
@@ -93,12 +94,13 @@ def q_skip_header(spark, sf):
 
 
 def q_check_headers(spark, sf):
-    lines = scan_text(spark, K.text_set(spark, sf, "header"))
-    header_line = K.DELIM.join(K.TEXT_HEADERS)
-    names = (lines.filter(F.col("value") == header_line).distinct()
-             .select(F.posexplode(F.split("value", "\\|", -1)).alias("position", "name")))
-    check_headers(K.TEXT_HEADERS)
-    return names
+    """The checked header of the files, with the number of rows that fill each column."""
+    path = K.text_set(spark, sf, "header")
+    names = header_of(spark, path, K.DELIM)
+    rows = read_delimited(spark, path, names, K.DELIM, has_header=True)
+    filled = rows.agg(*[F.count_if(F.col(n) != "").alias(n) for n in names])
+    pairs = [F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), F.col(n).alias("filled")) for i, n in enumerate(names)]
+    return filled.select(F.inline(F.array(*pairs)))
 
 
 def q_short_row_policy(spark, sf):
@@ -122,8 +124,15 @@ def q_save_perf(spark, sf):
 
 
 def q_save_sorted(spark, sf):
-    path = sinks.save_sorted(li_long(spark, sf), scratch_path(spark, "sorted"))
-    return spark.read.parquet(path)
+    """The sorted dump as it lies in the files: each row's rank, and the rank its place has."""
+    ranked = li_perf_rows(spark, sf).select("series", "score", *KEY, "current_record")
+    path = sinks.save_sorted(ranked, scratch_path(spark, "sorted"))
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    first = rows.groupBy("series", "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("series").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.select("series", "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(first, ["series", "_file"]).select(
+        "series", *KEY, "current_record", (F.col("_before") + F.col("_row") + 1).alias("written_rank"))
 
 
 def q_save_filtered(spark, sf):
@@ -144,14 +153,15 @@ def q_points_csv(spark, sf):
 
 # ------------------------------------------------------------------ filters
 def q_purify(spark, sf):
-    lines = scan_text(spark, K.text_set(spark, sf, "header"))
-    return purify_lines(lines, K.TEXT_HEADERS, K.DELIM, PURIFY_CONDITION)
+    """A condition that fails on some rows (``n/a`` for a price): these are dropped."""
+    lines = scan_text(spark, K.text_set(spark, sf, "bad"))
+    return purify_lines(lines, K.TEXT_HEADERS, K.DELIM, ROW_ERROR_CONDITION, on_row_error="drop")
 
 
 def q_purify_invalid(spark, sf):
-    lines = scan_text(spark, K.text_set(spark, sf, "plain"))
-    return purify_lines(lines, K.TEXT_HEADERS, K.DELIM, INVALID_CONDITION, on_invalid="keep",
-                        has_header=False)
+    """A condition that does not parse: every line passes, but header lines do not."""
+    lines = scan_text(spark, K.text_set(spark, sf, "header"))
+    return purify_lines(lines, K.TEXT_HEADERS, K.DELIM, INVALID_CONDITION, on_invalid="keep")
 
 
 def q_purifier_api(spark, sf):
@@ -164,8 +174,11 @@ def q_labelled_only(spark, sf):
 
 
 def q_perf_label_filter(spark, sf):
-    rows = labelled_only(li_scored(spark, sf))
-    return rows.select(*KEY, binary_tag(F.col("tag"), K.LI.pos_tags).alias("tag"))
+    """The reports' rows of a saved score table that still holds other tags, and none at all."""
+    scored = li_scored(spark, sf).drop("is_pos", "is_neg")
+    scored = scored.withColumn("tag", F.when(F.col("l_linenumber") != 7, F.col("tag")))
+    saved = spark.read.parquet(sinks.save_scores(scored, scratch_path(spark, "all-scores")))
+    return series_unpivot(saved, K.LI).filter("series = 'model0'").select(*KEY, "score", "tag")
 
 
 # ------------------------------------------------------------------ projections
@@ -209,6 +222,16 @@ def q_score_models(spark, sf):
         .select(*KEY, "model0", "model1", "model2")
 
 
+def q_score_models_clash(spark, sf):
+    """Input columns named like outputs: scorers, label and weight read the input's."""
+    li = K.lineitem(spark, sf).select(
+        *KEY, (F.col("l_quantity") + 0.5).alias("model0"), F.col("l_returnflag").alias("tag"),
+        F.col("l_tax").alias("score_max"), (F.col("l_quantity") * 2).alias("weight"))
+    spec = K.LI.with_(target="tag", weight_col="weight", meta_cols=(), score_meta_cols=("score_max",),
+                      scorers=("l_linenumber * 10", "model0", "weight"))
+    return score(li, spec).select(*KEY, "tag", "weight", "model0", "model1", "model2", "score_max", "meta_score_max")
+
+
 def q_score_stats(spark, sf):
     return li_scored(spark, sf).select(*KEY, "score_max", "score_min", "score_avg", "score_median")
 
@@ -242,7 +265,7 @@ def q_run_counters(spark, sf):
 
 def q_partition_totals(spark, sf):
     names = [n for n, _ in series_sources(K.LI)]
-    return partition_totals(local_sums_table(li_long(spark, sf), KEY, series_names=names), names)
+    return merged_partitions(local_sums_table(li_long(spark, sf), KEY, series_names=names), KEY, names)
 
 
 def q_population_totals(spark, sf):
@@ -383,6 +406,11 @@ def q_evaluate(spark, sf):
     return evaluate(K.lineitem(spark, sf), K.LI)["points"]
 
 
+def q_evaluate_text(spark, sf):
+    """From text files with headers, bad prices and short rows to curve points."""
+    return evaluate_text(spark, K.text_set(spark, sf, "bad"), K.DELIM, K.OT)["points"]
+
+
 # ------------------------------------------------------------------ other eval sets
 def q_perf_events(spark, sf):
     return _perf_of(K.table(spark, sf, "events"), K.EV)
@@ -427,6 +455,7 @@ def registry() -> dict[str, Query]:
         "meta_numeric": q_meta_numeric,
         "meta_string": q_meta_string,
         "score_models": q_score_models,
+        "score_models_clash": q_score_models_clash,
         "score_stats": q_score_stats,
         "score_lr": q_score_lr,
         "scorer_api": q_scorer_api,
@@ -467,6 +496,7 @@ def registry() -> dict[str, Query]:
         "pr_roc_panels": q_pr_roc_panels,
         "score_histogram": q_score_histogram,
         "evaluate": q_evaluate,
+        "evaluate_text": q_evaluate_text,
         "perf_events": q_perf_events,
         "perf_labels": q_perf_labels,
         "perf_embeddings": q_perf_embeddings,

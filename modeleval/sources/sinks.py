@@ -30,9 +30,15 @@ def save_perf(perf: DataFrame, path: str, mode: str = "error") -> str:
     return path
 
 
-def save_sorted(sorted_rows: DataFrame, path: str, mode: str = "error") -> str:
-    """Optional dump of the per-series sorted rows (debug output)."""
-    sorted_rows.write.mode(mode).partitionBy("series").parquet(path)
+def save_sorted(ranked: DataFrame, path: str, partitions: int | None = None, mode: str = "error") -> str:
+    """Optional dump of the per-series sorted rows (debug output), with their rank.
+
+    ``ranked`` has ``series`` and ``current_record``. Files of a series follow each other
+    in rank, and so do the rows in each file; ties of score are spread over files.
+    """
+    order = ["series", "current_record"]
+    ranged = ranked.repartitionByRange(partitions, *order) if partitions else ranked.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode(mode).partitionBy("series").parquet(path)
     return path
 
 
@@ -53,8 +59,8 @@ def csv_columns(points: DataFrame) -> DataFrame:
 def points_csv(points: DataFrame, path: str, mode: str = "error") -> str:
     """Write each (series, curve) as CSV, rows in ``seq`` order, one folder per curve.
 
-    Curves hold at most B+1 rows per series, so clustering each curve into one
-    task is bounded by the bucket count, not by the data.
+    A rate curve holds at most B+1 rows per series, since weights are not negative, so
+    clustering each into one task is bounded by the bucket count, not by the data.
     """
     table = csv_columns(points)
     (table.repartition("series", "curve")

@@ -8,7 +8,7 @@ the performance tables are cut into curve points.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 # Fixed defaults. The values the original job used live in a library outside the
@@ -16,10 +16,12 @@ from typing import Any
 DEFAULT_WEIGHT_SCALE = 1000
 DEFAULT_SCORE_SCALE = 1000.0
 DEFAULT_BUCKETS = 10
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 POLICIES_ON_INVALID = ("error", "keep")
 POLICIES_SHORT_ROW = ("error", "null", "drop")
 POLICIES_MISSING_SCORE = ("error", "drop")
+POLICIES_ROW_ERROR = ("error", "drop")
 PREFIX_METHODS = ("range", "window")
 
 
@@ -32,11 +34,14 @@ class EvalSpec:
     row_key           columns that make a row unique; they break score ties
     scorers           scorer objects (see ``operators.scoring``); produce model0..
     weight_col        optional weight column; weight = trunc(value * weight_scale)
-    meta_cols         columns carried to the score output unchanged (as text)
+    meta_cols         columns carried to the score output: ``meta_<c>`` DOUBLE, text for multi-class
     score_meta_cols   numeric meta columns that get their own performance series
     buckets           B, the number of buckets a curve metric is cut into
     condition         optional row filter (Spark SQL boolean expression)
     multiclass        True selects the multi-class scoring path (no reports)
+    on_row_error      what a row does on which the condition fails: the job ends, or it is dropped
+    prefix_partitions range partitions; None derives them from the written score table's size
+    max_broadcast_rows  offsets (partitions x series) are broadcast up to so many rows, else joined
     """
 
     target: str
@@ -57,8 +62,8 @@ class EvalSpec:
     prefix_partitions: int | None = None
     thin: bool = False
     multiclass: bool = False
-    name: str = "eval"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    on_row_error: str = "error"
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "pos_tags", tuple(str(t) for t in self.pos_tags))
@@ -73,6 +78,8 @@ class EvalSpec:
             raise ValueError(f"on_short_row must be one of {POLICIES_SHORT_ROW}")
         if self.on_missing_score not in POLICIES_MISSING_SCORE:
             raise ValueError(f"on_missing_score must be one of {POLICIES_MISSING_SCORE}")
+        if self.on_row_error not in POLICIES_ROW_ERROR:
+            raise ValueError(f"on_row_error must be one of {POLICIES_ROW_ERROR}")
         if self.prefix_method not in PREFIX_METHODS:
             raise ValueError(f"prefix_method must be one of {PREFIX_METHODS}")
         if self.buckets < 1:

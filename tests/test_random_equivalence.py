@@ -62,7 +62,8 @@ def test_against_rules(spark, seed, method, parts):
 
 
 def test_plans_equal_global_window(spark):
-    from modeleval.operators.prefix import prefix_global_window, prefix_sums
+    from modeleval.operators.prefix import prefix_sums
+    from tests.reference_plans import prefix_global_window
     from modeleval.operators.series import series_unpivot
     rows = _data(11, n=400)
     df = spark.createDataFrame(rows, "row_id INT, score DOUBLE, tag STRING, weight DOUBLE")
