@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, longer if a column of ``df`` starts with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)
@@ -100,15 +107,13 @@ class WordHasher:
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each run of ``size`` words, row of it). A text with fewer words has one shingle of all."""
     n = np.diff(offsets)
-    row = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(words)) - offsets[:-1][row] if len(words) else np.zeros(0, np.int64)
-    keep = (at + size <= n[row]) | ((n[row] < size) & (at == 0))
-    pos, row = np.flatnonzero(keep), row[keep]
-    left = n[row] - at[pos]
-    total = np.zeros(len(pos), np.uint64)
-    factor = 1
+    keep = np.maximum(n - size + 1, n > 0)
+    row = np.repeat(np.arange(len(n)), keep)
+    pos = np.arange(len(row)) + (offsets[:-1] - (np.cumsum(keep) - keep))[row]
+    factors = [pow(_ODD, k + 1, 2**64) | 1 for k in range(size)]
     padded = np.concatenate([words, np.zeros(size, np.uint64)])
-    for k in range(size):
-        factor = factor * _ODD % 2**64 | 1
-        total += np.where(k < left, padded[pos + k], np.uint64(k + 1)) * np.uint64(factor)
+    total = sum(padded[k:k + len(words)] * np.uint64(f) for k, f in enumerate(factors))[pos] if len(words) else np.zeros(0, np.uint64)
+    for i in np.flatnonzero((n > 0) & (n < size)):
+        short = [words[offsets[i] + k] if k < n[i] else np.uint64(k + 1) for k in range(size)]
+        total[np.searchsorted(row, i)] = sum(int(w) * f for w, f in zip(short, factors)) % 2**64
     return mix(total), row

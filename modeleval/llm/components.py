@@ -20,13 +20,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("__m")).select(
         F.col("a").alias("key"), F.least("a", "__m").alias("comp")), "cc-labels")
     while True:
-        near = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("comp").alias("__m"))
-        step = labels.join(near, labels["key"] == near["a"]).select("key", F.least("comp", "__m").alias("__c"), F.col("comp").alias("__old"))
+        # One aggregation brings a node its own label and those of its neighbours.
+        heard = both.join(labels, both["b"] == labels["key"]).select("a", "comp", F.lit(None).cast("binary").alias("own"))
+        step = heard.unionAll(labels.select("key", "comp", F.col("comp").alias("own"))).groupBy("a").agg(F.min("comp").alias("near"), F.max("own").alias("own"))
         # The label's own label: it is a key too, so the join loses nothing.
-        jump = labels.select(F.col("key").alias("__k"), F.col("comp").alias("__cc"))
-        new = materialize(step.join(jump, F.col("__c") == F.col("__k")).select(
-            "key", F.least("__c", "__cc").alias("comp"), (F.least("__c", "__cc") != F.col("__old")).alias("changed")), "cc-labels")
-        changed = new.filter("changed").limit(1).count()
+        jump = labels.select(F.col("key").alias("k"), F.col("comp").alias("far"))
+        new = materialize(step.join(jump, F.col("near") == F.col("k")).select(
+            F.col("a").alias("key"), F.least("near", "far").alias("comp"), (F.least("near", "far") != F.col("own")).alias("changed")), "cc-labels")
+        done = new.filter("changed").isEmpty()
         labels = new.select("key", "comp")
-        if not changed:
+        if done:
             return labels

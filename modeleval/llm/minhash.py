@@ -14,13 +14,18 @@ a rare shingle down to 1 for one that every document has; hash collisions are fa
 
 A bucket of a band is never expanded into all its pairs. Its members are compared with
 one hub (the member that shares most bands), then only members in other components than
-the hub's go on, with two hubs, four, eight and so on until the bucket is one component
-or every member has been a hub: no pair that could matter is left out.
+the hub's go on, with more hubs, ``HUB_GROWTH`` times as many each round, until the bucket
+is known to be one component or every member has been a hub: no pair that could matter is
+left out. Pairs whose total weights differ by more than the threshold allows are not
+compared, since their similarity is at most the ratio of the totals. After the first
+round a bucket's hubs meet parts of its members as sets, in one task for each part, so
+no row is made for a pair that is no link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modeleval.llm.common import WordHasher, mix, shingle_hashes, slices
+from modeleval.llm.common import WordHasher, free_prefix, mix, shingle_hashes, slices
 from modeleval.llm.components import connected_components
 from modeleval.session import materialize
 
@@ -39,6 +44,9 @@ BANDS, ROWS = 10, 4
 BUCKET_BITS, BLOCK_BITS = 22, 16
 SMOOTH = 0.01
 PAIRS_PER_TASK_GROUP = 64
+HUB_GROWTH = 256
+PART = 256
+SLICE = 1 << 18
 
 
 def text_key(text) -> F.Column:
@@ -49,13 +57,11 @@ def text_key(text) -> F.Column:
 def weighted_shingles(hasher: WordHasher, levels: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, hash, weight) of the distinct shingles of each text, sorted by row and hash."""
     hashes, row = shingle_hashes(*hasher.words(texts), SHINGLE)
-    order = np.lexsort((hashes, row))
-    hashes, row = hashes[order], row[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-    at = np.flatnonzero(first)
-    times = np.diff(np.append(at, len(hashes)))
-    hashes, row = hashes[at], row[at]
+    # Row and 48 bits of the hash in one number: one plain sort. (A slice has fewer than 2^16 rows.)
+    packed = np.sort((row.astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16)))
+    at = np.flatnonzero(np.append(True, packed[1:] != packed[:-1])[:len(packed)])
+    times = np.diff(np.append(at, len(packed)))
+    row, hashes = (packed[at] >> np.uint64(48)).astype(np.int64), packed[at] << np.uint64(16)
     return row, hashes, times * (1 + levels[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] / 255.0)
 
 
@@ -68,10 +74,10 @@ def idf_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = WordHasher(), np.zeros(1 << BUCKET_BITS, np.uint32)
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, "__text", SLICE):
                 hashes, row = shingle_hashes(*hasher.words(batch.column(0)), SHINGLE)
                 pairs = np.unique((row.astype(np.uint64) << np.uint64(BUCKET_BITS)) | (hashes >> np.uint64(64 - BUCKET_BITS)))
-                seen += np.bincount((pairs & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), minlength=len(seen)).astype(np.uint32)
+                np.add.at(seen, (pairs & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), np.uint32(1))
         for block in range(blocks):
             part = seen[block << BLOCK_BITS:(block + 1) << BLOCK_BITS]
             at = np.flatnonzero(part)
@@ -102,17 +108,18 @@ def idf_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 class Sampler:
     """Improved consistent weighted sampling, ``BANDS * ROWS`` draws per set.
 
-    For draw j, an element's r, c (both Gamma(2, 1)) and b (uniform) come from tables read
-    at bits of its hash times an odd number of the draw. With t = floor(ln w / r + b) the
-    element's value is ln a = ln c - r (t + 1 - b); the least value's element is drawn.
+    For draw j, an element's c (Gamma(2, 1)) and its pair of r (Gamma(2, 1)) and b (uniform)
+    come from tables read at bits of its hash times an odd number of the draw. With
+    t = floor(ln w / r + b) the element's value is ln a = ln c - r (t + 1 - b); the element
+    of the least value is drawn.
     """
 
     def __init__(self, seed: int = 23):
         rng = np.random.default_rng(seed)
         draws = BANDS * ROWS
         self.odd = rng.integers(0, 2**63, draws, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.r = rng.gamma(2.0, 1.0, 4096).astype(np.float32)
-        self.b = rng.random(4096).astype(np.float32)
+        self.r = rng.gamma(2.0, 1.0, 8192).astype(np.float32)
+        self.b = rng.random(8192).astype(np.float32)
         self.log_c = np.log(rng.gamma(2.0, 1.0, 65536)).astype(np.float32)
 
     def bands(self, row: np.ndarray, hashes: np.ndarray, weight: np.ndarray, rows: int) -> list[list[int] | None]:
@@ -121,16 +128,27 @@ class Sampler:
         if not len(hashes):
             return out
         starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        log_w, low = np.log(weight).astype(np.float32), hashes & np.uint64(0xFFFFFFFF)
+        log_w, low = np.log(weight).astype(np.float32), (hashes >> np.uint64(16)) & np.uint64(0xFFFFFFFF)
         keys = np.zeros((len(starts), BANDS), np.uint64)
+        over = 1 / self.r
         for j, odd in enumerate(self.odd):
             x = hashes * odd
-            r = self.r[(x >> np.uint64(36)) & np.uint64(4095)]
-            b = self.b[(x >> np.uint64(24)) & np.uint64(4095)]
-            value = self.log_c[x >> np.uint64(48)] - r * (np.floor(log_w / r + b) + 1 - b)
-            bits = value.view(np.uint32)
-            ordered = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)).astype(np.uint64) << np.uint64(32)
-            drawn = np.minimum.reduceat(ordered | low, starts)
+            pair = ((x >> np.uint64(35)) & np.uint64(8191)).astype(np.intp)
+            b = self.b.take(pair, mode="clip")
+            value = over.take(pair, mode="clip")
+            value *= log_w
+            value += b
+            np.floor(value, out=value)
+            value += 1
+            value -= b
+            value *= self.r.take(pair, mode="clip")
+            np.subtract(self.log_c.take((x >> np.uint64(48)).astype(np.intp), mode="clip"), value, out=value)
+            # Floats in order as unsigned numbers; below them the element, so that the least names it.
+            bits = value.view(np.int32)
+            bits ^= (bits >> 31) & np.int32(0x7FFFFFFF)
+            ordered = (bits.astype(np.int64) << 32).view(np.uint64) ^ np.uint64(1 << 63)
+            ordered |= low
+            drawn = np.minimum.reduceat(ordered, starts)
             keys[:, j // ROWS] = mix(keys[:, j // ROWS] ^ drawn ^ np.uint64(j + 1))
         for i, values in zip(row[starts].tolist(), keys.view(np.int64).tolist()):
             out[i] = values
@@ -138,16 +156,19 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, key, bands`` of every row."""
+    """``doc_id, key, bands, total`` (weight of all shingles) of every row."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("key", T.BinaryType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("total", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sampler = WordHasher(), Sampler()
         for whole in batches:
-            for batch in slices(whole, "__text"):
-                bands = sampler.bands(*weighted_shingles(hasher, levels, batch.column(2)), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+            for batch in slices(whole, "__text", SLICE):
+                row, hashes, weight = weighted_shingles(hasher, levels, batch.column(2))
+                bands = sampler.bands(row, hashes, weight, batch.num_rows)
+                total = np.bincount(row, weight, batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(total)],
+                                                 ["doc_id", "key", "bands", "total"])
 
     text = docs[text_col]
     return docs.select(docs[id_col].alias("doc_id"), text_key(text).alias("key"), text.alias("__text")).mapInArrow(run, schema)
@@ -162,11 +183,10 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 
 def verify(pairs: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs (``hub, member``) whose whole texts reach the threshold, as ``a, b``.
+    """The pairs (``hub, member``, written) whose whole texts reach the threshold, as ``a, b``.
 
     A hub with many members is split into groups; each gets a copy of the hub's text."""
     sized = pairs.join(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK_GROUP).cast("int").alias("groups")), "hub")
-    sized = materialize(sized, "near-pairs")
     member = sized.withColumn("part", F.pmod(F.xxhash64("member"), F.col("groups")).cast("int")).join(
         texts, F.col("member") == texts["key"]).select("hub", "part", "member", "text")
     hub = sized.select("hub", "groups").distinct().join(texts, F.col("hub") == texts["key"]).select(
@@ -190,47 +210,101 @@ def verify(pairs: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: fl
     return hub.unionByName(member).groupBy("hub", "part").applyInPandas(compare, "a binary, b binary")
 
 
+def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
+    """Links ``hub, member, hub_comp, comp`` between the ``chosen`` hubs of each bucket and its
+    members in other components. A bucket's members are dealt into parts of about ``PART``;
+    each part gets a copy of the hubs."""
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    comp = "struct<degree:bigint,key:binary>"
+    member = open_members.select("band", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), "key", "comp", F.lit(False).alias("is_hub"))
+    hub = chosen.select("band", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("hub").alias("key"), F.col("hub_comp").alias("comp"), F.lit(True).alias("is_hub"))
+    rows = member.unionAll(hub).join(texts.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).select(
+        "band", "part", "is_hub", "key", F.col("comp.degree").alias("degree"), F.col("comp.key").alias("comp"), "text")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        hasher, hubs, out = WordHasher(), frame[frame.is_hub].reset_index(drop=True), []
+        members = frame[~frame.is_hub].reset_index(drop=True)
+        if len(hubs) and len(members):
+            row, hashes, weight = _sets(hasher, levels, hubs.text)
+            total = np.bincount(row, weight, len(hubs))
+            order = np.argsort(hashes, kind="stable")
+            row, hashes, weight = row[order], hashes[order], weight[order]
+            hub_comp = hubs.comp.to_numpy()
+            for lo in range(0, len(members), 64):
+                at, h, w = _sets(hasher, levels, members.text[lo:lo + 64])
+                cut = np.searchsorted(at, np.arange(min(64, len(members) - lo) + 1))
+                for i in range(len(cut) - 1):
+                    mine, own = h[cut[i]:cut[i + 1]], w[cut[i]:cut[i + 1]]
+                    first, last = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+                    many = last - first
+                    pick = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                    both = np.bincount(row[pick], np.minimum(weight[pick], np.repeat(own, many)), len(hubs))
+                    linked = both >= threshold * (total + own.sum() - both)
+                    m = members.iloc[lo + i]
+                    out += [(hubs.key[j], m.key, hubs.degree[j], hub_comp[j], m.degree, m.comp) for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist()]
+        return pd.DataFrame(out, columns=["hub", "member", "hub_degree", "hub_key", "degree", "comp_key"])
+
+    found = rows.groupBy("band", "part").applyInPandas(compare, "hub binary, member binary, hub_degree long, hub_key binary, degree long, comp_key binary")
+    return found.select("hub", "member", F.struct(F.col("hub_degree").alias("degree"), F.col("hub_key").alias("key")).cast(comp).alias("hub_comp"),
+                        F.struct("degree", F.col("comp_key").alias("key")).cast(comp).alias("comp"))
+
+
+def _sets(hasher: WordHasher, levels: np.ndarray, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``weighted_shingles`` of a column of texts, a few at a time."""
+    found = []
+    for lo in range(0, len(texts), 32):
+        row, hashes, weight = weighted_shingles(hasher, levels, pa.array(texts.iloc[lo:lo + 32].tolist(), pa.string()))
+        found.append((row + lo, hashes, weight))
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
+
+
 # ----------------------------------------------------------------------- classes
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct text: ``key, first_id`` (its least id), ``class_id`` (the least id in
     its class) and ``class_key`` (the text of that id)."""
     levels = idf_levels(docs, text_col)
     signed = materialize(signatures(docs, levels, id_col, text_col), "near-signed")
-    alone = materialize(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")), "near-texts")
-    banded = alone.select("key", F.posexplode("bands").alias("at", "value")).select(
-        "key", F.xxhash64("at", "value").alias("band"))
+    alone = materialize(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("total").alias("total")), "near-texts")
+    banded = alone.select("key", "total", F.posexplode("bands").alias("at", "value")).select("key", "total", F.xxhash64("at", "value").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialize(banded.join(shared, "band").select("band", "key", "n"), "near-members")
+    members = materialize(banded.join(shared, "band").select("band", "key", "total", "n"), "near-members")
     degree = members.groupBy("key").agg(F.sum("n").alias("degree"))
-    members = materialize(members.join(degree, "key"), "near-degrees")
-    wanted = degree.select("key")
-    texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    texts = materialize(texts, "near-candidates")
-
-    links, open_members, tried, labels = None, members, 0, None
-    while True:
-        hubs = 2 * tried + 1  # how many of each bucket have been hubs after this round
-        rank = F.row_number().over(W.partitionBy("band").orderBy(F.col("degree").desc(), "key"))
-        labelled = open_members.withColumn("comp", F.col("key")) if labels is None else open_members.join(
-            labels.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k"), "left").withColumn("comp", F.coalesce("comp", "key")).drop("__k")
-        chosen = labelled.withColumn("rank", rank).filter(F.col("rank") <= hubs).filter(F.col("rank") > tried).select(
-            "band", F.col("key").alias("hub"), F.col("comp").alias("hub_comp"))
-        pairs = labelled.join(chosen, "band").filter("comp <> hub_comp").select("hub", F.col("key").alias("member")).distinct()
-        found = materialize(verify(pairs, texts, levels, threshold), "near-links")
-        links = found if links is None else links.unionAll(found)
+    # A component is named by its member of highest degree as far as known; ties go to the key.
+    open_members = members.join(degree, "key").select("band", "key", "total", "n", F.struct("degree", "key").alias("rank"), F.struct("degree", "key").alias("comp"))
+    texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(degree.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    open_members, texts = materialize(open_members, "near-open"), materialize(texts, "near-candidates")
+
+    found, tried = [], 0
+    while not open_members.isEmpty():
+        hubs = tried * HUB_GROWTH + 1  # how many of each bucket have been hubs after this round
+        place = F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
+        chosen = open_members.withColumn("place", place).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
+            "band", "n", F.col("key").alias("hub"), F.col("total").alias("hub_total"), F.col("comp").alias("hub_comp"))
+        if tried == 0:
+            pairs = open_members.join(chosen.drop("n"), "band").filter(F.col("comp") != F.col("hub_comp")).filter(
+                F.least("total", "hub_total") >= (threshold - 1e-6) * F.greatest("total", "hub_total")).select(
+                "hub", F.col("key").alias("member"), "hub_comp", "comp").distinct()
+            pairs = materialize(pairs, "near-pairs")
+            links = verify(pairs.select("hub", "member"), texts, levels, threshold).join(
+                pairs, (F.col("a") == F.col("hub")) & (F.col("b") == F.col("member"))).select("hub", "member", "hub_comp", "comp")
+        else:
+            links = compare_parts(open_members, chosen, texts, levels, threshold)
+        links = materialize(links, "near-links")
+        found.append(links.select(F.col("hub").alias("a"), F.col("member").alias("b")))
         tried = hubs
-        if not found.isEmpty():
-            labels = connected_components(links)
+        # Each component joins the one of highest rank that it is linked to, and that one's in turn.
+        joined = links.select("hub_comp", "comp")
+        up = joined.unionAll(joined.select(F.col("comp").alias("x"), F.col("hub_comp").alias("y"))).groupBy(F.col("hub_comp").alias("low")).agg(
+            F.max("comp").alias("high")).filter(F.col("high") > F.col("low"))
+        up = materialize(up, "near-up")
+        up = up.join(up.select(F.col("low").alias("high"), F.col("high").alias("top")), "high", "left").select("low", F.coalesce("top", "high").alias("top"))
         left = open_members.filter(F.col("n") > tried)
-        if labels is not None:
-            left = left.join(labels.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k"), "left").withColumn("comp", F.coalesce("comp", "key")).drop("__k")
-        else:
-            left = left.withColumn("comp", F.col("key"))
-        split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-        open_members = materialize(left.drop("comp").join(split, "band", "left_semi"), "near-open")
-        if open_members.isEmpty():
-            break
+        left = left.join(up, F.col("comp") == F.col("low"), "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
+        split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
+        open_members = materialize(left.join(split, "band", "left_semi"), "near-open")
 
+    linked = reduce(DataFrame.unionAll, found) if found else None
+    labels = None if linked is None or linked.isEmpty() else connected_components(linked)
     own = alone.select("key", "first_id")
     if labels is None:
         return own.select("key", "first_id", F.col("first_id").alias("class_id"), F.col("key").alias("class_key"))
@@ -256,7 +330,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class, the one with the least id, with all columns of ``docs``."""
-    keepers = near_classes(docs, threshold, id_col, text_col).filter(F.col("key") == F.col("class_key")).select("key", "class_id")
-    own = docs.withColumn("__key", text_key(F.col(text_col)))
-    found = own.join(keepers, (F.col("__key") == F.col("key")) & F.col(id_col).eqNullSafe(F.col("class_id")), "left_semi")
-    return found.dropDuplicates(["__key"]).drop("__key")
+    keepers = near_classes(docs, threshold, id_col, text_col).filter(F.col("key") == F.col("class_key")).select(F.struct("key", "class_id").alias("keeper"))
+    name = free_prefix(docs, "__near_key")
+    own = docs.withColumn(name, text_key(F.col(text_col))).alias("d")
+    found = own.join(keepers.alias("k"), (F.col(f"d.{name}") == F.col("k.keeper.key")) & F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.keeper.class_id")), "left_semi")
+    return found.dropDuplicates([name]).drop(name)

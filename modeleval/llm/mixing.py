@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from modeleval.llm.common import free_prefix
 from modeleval.session import materialize
 
 #: Fixed value: what counts as a word.
@@ -110,13 +111,12 @@ def plan(rows: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1
         "g.source", "source_size", "target", "certain", "p", F.coalesce("cut", F.lit(-1).cast("long")).alias("cut"))
 
 
-def copies(bits: Column) -> Column:
+def copies(bits: Column, certain: Column, p: Column, last: Column) -> Column:
     """Whole copies of a document: the certain ones, and one more if its Pareto quotient is at most
     that of the cut. All documents of a source have the same p, so quotients compare as the bits do."""
-    u, cut = (bits + 0.5) / 2**U_BITS, (F.col("__cut") + 0.5) / 2**U_BITS
-    quotient, limit = odds(u) / odds(F.col("__p")), odds(cut) / odds(F.col("__p"))
-    more = (F.col("__cut") >= 0) & (F.col("__p") > 0) & (quotient <= limit)
-    return F.col("__certain") + F.when(more, 1).otherwise(0)
+    u, cut = (bits + 0.5) / 2**U_BITS, (last + 0.5) / 2**U_BITS
+    more = (last >= 0) & (p > 0) & (odds(u) / odds(p) <= odds(cut) / odds(p))
+    return certain + F.when(more, 1).otherwise(0)
 
 
 def prepare(docs: DataFrame, seed: str, source_col: str, text_col: str, id_col: str) -> DataFrame:
@@ -124,11 +124,14 @@ def prepare(docs: DataFrame, seed: str, source_col: str, text_col: str, id_col:
                        word_count(F.col(text_col)).alias("size"), random_bits(F.col(id_col), F.col(text_col), seed).alias("bits"))
 
 
-def _planned(spark_rows: DataFrame, sources: DataFrame) -> DataFrame:
+def _planned(rows: DataFrame, sources: DataFrame, source: str, bits: str, out: str) -> DataFrame:
+    """``rows`` with the plan of their source as the struct ``out`` and their copies in it."""
     known = materialize(sources, "mix-plan")
-    side = known.select(*[F.col(c).alias(f"__{c}") for c in known.columns])
+    side = known.select(F.struct(*known.columns).alias(out))
     side = F.broadcast(side) if known.count() <= MAX_BROADCAST_SOURCES else side
-    return spark_rows.join(side, spark_rows["__src"].eqNullSafe(F.col("__source")), "left")
+    joined = rows.join(side, F.col(f"`{source}`").eqNullSafe(F.col(f"{out}.source")), "left")
+    own = F.col(out)
+    return joined.withColumn(out, own.withField("copies", copies(F.col(bits), own["certain"], own["p"], own["cut"])))
 
 
 def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix",
@@ -139,15 +142,16 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: flo
     the last. Repeated rows are taken alike. An empty table gives an empty result.
     """
     rows = materialize(prepare(docs, seed, source_col, text_col, id_col), "mix-rows")
-    joined = _planned(rows.withColumnRenamed("source", "__src"), plan(rows, weights, share, cap)).withColumn("copies", copies(F.col("bits")))
-    return joined.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-                         (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    joined = _planned(rows, plan(rows, weights, share, cap), "source", "bits", "plan")
+    return joined.select("doc_id", "size", "plan.source_size", "plan.target", (F.col("size") * F.col("plan.copies")).alias("taken"), "plan.copies")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix",
         source_col: str = "source", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The mixed corpus: each row of ``docs``, all its columns, as often as it is taken."""
     rows = materialize(prepare(docs, seed, source_col, text_col, id_col), "mix-rows")
-    own = docs.withColumn("__src", F.col(source_col)).withColumn("__bits", random_bits(F.col(id_col), F.col(text_col), seed))
-    joined = _planned(own, plan(rows, weights, share, cap)).withColumn("__copies", copies(F.col("__bits")))
-    return joined.select(*[f"`{c}`" for c in docs.columns], F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))).alias("__n")).drop("__n")
+    own = free_prefix(docs, "__mix_")
+    drawn = docs.withColumn(f"{own}bits", random_bits(F.col(id_col), F.col(text_col), seed))
+    joined = _planned(drawn, plan(rows, weights, share, cap), source_col, f"{own}bits", f"{own}plan")
+    each = F.explode(F.array_repeat(F.lit(1), F.col(f"{own}plan.copies").cast("int")))
+    return joined.select(*[f"`{c}`" for c in docs.columns], each.alias(f"{own}n")).drop(f"{own}n")
