@@ -10,7 +10,8 @@ anchor. Runs are grouped by anchor:
 2. Runs that are equal byte for byte are counted: they repeat as a whole, and the group
    keeps one of them. So thousands of copies of a text weigh as much as one.
 3. Runs that share an anchor but differ are suffix-sorted together (``suffixes.py``);
-   windows that repeat are neighbours in that order, and are compared byte by byte.
+   windows that repeat are neighbours in that order, and are compared symbol by symbol.
+   Every window of a run has the whole anchor inside, so the anchor is one symbol there.
 
 Which anchors repeat, and with different runs, is shared with the tasks as two bit tables
 of fixed size. They only spare work: an anchor let through in error is dropped later.
@@ -33,6 +34,7 @@ from modeleval.llm.suffixes import suffix_array
 from modeleval.session import materialize
 
 LENGTH, GRAM = 200, 100
+SLICE = 1 << 18
 TABLE_BITS, BLOCK_BITS = 25, 20
 SORT_BYTES = 1 << 16
 MAX_RUNS = 20_000
@@ -62,9 +64,10 @@ class Anchors:
         return mix((sums[self.length:] - sums[:-self.length]) * self.inverses[:max(0, len(sums) - self.length)])
 
     def runs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, first byte in ``data``, windows, anchor hash, hash of the run's bytes) of every run."""
+        """(row, first byte in ``data``, windows, anchor hash, hash of the run's bytes, first byte of
+        the anchor) of every run."""
         n, span = len(data), self.length - self.gram + 1
-        empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64))
         if n < self.length:
             return empty
         self._grow(n)
@@ -92,7 +95,9 @@ class Anchors:
         first = np.flatnonzero(new & inside)
         after = np.flatnonzero(np.append(new, True) | np.append(~inside, True))
         end = after[np.searchsorted(after, first, "right")]
-        return row[first], first, end - first, grams[anchor[first].astype(np.int64)], digest(first, end + self.length - 1)
+        place = anchor[first].astype(np.int64)
+        # Anchors have small hashes; mixed again they spread over the tables and partitions.
+        return row[first], first, end - first, mix(grams[place] ^ self.base), digest(first, end + self.length - 1), place
 
 
 def _table(keys: DataFrame) -> np.ndarray:
@@ -122,29 +127,32 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def repeated_windows(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each byte string, which of its windows start a ``length``-byte string that another
-    position in any of ``pieces`` starts too. One suffix array over all of them."""
-    data = np.frombuffer(b"".join(pieces), np.uint8)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    # A separator after each piece, below all bytes; one end symbol below that.
-    place = np.arange(len(data)) + np.repeat(np.arange(len(pieces)), sizes)
-    symbols = np.ones(len(data) + len(pieces) + 1, np.int64)
-    symbols[place] = data.astype(np.int64) + 2
+def repeated_windows(groups: list[list[tuple[bytes, bytes]]], length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
+    """For each run, given as its bytes before and after the anchor of its group, which of its
+    windows another place in the group starts too. One suffix array over all groups."""
+    span = length - gram + 1  # a window, with the anchor as one symbol
+    runs = [(2 + 256 + g, before, after) for g, group in enumerate(groups) for before, after in group]
+    sizes = np.array([len(before) + 1 + len(after) for _, before, after in runs], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    # A separator after each run, below all bytes; one end symbol below that.
+    symbols = np.ones(int(sizes.sum()) + len(runs) + 1, np.int64)
     symbols[-1] = 0
     valid = np.zeros(len(symbols), bool)
-    for i, (a, n) in enumerate(zip(starts, sizes)):
-        valid[a + i:a + i + max(0, n - length + 1)] = True
+    for start, (anchor, before, after) in zip(starts.tolist(), runs):
+        middle = start + len(before)
+        symbols[start:middle] = np.frombuffer(before, np.uint8).astype(np.int64) + 2
+        symbols[middle] = anchor
+        symbols[middle + 1:middle + 1 + len(after)] = np.frombuffer(after, np.uint8).astype(np.int64) + 2
+        valid[start:middle + 1 + len(after) - span + 1] = True
     order = np.array(suffix_array(symbols.tolist()), np.int64)
     order = order[valid[order]]
     again = np.zeros(len(symbols), bool)
-    views = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.uint16), min(length, len(symbols)))
+    views = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int32), span)
     for lo in range(0, len(order) - 1, 4096):
         a, b = order[lo:lo + 4096][:len(order) - 1 - lo], order[lo + 1:lo + 4097]
         same = (views[a] == views[b]).all(axis=1)
         again[a[same]] = again[b[same]] = True
-    return [again[a + i:a + i + max(0, n - length + 1)] for i, (a, n) in enumerate(zip(starts, sizes))]
+    return [again[start:start + n - span + 1] for start, n in zip(starts.tolist(), sizes.tolist())]
 
 
 def _intervals(flags: np.ndarray) -> list[int]:
@@ -165,7 +173,7 @@ class Spans:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchors, seen = Anchors(length, gram), set()
             for whole in batches:
-                for batch in slices(whole, "text"):
+                for batch in slices(whole, "text", SLICE):
                     data, offsets = text_buffers(batch.column(1))
                     found = emit(batch, data, offsets, anchors.runs(data, offsets), seen)
                     if found is not None and found.num_rows:
@@ -185,15 +193,16 @@ class Spans:
         """The runs of repeated anchors, by text."""
         def emit(batch, data, offsets, found, seen):
             keep = _in_table(repeated, found[3])
-            row, first, size, anchor, run = (x[keep] for x in found)
+            row, first, size, anchor, run, _ = (x[keep] for x in found)
             return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(first - offsets[row]), pa.array(size.astype(np.int32)),
                                                _signed(anchor), _signed(run)], ["key", "first", "size", "anchor", "run"])
 
         return self._runs(emit, "key binary, first long, size int, anchor long, run long")
 
     def contents(self, differing: np.ndarray) -> DataFrame:
-        """The bytes of the runs whose anchor has different ones; a task sends equal runs once."""
-        length = self.length
+        """The bytes before and after the anchor of the runs whose anchor has different ones; a task
+        sends equal runs once."""
+        length, gram = self.length, self.gram
 
         def emit(batch, data, offsets, found, seen):
             keep = np.flatnonzero(_in_table(differing, found[3]))
@@ -205,57 +214,65 @@ class Spans:
                 if key not in seen:
                     seen.add(key)
                     rows.append(i)
-            pieces = [data[a:a + n + length - 1].tobytes() for a, n in zip(found[1][rows].tolist(), found[2][rows].tolist())]
-            return pa.RecordBatch.from_arrays([_signed(found[3][rows]), _signed(found[4][rows]), pa.array(pieces, pa.binary())], ["anchor", "run", "bytes"])
+            first, size, place = found[1][rows].tolist(), found[2][rows].tolist(), found[5][rows].tolist()
+            before = [data[a:p].tobytes() for a, p in zip(first, place)]
+            after = [data[p + gram:a + n + length - 1].tobytes() for a, n, p in zip(first, size, place)]
+            return pa.RecordBatch.from_arrays([_signed(found[3][rows]), _signed(found[4][rows]), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
+                                              ["anchor", "run", "before", "after"])
 
-        return self._runs(emit, "anchor long, run long, bytes binary")
+        return self._runs(emit, "anchor long, run long, before binary, after binary")
 
 
-def _sorted_groups(length: int):
+def _sorted_groups(length: int, gram: int):
     """Tasks get whole anchors, in order; they are sorted some ``SORT_BYTES`` at a time."""
-    def flush(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        out = [(a, r, _intervals(f)) for (a, r, _), f in zip(rows, repeated_windows([b for _, _, b in rows], length)) if f.any()]
+    def flush(groups: list[list[tuple]]) -> pa.RecordBatch:
+        rows = [r for group in groups for r in group]
+        found = repeated_windows([[r[2:] for r in group] for group in groups], length, gram)
+        out = [(r[0], r[1], _intervals(f)) for r, f in zip(rows, found) if f.any()]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
                                            pa.array([x[2] for x in out], pa.list_(pa.int32()))], ["anchor", "run", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, group, size, last = [], [], 0, None
         for batch in batches:
-            for anchor, piece, content in zip(*(c.to_pylist() for c in batch.columns)):
-                if group and anchor != group[0][0]:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and row[0] != group[0][0]:
                     if len(group) > 1:
-                        ready += group
-                        size += sum(len(g[2]) for g in group)
+                        ready.append(group)
+                        size += sum(len(r[2]) + len(r[3]) for r in group)
                         if size >= SORT_BYTES:
                             yield flush(ready)
                             ready, size = [], 0
                     group, last = [], None
-                if piece != last:
-                    group.append((anchor, piece, content))
-                    last = piece
-        ready += group if len(group) > 1 else []
+                if row[1] != last:
+                    group.append(row)
+                    last = row[1]
+        if len(group) > 1:
+            ready.append(group)
         if ready:
             yield flush(ready)
 
     return run
 
 
-def _windowed(contents: DataFrame, length: int) -> DataFrame:
-    """For anchors of very many runs: the windows of each run that another run or place has too,
-    by 128 bits of each window, counted like any other key."""
+def _windowed(contents: DataFrame, length: int, gram: int) -> DataFrame:
+    """For anchors of very many runs: the windows of each run that another run has too, by 128
+    bits of each window (its anchor, which all share, left out), counted like any other key."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = Anchors(length, 1, 43), Anchors(length, 1, 47)
+        one, two = Anchors(length - gram, 1, 43), Anchors(length - gram, 1, 47)
         for batch in batches:
-            for anchor, run, content in zip(*(c.to_pylist() for c in batch.columns)):
-                data = np.frombuffer(content, np.uint8)
-                w1, w2 = one.windows(data), two.windows(data)
+            for anchor, run, before, after in zip(*(c.to_pylist() for c in batch.columns)):
+                # Windows that start at different distances from the anchor differ: the distance is mixed in.
+                data = np.frombuffer(before + after, np.uint8)
+                far = mix(len(before) - np.arange(len(data) - (length - gram) + 1))
+                w1, w2 = one.windows(data) ^ far, two.windows(data) ^ far
                 n = len(w1)
                 yield pa.RecordBatch.from_arrays([pa.array([anchor] * n), pa.array([run] * n), pa.array(np.arange(n, dtype=np.int32)), _signed(w1), _signed(w2)],
                                                  ["anchor", "run", "at", "w1", "w2"])
 
     each = contents.dropDuplicates(["anchor", "run"]).mapInArrow(split, "anchor long, run long, at int, w1 long, w2 long")
-    twice = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return each.join(twice, ["w1", "w2"]).groupBy("anchor", "run").agg(F.flatten(F.transform(
+    twice = each.groupBy("anchor", "w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return each.join(twice, ["anchor", "w1", "w2"]).groupBy("anchor", "run").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list("at")), lambda x: F.array(x, x + 1))).alias("spans"))
 
 
@@ -272,9 +289,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     hot = materialize(counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs")).filter(F.col("runs") > max_runs).select("anchor"), "suffix-hot")
     crowded = not hot.isEmpty()
     tasked = (contents.join(hot, "anchor", "left_anti") if crowded else contents).repartition(parts, "anchor").sortWithinPartitions("anchor", "run")
-    sorted_spans = tasked.mapInArrow(_sorted_groups(length), "anchor long, run long, spans array<int>")
+    sorted_spans = tasked.mapInArrow(_sorted_groups(length, gram), "anchor long, run long, spans array<int>")
     if crowded:
-        sorted_spans = sorted_spans.unionAll(_windowed(contents.join(hot, "anchor", "left_semi"), length))
+        sorted_spans = sorted_spans.unionAll(_windowed(contents.join(hot, "anchor", "left_semi"), length, gram))
     hits = counted.join(sorted_spans, ["anchor", "run"], "left").filter("n > 1 or spans is not null").select(
         "anchor", "run", F.when(F.col("n") > 1, F.lit(None).cast("array<int>")).otherwise(F.col("spans")).alias("spans"))
     hits = materialize(hits, "suffix-hits")

@@ -49,26 +49,29 @@ def suffix_array(symbols: list[int]) -> list[int]:
                     group[parent] = stop[head] = tail
                     stop[tail] = tail + 1
         else:
-            times: dict[int, int] = {}
+            parents = []
             for suffix in sorted(line[low:high]):
                 parent = smaller[suffix]
                 while parent >= 0 and group[parent] >= low:
                     parent = smaller[parent]
                 smaller[suffix] = parent
                 if parent >= 0:
+                    parents.append(parent)
+            if len(set(parents)) == len(parents):
+                rounds = [parents]
+            else:
+                times: dict[int, int] = {}
+                for parent in parents:
                     times[parent] = times.get(parent, 0) + 1
-            rounds: dict[int, list[int]] = {}
-            for parent, count in times.items():
-                rounds.setdefault(count, []).append(parent)
-            for count in sorted(rounds, reverse=True):
+                by_count: dict[int, list[int]] = {}
+                for parent, count in times.items():
+                    by_count.setdefault(count, []).append(parent)
+                rounds = [by_count[count] for count in sorted(by_count, reverse=True)]
+            for parents in rounds:
                 tops: dict[int, int] = {}
-                parents = rounds[count]
                 for parent in parents:
                     head = group[parent]
-                    tail = tops.get(head)
-                    if tail is None:
-                        tail = stop[head]
-                    tail -= 1
+                    tail = (tops[head] if head in tops else stop[head]) - 1
                     tops[head] = tail
                     at, other = place[parent], line[tail]
                     line[at], place[other] = other, at
