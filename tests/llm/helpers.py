@@ -13,7 +13,7 @@ LONG = "lorem ipsum dolor sit amet " * 8000
 
 #: doc_id, text, source and columns whose names operators use themselves.
 SCHEMA = ("doc_id long, text string, lang string, source string, size int, slot string, shard int, score string, bits int, "
-          "`__text` string, `__key` string, spans int, comp int, `odd name` int")
+          "`__text` string, `__key` string, spans int, comp int, `odd name` int, `__pii_all` int, `__mix_bits` int")
 EDGE_TEXTS = [
     (1, "the quick brown fox jumps over the lazy dog and runs away from the small red hen"), (2, None), (3, ""), (4, "   "),
     (5, "word"), (6, LONG), (7, "the quick brown fox jumps over the lazy dog and runs away from the small red hen"),
@@ -23,7 +23,7 @@ EDGE_TEXTS = [
 
 
 def edge_docs(spark):
-    rows = [(i, t, None if k % 3 == 0 else "xx", None if k % 4 == 0 else f"src{k % 3}", k, "s", k, "x", k, "y", "z", 1, 2, 3)
+    rows = [(i, t, None if k % 3 == 0 else "xx", None if k % 4 == 0 else f"src{k % 3}", k, "s", k, "x", k, "y", "z", 1, 2, 3, 4, 5)
             for k, (i, t) in enumerate(EDGE_TEXTS)]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
