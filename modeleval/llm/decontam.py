@@ -1,16 +1,14 @@
-"""Benchmark decontamination: CGK random-walk embedding, bit-sampling LSH, exact edit check.
+"""Benchmark decontamination: look-up of intact pieces of the items, exact edit check.
 
 A document is contaminated by a benchmark item if some passage of it is within a share of
-the item's words in word edits (insert, delete, replace). The random walk reads a word
-sequence with a pointer: each step emits the word under the pointer, and a random bit of
-(step, word) says whether the pointer moves on. Sequences that are close in edit distance
-emit outputs that are close in Hamming distance, since the walks fall in step again after
-an edit. A sample of the emitted positions is a hash; ``WALKS`` walks with ``SAMPLES``
-samples each make it likely that an item and a passage near it share one.
-
-Items fall into length classes; windows of a class's length start at every word of every
-document. A window that has too few words of the class's items to be near any of them is
-passed over before walking (that test loses nothing). Candidates are verified exactly.
+the item's words in word edits (insert, delete, replace). An item that allows ``k`` edits is
+cut into ``k + 1`` pieces of equal length. ``k`` edits touch at most ``k`` of them, so every
+passage near the item holds one piece as it is, at most ``k`` words off its place: looking up
+each piece at every word of every document misses none, whatever the item's length and
+whatever the edits are. The words around each hit are a candidate.
+
+A candidate that has too few words of the item to be near it is passed over (that test loses
+nothing either); the others are verified exactly.
 """
 
 from __future__ import annotations
@@ -26,50 +24,35 @@ from pyspark.sql import types as T
 
 from modeleval.llm.common import WordHasher, mix, slices
 
-EDIT_SHARE, MIN_WORDS, GROWTH = 0.2, 8, 1.25
-WALKS, SAMPLES, SAMPLED = 8, 8, 4
-VOCABULARY_BITS = 22
+EDIT_SHARE, MIN_WORDS = 0.2, 8
+TABLE_BITS = 22
 MAX_BLOCK_WORDS = 2_000_000
+CHUNK_PAIRS, CHUNK_CELLS = 1 << 18, 1 << 20
 
 
 @dataclass
-class LengthClass:
-    """Items of at least ``length`` words (and fewer than the next class's)."""
+class Pieces:
+    """The pieces of ``length`` words of all items, by key: whose each is and where it starts."""
 
     length: int
-    allowed: int
-    items: np.ndarray
     keys: np.ndarray
     owner: np.ndarray
+    offset: np.ndarray
+    table: np.ndarray
 
 
-def walk_keys(windows: np.ndarray, seed: int) -> np.ndarray:
-    """(windows, WALKS * SAMPLES) hashes of sampled outputs of the walks over (windows, length) words."""
-    count, length = windows.shape
-    rng = np.random.default_rng([seed, length])
-    steps = max(SAMPLED, int(1.6 * length))
-    padded = np.concatenate([windows, np.zeros((count, 1), np.uint64)], 1)
-    out = np.zeros((count, WALKS * SAMPLES), np.uint64)
-    rows = np.arange(count) * (length + 1)
-    for w in range(WALKS):
-        odd = rng.integers(0, 2**63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        chosen = [np.sort(rng.choice(steps, SAMPLED, replace=False)) for _ in range(SAMPLES)]
-        at = {int(j): [] for c in chosen for j in c}
-        for i, c in enumerate(chosen):
-            for j in c:
-                at[int(j)].append(w * SAMPLES + i)
-        pointer = np.zeros(count, np.int64)
-        flat = padded.ravel()
-        for j in range(max(at) + 1):
-            word = flat[rows + pointer]
-            for k in at.get(j, ()):
-                out[:, k] = (out[:, k] ^ word) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)
-            pointer = np.minimum(pointer + ((word * odd[j]) >> np.uint64(63)).astype(np.int64), length)
-    return mix(out + np.arange(1, WALKS * SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-
-
-def least_edits(item: np.ndarray, regions: np.ndarray) -> np.ndarray:
-    """Exact: the least word edits that turn ``item`` into some run of words of each region row."""
+def run_keys(words: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every run of ``length`` words."""
+    count = max(0, len(words) - length + 1)
+    out = np.zeros(count, np.uint64)
+    for j in range(length):
+        out = (out ^ words[j:j + count]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)
+    return mix(out)
+
+
+def edit_row(item: np.ndarray, regions: np.ndarray) -> np.ndarray:
+    """Exact: the least word edits that turn ``item`` into a run of words of each region row that
+    ends before each place."""
     step = np.arange(regions.shape[1] + 1)
     row = np.zeros((len(regions), len(step)), np.int64)
     for i, word in enumerate(item, 1):
@@ -77,73 +60,90 @@ def least_edits(item: np.ndarray, regions: np.ndarray) -> np.ndarray:
         new[:, 0] = i
         new[:, 1:] = np.minimum(row[:, :-1] + (regions != word), row[:, 1:] + 1)
         row = np.minimum.accumulate(new - step, axis=1) + step
-    return row.min(1)
+    return row
 
 
 class Index:
     """A block of benchmark items, ready for look-up."""
 
-    def __init__(self, texts: list[str], share: float = EDIT_SHARE, min_words: int = MIN_WORDS, seed: int = 31):
+    def __init__(self, texts: list[str], share: float = EDIT_SHARE, min_words: int = MIN_WORDS):
+        if not 0 <= share < 1:
+            raise ValueError(f"share {share}: an item's edits must be fewer than its words")
         words, offsets = WordHasher().words(pa.array(texts, pa.string()))
         self.words = [words[a:b] for a, b in zip(offsets, offsets[1:])]
         self.allowed = [int(len(w) * share) for w in self.words]
-        self.seed, self.classes = seed, []
-        self.vocabulary = np.zeros(1 << VOCABULARY_BITS, np.uint32)
-        size, length = np.array([len(w) for w in self.words], np.int64), min_words
-        while length <= size.max(initial=0):
-            after = max(length + 1, int(length * GROWTH))
-            items = np.flatnonzero((size >= length) & (size < after))
-            if len(items):
-                keys = walk_keys(np.stack([self.words[i][:length] for i in items]), seed)
-                owner = np.repeat(items, keys.shape[1])
-                order = np.argsort(keys.ravel(), kind="stable")
-                bit = min(len(self.classes), 31)
-                for i in items:
-                    self.vocabulary[(self.words[i] >> np.uint64(64 - VOCABULARY_BITS)).astype(np.int64)] |= np.uint32(1 << bit)
-                self.classes.append(LengthClass(length, max(self.allowed[i] for i in items), items, keys.ravel()[order], owner[order]))
-            length = after
-        self.span = max([len(w) + 2 * a for w, a in zip(self.words, self.allowed)], default=0) + 1
+        self.known = [np.unique(w) for w in self.words]
+        by_length: dict[int, list[int]] = {}
+        for i, (w, extra) in enumerate(zip(self.words, self.allowed)):
+            if len(w) >= max(1, min_words):
+                by_length.setdefault(len(w) // (extra + 1), []).append(i)
+        self.pieces = [self._pieces(length, items) for length, items in sorted(by_length.items())]
+        self.span = max([len(w) + 4 * a for w, a in zip(self.words, self.allowed)], default=0) + 2
+
+    def _pieces(self, length: int, items: list[int]) -> Pieces:
+        offsets = [np.arange(self.allowed[i] + 1) * length for i in items]
+        keys = np.concatenate([run_keys(self.words[i], length)[at] for i, at in zip(items, offsets)])
+        owner, offset = np.repeat(items, [len(at) for at in offsets]), np.concatenate(offsets)
+        order = np.argsort(keys, kind="stable")
+        table = np.zeros(1 << TABLE_BITS, bool)
+        table[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+        return Pieces(length, keys[order], owner[order], offset[order], table)
 
     def find(self, hasher: WordHasher, texts: pa.Array) -> list[tuple[int, int, int, int]]:
         """(row, item, edits, first word) of every text and every item it holds."""
         words, offsets = hasher.words(texts)
-        if not self.classes or not len(words):
+        if not self.pieces or not len(words):
             return []
-        # Texts are set apart by ``span`` blanks, so that no window or region sees two of them.
+        # Texts are set apart by ``span`` blanks, so that no piece or region sees two of them.
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         place = np.arange(len(words)) + (row + 1) * self.span
         line = np.zeros(len(words) + len(offsets) * self.span, np.uint64)
         line[place] = words
-        mask = self.vocabulary[(words >> np.uint64(64 - VOCABULARY_BITS)).astype(np.int64)]
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        for c, cls in enumerate(self.classes):
-            known = np.zeros(len(line) + 1, np.int32)
-            known[place + 1] = (mask >> np.uint32(min(c, 31))) & np.uint32(1)
-            np.cumsum(known, out=known)
-            starts = np.flatnonzero(known[place + cls.length] - known[place] >= cls.length - cls.allowed)
-            for lo in range(0, len(starts), 8192):
-                at = place[starts[lo:lo + 8192]]
-                keys = walk_keys(line[at[:, None] + np.arange(cls.length)], self.seed).ravel()
-                first, last = np.searchsorted(cls.keys, keys, "left"), np.searchsorted(cls.keys, keys, "right")
-                hit = np.flatnonzero(last > first)
-                many = (last - first)[hit]
-                pick = np.repeat(first[hit] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-                pairs = np.unique(np.stack([cls.owner[pick], np.repeat(starts[lo + hit // (WALKS * SAMPLES)], many)], 1), axis=0)
-                self._verify(line, place, row, offsets, pairs, found)
+        for pieces in self.pieces:
+            keys = run_keys(line, pieces.length)
+            at = np.flatnonzero(pieces.table[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+            first, last = np.searchsorted(pieces.keys, keys[at], "left"), np.searchsorted(pieces.keys, keys[at], "right")
+            hit = np.flatnonzero(last > first)
+            at, first, many = at[hit], first[hit], (last - first)[hit]
+            # A piece may be that of many items: hits are taken some CHUNK_PAIRS pairs at a time.
+            done, lo = np.concatenate([[0], np.cumsum(many)]), 0
+            while lo < len(at):
+                hi = max(lo + 1, int(np.searchsorted(done, done[lo] + CHUNK_PAIRS, "right")) - 1)
+                pick = np.repeat(first[lo:hi] - (done[lo:hi] - done[lo]), many[lo:hi]) + np.arange(done[hi] - done[lo])
+                # Where the item's first word would be without edits before the piece.
+                self._verify(line, place, row, offsets, pieces.owner[pick], np.repeat(at[lo:hi], many[lo:hi]) - pieces.offset[pick],
+                             np.repeat(np.searchsorted(place, at[lo:hi]), many[lo:hi]), found)
+                lo = hi
         return [(r, i, e, s) for (r, i), (e, s) in sorted(found.items())]
 
-    def _verify(self, line, place, row, offsets, pairs: np.ndarray, found: dict) -> None:
-        for item in np.unique(pairs[:, 0]).tolist():
-            starts, extra, item_words = pairs[pairs[:, 0] == item, 1], self.allowed[item], self.words[item]
-            width = len(item_words) + 3 * extra
-            for lo in range(0, len(starts), 2048):
-                part = starts[lo:lo + 2048]
-                begin = place[part] - np.minimum(extra, part - offsets[row[part]])
-                edits = least_edits(item_words, line[np.minimum(begin[:, None] + np.arange(width), len(line) - 1)])
-                for p, e in zip(part[edits <= extra].tolist(), edits[edits <= extra].tolist()):
-                    key = (int(row[p]), item)
-                    new = (e, int(p - offsets[row[p]]))
-                    found[key] = min(found.get(key, new), new)
+    def _verify(self, line, place, row, offsets, owner: np.ndarray, origin: np.ndarray, word: np.ndarray, found: dict) -> None:
+        """Search the words around each origin for its item; hits a few words apart share a region."""
+        order = np.argsort(owner, kind="stable")
+        owner, origin, text = owner[order], origin[order], row[word[order]]
+        edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(owner)]):
+            item = int(owner[lo])
+            item_words, extra, known = self.words[item], self.allowed[item], self.known[item]
+            begin = place[offsets[text[lo:hi]]]
+            block = (origin[lo:hi] - begin) // (extra + 1)
+            regions = np.unique(np.stack([text[lo:hi], block]), axis=1)
+            # All runs of words that are near the item and hold a piece at an origin in the block.
+            width, step = len(item_words) + 3 * extra, max(1, CHUNK_CELLS // (len(item_words) + 3 * extra))
+            for part in range(0, regions.shape[1], step):
+                which, block = regions[:, part:part + step]
+                begin = place[offsets[which]]
+                left = begin + block * (extra + 1) - extra
+                around = line[np.clip(left[:, None] + np.arange(width), 0, len(line) - 1)]
+                shared = known[np.minimum(np.searchsorted(known, around), len(known) - 1)] == around
+                near = np.flatnonzero(shared.sum(1) >= len(item_words) - extra)
+                edits = edit_row(item_words, around[near]).min(1)
+                near, edits = near[edits <= extra], edits[edits <= extra]
+                # Read backwards, the least edits are those of the runs by their first word.
+                back = edit_row(item_words[::-1], around[near, ::-1])
+                start = np.argmin(back[:, ::-1], axis=1)
+                for r, e, s in zip(which[near].tolist(), edits.tolist(), np.maximum(left[near] + start - begin[near], 0).tolist()):
+                    found[r, item] = min(found.get((r, item), (e, s)), (e, s))
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[list, list[str]]]:
@@ -162,7 +162,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHAR
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document row and item found in it: ``doc_id, item_id, edits, start_word, n_words``.
 
-    ``edits`` are those of the best candidate window, ``start_word`` where it starts (in words),
+    ``edits`` are the least of any passage, ``start_word`` where the first such starts (in words),
     ``n_words`` the item's length; ``edits <= share * n_words``. Items of fewer than
     ``min_words`` words are never found; null and empty texts hold nothing; whole texts of any
     length are searched; repeated documents and repeated items are reported alike; an empty

@@ -52,6 +52,37 @@ def test_items_are_found_by_edit_distance():
     assert found == {(r, i) for r, d in enumerate(docs[:60]) for i, t in enumerate(items) if least_edits(word_list(t), word_list(d)) <= int(0.2 * len(word_list(t)))}
 
 
+def one_sided(words, kind, rng, vocabulary):
+    """``words`` with as many edits of one kind as are allowed, spread or in one run."""
+    edits, words = int(len(words) * 0.2), list(words)
+    lo = rng.randrange(len(words) - edits)
+    at = rng.sample(range(len(words)), edits) if rng.random() < 0.7 else range(lo, lo + edits)
+    for p in sorted(at, reverse=True):
+        words[p:p + (kind != "insert")] = [] if kind == "delete" else rng.choices(vocabulary, k=1)
+    return words
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete", "replace"])
+@pytest.mark.parametrize("length", [8, 12, 24, 40, 59, 120, 300, 600])
+def test_items_of_any_length_are_found_at_the_full_share(length, kind):
+    rng, vocabulary = random.Random(length), [f"w{i}" for i in range(5000)]
+    items = [rng.choices(vocabulary, k=length) for _ in range(30)]
+    index = decontam.Index([" ".join(i) for i in items])
+    texts = [rng.choices(vocabulary, k=rng.randrange(40)) + one_sided(i, kind, rng, vocabulary) + rng.choices(vocabulary, k=rng.randrange(40)) for i in items]
+    found = {(r, i): e for r, i, e, _ in index.find(decontam.WordHasher(), pa.array([" ".join(t) for t in texts]))}
+    assert set(found) == {(i, i) for i in range(len(items))}
+    if length <= 59:
+        assert all(e == least_edits(items[i], texts[i]) for (_, i), e in found.items())
+
+
+def test_passages_start_where_they_are():
+    rng, vocabulary = random.Random(5), [f"w{i}" for i in range(5000)]
+    items = [rng.choices(vocabulary, k=n) for n in (8, 30, 200) for _ in range(10)]
+    texts = [rng.choices(vocabulary, k=k) + i for k, i in enumerate(items)]
+    found = decontam.Index([" ".join(i) for i in items]).find(decontam.WordHasher(), pa.array([" ".join(t) for t in texts]))
+    assert found == [(k, k, 0, k) for k in range(len(items))]
+
+
 def test_decontamination_edges(spark):
     item = "the quick brown fox jumps over the lazy dog"
     benchmark = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "two words"), (None, "ipsum dolor sit amet lorem ipsum dolor sit amet")], "item_id long, text string")
