@@ -277,8 +277,9 @@ def _windowed(contents: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_runs: int = MAX_RUNS) -> DataFrame:
-    """``key, spans`` of the distinct texts of ``docs`` (``key, text``) with repeated windows: spans
-    is a list of (first, size, intervals) of runs; null intervals mean the whole run."""
+    """``key, spans`` of the texts that one row only of ``docs`` (``key, text``) has, with repeated
+    windows: spans is a list of (first, size, intervals) of runs; null intervals mean the whole
+    run. What repeats is judged over all rows; texts that several rows have repeat as a whole."""
     work = Spans(docs, length, gram)
     anchors = materialize(work.anchors(), "suffix-anchors")
     repeated, differing = _table(anchors.select("anchor")), _table(anchors.filter("differ").select("anchor"))
@@ -295,7 +296,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     hits = counted.join(sorted_spans, ["anchor", "run"], "left").filter("n > 1 or spans is not null").select(
         "anchor", "run", F.when(F.col("n") > 1, F.lit(None).cast("array<int>")).otherwise(F.col("spans")).alias("spans"))
     hits = materialize(hits, "suffix-hits")
-    return runs.join(hits, ["anchor", "run"]).groupBy("key").agg(F.collect_list(F.struct("first", "size", "spans")).alias("spans"))
+    # All copies of a text have a run at the same places: as many rows of a place as copies, counted
+    # before they meet in a task. So a list holds the runs of one row, however many share a text.
+    single = runs.groupBy("key", "first").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("size", "anchor", "run")]).filter("n = 1").drop("n")
+    return single.join(hits, ["anchor", "run"]).groupBy("key").agg(F.collect_list(F.struct("first", "size", "spans")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_runs: int = MAX_RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,8 +314,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     rows = docs.select(docs[id_col].alias("doc_id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     copies = materialize(rows.filter(F.length(F.encode("text", "utf-8")) >= length).groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "suffix-copies")
     spans = repeated_spans(rows.select("key", "text"), length, gram, max_runs)
-    # Copies lose all they have; only single texts need their spans, so no list is longer than a text.
-    known = copies.join(spans, "key", "left").select("key", "copies", F.when(F.col("copies") == 1, F.col("spans")).alias("spans"))
+    # Copies lose all they have; only single texts have spans, so no list is longer than a text.
+    known = copies.join(spans, "key", "left").select("key", "copies", "spans")
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 

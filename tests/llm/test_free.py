@@ -179,6 +179,22 @@ def test_repeats_of_documents(spark):
     assert {r.doc_id: tuple(r)[1:] for r in out} == dict(enumerate(repeats(texts, 200)))
 
 
+@pytest.mark.parametrize("max_runs", [20_000, 1])
+def test_a_text_that_a_third_of_all_rows_share(spark, max_runs):
+    rng = random.Random(8)
+    line = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    hot, part = line(300), line(40)
+    texts = [hot] * 200 + [line(60) + part + line(60) for _ in range(390)] + [line(20) + hot[50:120] + line(20) for _ in range(10)]
+    rng.shuffle(texts)
+    docs = frame(spark, texts, 7)
+    spans = suffixdedup.repeated_spans(docs.selectExpr("unhex(md5(text)) key", "text"), 16, 8, max_runs).collect()
+    single = {zlib.crc32(t.encode()) for t in texts if t != hot}
+    assert len(spans) == len(single) == 400
+    assert max(len(r.spans) for r in spans) <= 300  # not one for each copy
+    out = suffixdedup.digest_kept(suffixdedup.remove_repeats(docs, 16, 8, max_runs)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in out} == dict(enumerate(repeats(texts, 16)))
+
+
 def test_repeats_edges(spark):
     out = suffixdedup.remove_repeats(edge_docs(spark)).collect()
     assert len(out) == len(EDGE_TEXTS) and {(r.n_bytes, r.n_removed) for r in out if r.doc_id == 6} == {(len(LONG), len(LONG))}
