@@ -18,8 +18,13 @@ the hub's go on, with more hubs, ``HUB_GROWTH`` times as many each round, until
 is known to be one component or every member has been a hub: no pair that could matter is
 left out. Pairs whose total weights differ by more than the threshold allows are not
 compared, since their similarity is at most the ratio of the totals. After the first
-round a bucket's hubs meet parts of its members as sets, in one task for each part, so
-no row is made for a pair that is no link.
+round blocks of a bucket's hubs meet parts of its members as sets, about ``PART`` texts of
+each in one call, so no row is made for a pair that is no link.
+
+After the first round the members of buckets of more than ``PART`` are dealt anew, by their
+rarest shingles: so many that the rest weighs less than the threshold. Two sets that reach
+the threshold share one of these (prefix filtering, which is exact), while texts that only
+have a common passage part. The buckets of these shingles go through the same rounds.
 """
 
 from __future__ import annotations
@@ -210,16 +215,24 @@ def verify(pairs: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: fl
     return hub.unionByName(member).groupBy("hub", "part").applyInPandas(compare, "a binary, b binary")
 
 
+def dealt(open_members: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``band, part, block, key, comp, is_hub``: a bucket's members in parts of about ``PART``, its
+    ``chosen`` hubs (numbered by ``place``) in blocks of ``PART``; each part meets each block."""
+    parts, block = F.ceil(F.col("n") / PART).cast("int"), F.floor((F.col("place") - 1) / PART).cast("int")
+    blocks = chosen.select("band", block.alias("block")).distinct()
+    member = open_members.select("band", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), "key", "comp").join(blocks, "band").select(
+        "band", "part", "block", "key", "comp", F.lit(False).alias("is_hub"))
+    hub = chosen.select("band", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), block.alias("block"),
+                        F.col("hub").alias("key"), F.col("hub_comp").alias("comp"), F.lit(True).alias("is_hub"))
+    return member.unionAll(hub)
+
+
 def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
     """Links ``hub, member, hub_comp, comp`` between the ``chosen`` hubs of each bucket and its
-    members in other components. A bucket's members are dealt into parts of about ``PART``;
-    each part gets a copy of the hubs."""
-    parts = F.ceil(F.col("n") / PART).cast("int")
+    members in other components."""
     comp = "struct<degree:bigint,key:binary>"
-    member = open_members.select("band", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), "key", "comp", F.lit(False).alias("is_hub"))
-    hub = chosen.select("band", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("hub").alias("key"), F.col("hub_comp").alias("comp"), F.lit(True).alias("is_hub"))
-    rows = member.unionAll(hub).join(texts.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).select(
-        "band", "part", "is_hub", "key", F.col("comp.degree").alias("degree"), F.col("comp.key").alias("comp"), "text")
+    rows = dealt(open_members, chosen).join(texts.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).select(
+        "band", "part", "block", "is_hub", "key", F.col("comp.degree").alias("degree"), F.col("comp.key").alias("comp"), "text")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         hasher, hubs, out = WordHasher(), frame[frame.is_hub].reset_index(drop=True), []
@@ -244,7 +257,7 @@ def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame,
                     out += [(hubs.key[j], m.key, hubs.degree[j], hub_comp[j], m.degree, m.comp) for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist()]
         return pd.DataFrame(out, columns=["hub", "member", "hub_degree", "hub_key", "degree", "comp_key"])
 
-    found = rows.groupBy("band", "part").applyInPandas(compare, "hub binary, member binary, hub_degree long, hub_key binary, degree long, comp_key binary")
+    found = rows.groupBy("band", "part", "block").applyInPandas(compare, "hub binary, member binary, hub_degree long, hub_key binary, degree long, comp_key binary")
     return found.select("hub", "member", F.struct(F.col("hub_degree").alias("degree"), F.col("hub_key").alias("key")).cast(comp).alias("hub_comp"),
                         F.struct("degree", F.col("comp_key").alias("key")).cast(comp).alias("comp"))
 
@@ -258,7 +271,61 @@ def _sets(hasher: WordHasher, levels: np.ndarray, texts: pd.Series) -> tuple[np.
     return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
 
 
+def shingle_buckets(members: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
+    """The texts of ``members`` in buckets by their rarest shingles, as ``members`` has them by band.
+
+    Shingles are ordered by the texts that have them, ties by hash; a text goes to the bucket of a
+    shingle if that and those after it weigh the threshold's share of the text at least. If two
+    texts had no such shingle in common, all they share would weigh less than that for one."""
+    own = members.groupBy("key").agg(F.first("total").alias("total"), F.first("rank").alias("rank"), F.max("comp").alias("comp"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE):
+                row, hashes, weight = weighted_shingles(hasher, levels, batch.column(1))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(hashes.view(np.int64)), pa.array(weight)], ["key", "shingle", "weight"])
+
+    each = texts.join(own.select("key"), "key", "left_semi").select("key", "text").mapInArrow(split, "key binary, shingle long, weight double")
+    each = materialize(each, "near-shingles")
+    common = each.join(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"), "shingle")
+    onward = F.sum("weight").over(W.partitionBy("key").orderBy(F.col("times").desc(), F.col("shingle").desc()).rowsBetween(W.unboundedPreceding, 0))
+    first = common.withColumn("onward", onward).join(own, "key").filter(F.col("onward") >= (threshold - 1e-6) * F.col("total"))
+    first = materialize(first.select(F.col("shingle").alias("band"), "key", "total", "rank", "comp"), "near-first")
+    sized = first.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    return materialize(first.join(sized.select("band", "n"), "band").select("band", "key", "total", "n", "rank", "comp"), "near-open")
+
+
 # ----------------------------------------------------------------------- classes
+def _round(open_members: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float, tried: int) -> tuple[DataFrame, DataFrame]:
+    """One round over buckets whose first ``tried`` members have been hubs: the links ``a, b`` found,
+    and the buckets that are still open."""
+    hubs = tried * HUB_GROWTH + 1  # how many of each bucket have been hubs after this round
+    place = F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
+    chosen = open_members.withColumn("place", place).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
+        "band", "n", (F.col("place") - tried).alias("place"), F.col("key").alias("hub"), F.col("total").alias("hub_total"), F.col("comp").alias("hub_comp"))
+    if tried == 0:
+        pairs = open_members.join(chosen.drop("n", "place"), "band").filter(F.col("comp") != F.col("hub_comp")).filter(
+            F.least("total", "hub_total") >= (threshold - 1e-6) * F.greatest("total", "hub_total")).select(
+            "hub", F.col("key").alias("member"), "hub_comp", "comp").distinct()
+        pairs = materialize(pairs, "near-pairs")
+        links = verify(pairs.select("hub", "member"), texts, levels, threshold).join(
+            pairs, (F.col("a") == F.col("hub")) & (F.col("b") == F.col("member"))).select("hub", "member", "hub_comp", "comp")
+    else:
+        links = compare_parts(open_members, chosen, texts, levels, threshold)
+    links = materialize(links, "near-links")
+    # Each component joins the one of highest rank that it is linked to, and that one's in turn.
+    joined = links.select("hub_comp", "comp")
+    up = joined.unionAll(joined.select(F.col("comp").alias("x"), F.col("hub_comp").alias("y"))).groupBy(F.col("hub_comp").alias("low")).agg(
+        F.max("comp").alias("high")).filter(F.col("high") > F.col("low"))
+    up = materialize(up, "near-up")
+    up = up.join(up.select(F.col("low").alias("high"), F.col("high").alias("top")), "high", "left").select("low", F.coalesce("top", "high").alias("top"))
+    left = open_members.filter(F.col("n") > hubs)
+    left = left.join(up, F.col("comp") == F.col("low"), "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
+    split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
+    return links.select(F.col("hub").alias("a"), F.col("member").alias("b")), materialize(left.join(split, "band", "left_semi"), "near-open")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct text: ``key, first_id`` (its least id), ``class_id`` (the least id in
     its class) and ``class_key`` (the text of that id)."""
@@ -274,37 +341,18 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(degree.select("key"), "key", "left_semi").dropDuplicates(["key"])
     open_members, texts = materialize(open_members, "near-open"), materialize(texts, "near-candidates")
 
-    found, tried = [], 0
-    while not open_members.isEmpty():
-        hubs = tried * HUB_GROWTH + 1  # how many of each bucket have been hubs after this round
-        place = F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
-        chosen = open_members.withColumn("place", place).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
-            "band", "n", F.col("key").alias("hub"), F.col("total").alias("hub_total"), F.col("comp").alias("hub_comp"))
-        if tried == 0:
-            pairs = open_members.join(chosen.drop("n"), "band").filter(F.col("comp") != F.col("hub_comp")).filter(
-                F.least("total", "hub_total") >= (threshold - 1e-6) * F.greatest("total", "hub_total")).select(
-                "hub", F.col("key").alias("member"), "hub_comp", "comp").distinct()
-            pairs = materialize(pairs, "near-pairs")
-            links = verify(pairs.select("hub", "member"), texts, levels, threshold).join(
-                pairs, (F.col("a") == F.col("hub")) & (F.col("b") == F.col("member"))).select("hub", "member", "hub_comp", "comp")
-        else:
-            links = compare_parts(open_members, chosen, texts, levels, threshold)
-        links = materialize(links, "near-links")
-        found.append(links.select(F.col("hub").alias("a"), F.col("member").alias("b")))
-        tried = hubs
-        # Each component joins the one of highest rank that it is linked to, and that one's in turn.
-        joined = links.select("hub_comp", "comp")
-        up = joined.unionAll(joined.select(F.col("comp").alias("x"), F.col("hub_comp").alias("y"))).groupBy(F.col("hub_comp").alias("low")).agg(
-            F.max("comp").alias("high")).filter(F.col("high") > F.col("low"))
-        up = materialize(up, "near-up")
-        up = up.join(up.select(F.col("low").alias("high"), F.col("high").alias("top")), "high", "left").select("low", F.coalesce("top", "high").alias("top"))
-        left = open_members.filter(F.col("n") > tried)
-        left = left.join(up, F.col("comp") == F.col("low"), "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
-        split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
-        open_members = materialize(left.join(split, "band", "left_semi"), "near-open")
-
-    linked = reduce(DataFrame.unionAll, found) if found else None
-    labels = None if linked is None or linked.isEmpty() else connected_components(linked)
+    found, open_members = _round(open_members, texts, levels, threshold, 0)
+    found = [found]
+    small, large = open_members.filter(F.col("n") <= PART), open_members.filter(F.col("n") > PART)
+    for some, tried in ((small, 1), (None, 0)):
+        some = some if some is not None else large if large.isEmpty() else shingle_buckets(large, texts, levels, threshold)
+        while not some.isEmpty():
+            links, some = _round(some, texts, levels, threshold, tried)
+            found.append(links)
+            tried = tried * HUB_GROWTH + 1
+
+    linked = reduce(DataFrame.unionAll, found)
+    labels = None if linked.isEmpty() else connected_components(linked)
     own = alone.select("key", "first_id")
     if labels is None:
         return own.select("key", "first_id", F.col("first_id").alias("class_id"), F.col("key").alias("class_key"))

@@ -299,6 +299,55 @@ def test_near_duplicates_against_all_pairs(spark):
         assert r.class_id == min([i, *mates]) and r.kept == (r.class_id == i)
 
 
+def classes_of(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r.class_id, set()).add(r.doc_id)
+    return sorted(map(sorted, out.values()))
+
+
+def test_unlike_texts_with_a_common_passage(spark, monkeypatch):
+    """Buckets of more than PART texts: groups are bounded, pairs are found, unlike texts part."""
+    rng = random.Random(12)
+    prose = lambda n: [f"v{rng.randrange(4000)}" for _ in range(n)]
+    passage, texts = prose(60), []
+    for _ in range(60):
+        own = passage + prose(22)
+        texts += [" ".join(own), " ".join(own[:-1] + prose(1))]
+    texts += [" ".join(prose(50)) for _ in range(20)]
+    sizes, deal = [], minhash.dealt
+
+    def watched(*args):
+        rows = deal(*args)
+        sizes.extend(r["count"] for r in rows.groupBy("band", "part", "block", "is_hub").count().collect())
+        return rows
+
+    whole = classes_of(minhash.near_duplicates(frame(spark, texts)).collect())
+    monkeypatch.setattr(minhash, "PART", 8)
+    monkeypatch.setattr(minhash, "dealt", watched)
+    split = []
+    again = minhash.shingle_buckets
+    monkeypatch.setattr(minhash, "shingle_buckets", lambda *a: split.append(again(*a)) or split[0])
+    parts = classes_of(minhash.near_duplicates(frame(spark, texts)).collect())
+    assert whole == parts
+    assert all([2 * k, 2 * k + 1] in parts for k in range(60))
+    assert len(split) == 1 and max(sizes, default=0) <= 4 * minhash.PART
+    # Unlike texts share a bucket no more: pairs only, not the passage's 120 texts.
+    assert max(r["count"] for r in split[0].groupBy("band").count().collect() or [{"count": 0}]) <= minhash.PART
+
+
+def test_hubs_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART", 8)
+    members = spark.range(100).selectExpr("1L band", "cast(cast(id as string) as binary) key", "100L n", "named_struct('degree', 1L, 'key', cast(cast(id as string) as binary)) comp")
+    chosen = members.selectExpr("band", "n", "cast(cast(key as string) as int) + 1 place", "key hub", "comp hub_comp")
+    rows = minhash.dealt(members, chosen).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.part, r.block), ([], []))[r.is_hub].append(r.key)
+    assert all(len(hubs) <= 8 and len(own) <= 32 for own, hubs in groups.values())
+    assert len({(h, m) for own, hubs in groups.values() for h in hubs for m in own}) == 100 * 100
+
+
 def test_near_duplicate_edges(spark):
     docs = edge_docs(spark)
     got = minhash.near_duplicates(docs).collect()
