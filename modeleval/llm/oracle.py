@@ -68,5 +68,38 @@ SELECT page_id, u.host AS host, u.path AS path, rule, coalesce(verdict, 'allow')
 FROM u LEFT JOIN f ON u.host = f.host AND u.path = f.path"""
 
 
-def sql(shards: Sequence[str], slots: int, rules: Sequence[tuple[str, str]]) -> dict[str, str]:
-    return {"op4_shard": _shard_sql(shards, slots), "op5_mix": MIX_SQL, "op7_urls": _url_sql(rules)}
+EXACT_SQL = """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256 FROM d"""
+
+
+def _centroid_sql(k: int, rounds: int, dims: int) -> str:
+    def assigned(centroids: str) -> str:
+        return f"""(SELECT rid, arg_min(c, (apart, c)) AS c, min(apart) AS distance FROM (
+  SELECT v.rid, m.c, list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS apart
+  FROM v, {centroids} m) GROUP BY rid)"""
+
+    steps = []
+    for r in range(1, rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED {assigned(f"c{r - 1}")},
+s{r} AS (SELECT c, i, sum(xi)::BIGINT AS s, count(*) AS n FROM (
+  SELECT c, unnest(x) AS xi, unnest(range({dims})) AS i FROM v JOIN a{r} USING (rid)) GROUP BY c, i),
+c{r} AS MATERIALIZED (SELECT m.c, coalesce(n.x, m.x) AS x FROM c{r - 1} m LEFT JOIN (
+  SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY c) n USING (c))""")
+    return f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, x FROM kept),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS c, x FROM v ORDER BY c LIMIT {k}),
+{",".join(steps)},
+z AS MATERIALIZED {assigned(f"c{rounds}")}
+SELECT vec_id, z.c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY z.c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM z JOIN v USING (rid) JOIN c{rounds} m ON m.c = z.c"""
+
+
+def sql(shards: Sequence[str], slots: int, rules: Sequence[tuple[str, str]], centroids: int, rounds: int, dims: int) -> dict[str, str]:
+    return {"op4_shard": _shard_sql(shards, slots), "op5_mix": MIX_SQL, "op7_urls": _url_sql(rules),
+            "op11_centroids": _centroid_sql(centroids, rounds, dims), "op12_exact": EXACT_SQL}

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeleval.llm import oracle as O
+from modeleval.llm.alignment import alignment_report
 from modeleval.llm.ann import nearest
+from modeleval.llm.centroids import cluster, inertia_report
 from modeleval.llm.common import table
 from modeleval.llm.decontam import contaminated
+from modeleval.llm.exactdedup import exact_duplicates
 from modeleval.llm.minhash import near_duplicates
 from modeleval.llm.mixing import mix_report
 from modeleval.llm.pii import report, train
@@ -23,6 +26,8 @@ from modeleval.llm.urlfilter import filter_urls, rules_frame
 SHARDS = tuple(f"shard-{i:02d}" for i in range(16))
 SLOTS = 4099
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+CENTROIDS, ROUNDS, DIMENSIONS = 40, 5, 64
 
 #: The URL rules.
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -79,12 +84,25 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inertia_report(cluster(table(spark, sf_dir, "embeddings"), CENTROIDS, ROUNDS, DIMENSIONS))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"), vocabulary_path(), vocabulary_path(PIECES))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_quality, op3_repeats, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op9_pii, op10_near)
+    found = (op1_decontaminate, op2_quality, op3_repeats, op4_shard, op5_mix, op6_tokens, op7_urls, op8_nearest, op9_pii, op10_near,
+             op11_centroids, op12_exact, op13_align)
     import corpus_pipeline  # here, since the pipeline imports this module
 
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle() -> dict[str, str]:
-    return {k: v for k, v in O.sql(SHARDS, SLOTS, URL_RULES).items() if k in registry()}
+    return {k: v for k, v in O.sql(SHARDS, SLOTS, URL_RULES, CENTROIDS, ROUNDS, DIMENSIONS).items() if k in registry()}
