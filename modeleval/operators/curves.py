@@ -5,11 +5,11 @@ keeps a row when ``trunc(metric * B)`` differs from the last kept row. A row
 that is not kept has the last kept row's bucket, so "differs from the last
 kept row" is the same as "differs from the row just above". The row just above
 (next higher score) has exclusive sums equal to this row's sums plus this row's
-own values, so its metric is a column expression of this row: every curve is a
-plain filter over the perf table - no sort, no window, no driver fold. All these
-tests are stored as bits of one integer column, so every curve and the thinning
-read it in one scan. Only kept points get numbered, in each range partition first;
-the counts of the partitions before it are added, so no task holds a whole curve.
+own values, so every test is known at the row itself: the performance step
+gives them all as bits of one integer column, and each curve and the thinning
+are a filter on it - no sort, no window, no driver fold. Only kept points get
+numbered, in each range partition first; the counts of the partitions before it
+are added, so no task holds a whole curve.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeleval.functions.safe import to_int
-from modeleval.operators.performance import COUNT_COLS, RATE_COLS, WEIGHT_COLS, row_rate_parts
+from modeleval.functions.safe import bucket_of
+from modeleval.operators.performance import COUNT_COLS, RATE_COLS, SCORE_ABOVE, SCORE_BELOW, TOP, WEIGHT_COLS, kept_name
 
 # Curve names and the perf metric each one is thinned on.
 CURVE_METRICS = {
@@ -32,63 +32,23 @@ CURVE_METRICS = {
     "roc": "fpr",
 }
 SCORE_CURVE = "score"
-# Bits of the keep column: one per rate in RATE_COLS, then these.
-SCORE_ABOVE, SCORE_BELOW, TOP = 8, 9, 10
-# Rates whose denominator is the same for a row and the row above it.
-SHARED_DENOMINATOR = ("action_rate", "weight_action_rate", "recall", "weight_recall",
-                      "fpr", "weight_fpr")
 
 
-def is_top() -> Column:
-    """The highest row of its series."""
-    return F.col("cum_records") + F.lit(1) == F.col("total_records")
+def _with_kept(perf: DataFrame, buckets: int, rates: Sequence[str]) -> DataFrame:
+    """``perf`` with the keep bits for ``buckets``, of the named rates at least.
 
-
-def metric_changes(metric: str, buckets: int) -> Column:
-    """Does ``trunc(metric * B)`` differ between this row and the row above?
-
-    Where both rows share the denominator, a zero one makes both NaN (bucket 0,
-    no change), so the test is ``den != 0 and the buckets of num/den differ``.
-    Unit-wise precision below the top row has non-zero denominators on both
-    rows (records at or above a row), so it needs no guard either; the top
-    row is always kept by the caller. The quotients are the same doubles as
-    the rate columns.
+    Other bucket counts than the perf table's own compare its rates with those of the row
+    above; the bits that do not depend on the bucket count are taken over.
     """
-    b = F.lit(float(buckets))
-    num, den, _ = row_rate_parts()[metric]
-    num_up, den_up, _ = row_rate_parts(at_next=True)[metric]
-    now = to_int((num.cast("double") / den.cast("double")) * b)
-    if metric in SHARED_DENOMINATOR:
-        up = to_int((num_up.cast("double") / den.cast("double")) * b)
-        return (den != 0) & (now != up)
-    up = to_int((num_up.cast("double") / den_up.cast("double")) * b)
-    if metric == "precision":
-        return ~is_top() & (now != up)
-    # Weighted precision: an empty denominator counts as 1.0 on either row.
-    full = F.lit(int(buckets))
-    return ~is_top() & (F.when(den == 0, full).otherwise(now) != F.when(den_up == 0, full).otherwise(up))
-
-
-def kept_name(buckets: int) -> str:
-    return f"_kept_{buckets}"
-
-
-def kept_column(buckets: int) -> Column:
-    """All keep tests of a row as bits of one integer."""
-    score = to_int(F.col("score"))
-    tests = [metric_changes(m, buckets) for m in RATE_COLS]
-    tests.append(score != to_int(F.col("next_score")))
-    tests.append(F.col("prev_score").isNull() | (score != to_int(F.col("prev_score"))))
-    tests.append(is_top())
-    total = F.lit(0)
-    for i, t in enumerate(tests):
-        total = total + F.when(t, F.lit(1 << i)).otherwise(F.lit(0))
-    return total
-
-
-def _with_kept(perf: DataFrame, buckets: int) -> DataFrame:
     name = kept_name(buckets)
-    return perf if name in perf.columns else perf.withColumn(name, kept_column(buckets))
+    if name in perf.columns:
+        return perf
+    other = next(c for c in perf.columns if c.startswith("_kept_"))
+    bits = F.col(other).bitwiseAND(F.lit(sum(1 << b for b in (SCORE_ABOVE, SCORE_BELOW, TOP))))
+    for m in rates:
+        differs = bucket_of(F.col(m), buckets) != bucket_of(F.col(f"_above.{m}"), buckets)
+        bits = bits.bitwiseOR(F.when(differs, F.lit(1 << RATE_COLS.index(m))).otherwise(F.lit(0)))
+    return perf.withColumn(name, bits)
 
 
 def _has(buckets: int, *bits: int) -> Column:
@@ -106,8 +66,7 @@ def _numbered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     Points are numbered within (series, curve, range partition); the number of points in
     the partitions that come first, at most partitions x series x curves rows, is added.
     """
-    part = "_pid" if "_pid" in points.columns else None
-    rows = points if part else points.withColumn("_pid", F.lit(0))
+    rows = points
     sign = F.when(F.col("curve") == SCORE_CURVE, F.lit(1)).otherwise(F.lit(-1))
     rows = rows.withColumn("_order", sign * F.col("current_record")).withColumn("_part", sign * F.col("_pid"))
     counts = rows.groupBy("series", "curve", "_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -120,16 +79,15 @@ def _numbered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _points(perf: DataFrame, buckets: int, keys: Sequence[str], metrics: dict[str, str], with_score: bool) -> DataFrame:
     """Points of the curves in ``metrics`` (name -> rate), and of the score curve, in one scan."""
-    rows = _with_kept(perf, buckets)
+    rows = _with_kept(perf, buckets, list(metrics.values()))
     bits = {c: RATE_COLS.index(m) for c, m in metrics.items()}
     names = [F.when(_has(buckets, b, TOP), F.struct(F.lit(c).alias("curve"), F.lit(0).alias("_tail"))) for c, b in bits.items()]
     if with_score:
         names += [F.when(_has(buckets, SCORE_BELOW), F.struct(F.lit(SCORE_CURVE).alias("curve"), F.lit(0).alias("_tail"))),
                   F.when(_has(buckets, TOP), F.struct(F.lit(SCORE_CURVE).alias("curve"), F.lit(1).alias("_tail")))]
     any_bit = [*bits.values(), TOP, *([SCORE_BELOW] if with_score else [])]
-    pid = ["_pid"] if "_pid" in rows.columns else []
-    kept = rows.filter(_has(buckets, *any_bit)).select(F.explode(F.array_compact(F.array(*names))).alias("_c"), *_point_cols(keys), *pid)
-    return _numbered(kept.select("_c.*", *_point_cols(keys), *pid), keys)
+    kept = rows.filter(_has(buckets, *any_bit)).select(F.explode(F.array_compact(F.array(*names))).alias("_c"), *_point_cols(keys), "_pid")
+    return _numbered(kept.select("_c.*", *_point_cols(keys), "_pid"), keys)
 
 
 def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
@@ -160,7 +118,7 @@ def score_points(perf: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``seq`` runs from 1 at the lowest kept row. Integer scores are clamped to the
     32-bit range.
     """
-    buckets = next((int(c.removeprefix("_kept_")) for c in perf.columns if c.startswith("_kept_")), 1)
+    buckets = next(int(c.removeprefix("_kept_")) for c in perf.columns if c.startswith("_kept_"))
     return _points(perf, buckets, keys, {}, with_score=True)
 
 
@@ -179,4 +137,4 @@ def thin_perf(perf: DataFrame, buckets: int, keys: Sequence[str], thin: bool = T
     """
     if not thin:
         return perf.select(*_point_cols(keys))
-    return _with_kept(perf, buckets).filter(_has(buckets, *range(len(RATE_COLS)), SCORE_ABOVE, TOP)).select(*_point_cols(keys))
+    return _with_kept(perf, buckets, RATE_COLS).filter(_has(buckets, *range(len(RATE_COLS)), SCORE_ABOVE, TOP)).select(*_point_cols(keys))

@@ -10,145 +10,243 @@ rows *before* this one in ascending score order:
     precision   = tp / (tp + fp), 1.0 when tp + fp = 0
     fpr         = fp / (fp + tn)
 and the same with weights. ``current_record`` is the 1-based rank.
+
+The written local sums and the offsets of their partitions are all a row needs, so
+counts, rates and keep bits are one vectorised step over Arrow batches: exact whole
+numbers (``functions.wide``) until one conversion to DOUBLE per value, each rate
+divided once. Nothing but the local sums is stored. The step is an Arrow UDF, so rows
+that a filter on the keep bits drops never get counts or rates, and row keys never
+leave the JVM.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeleval.functions.safe import ratio, ratio_or_one
-from modeleval.operators.prefix import prefix_sums
-from modeleval.operators.series import series_unpivot
+from modeleval.functions import wide
+from modeleval.operators.prefix import Running, decode_series, plan_bytes, running_sums, with_offsets
+from modeleval.operators.series import series_sources, series_unpivot
 from modeleval.session import materialize
-from modeleval.spec import EvalSpec
+from modeleval.spec import DEFAULT_MAX_BROADCAST_ROWS, EvalSpec
 
 COUNT_COLS = ("tp", "tn", "fn", "fp")
 WEIGHT_COLS = ("weight_tp", "weight_tn", "weight_fn", "weight_fp")
 RATE_COLS = ("action_rate", "weight_action_rate", "recall", "weight_recall",
              "precision", "weight_precision", "fpr", "weight_fpr")
 PERF_COLS = ("series", "score", "current_record", *COUNT_COLS, *WEIGHT_COLS, *RATE_COLS)
-
-
-def confusion(cr: Column, ct: Column, total: Column, pos: Column) -> dict[str, Column]:
-    """tp, tn, fn, fp from exclusive sums (unit-wise or weighted alike)."""
-    tn = cr - ct
-    return {"tp": pos - ct, "tn": tn, "fn": ct, "fp": (total - pos) - tn}
-
-
-# Each rate as (numerator, denominator, value on a zero denominator).
-def rate_parts(cr: Column, ct: Column, cw: Column, cwt: Column,
-               n: Column, p: Column, w: Column, wp: Column) -> dict[str, tuple[Column, Column, float]]:
-    """Numerator and denominator of every rate, from a row's exclusive sums.
-
-    Denominators use the integer identities tp + fp = n - cr, tp + fn = P and
-    fp + tn = N, so the expressions stay small and the values are those of the
-    textbook formulas.
-    """
-    c = confusion(cr, ct, n, p)
-    wc = confusion(cw, cwt, w, wp)
-    nan = float("nan")
-    return {
-        "action_rate": (n - cr, n, nan),
-        "weight_action_rate": (w - cw, w, nan),
-        "recall": (c["tp"], p, nan),
-        "weight_recall": (wc["tp"], wp, nan),
-        "precision": (c["tp"], n - cr, 1.0),
-        "weight_precision": (wc["tp"], w - cw, 1.0),
-        "fpr": (c["fp"], n - p, nan),
-        "weight_fpr": (wc["fp"], w - wp, nan),
-    }
-
-
-def rates_from_sums(cr: Column, ct: Column, cw: Column, cwt: Column,
-                    n: Column, p: Column, w: Column, wp: Column) -> dict[str, Column]:
-    """Every count and rate of a row, as expressions of its exclusive sums."""
-    c = confusion(cr, ct, n, p)
-    wc = confusion(cw, cwt, w, wp)
-    out: dict[str, Column] = {
-        "tp": c["tp"], "tn": c["tn"], "fn": c["fn"], "fp": c["fp"],
-        "weight_tp": wc["tp"], "weight_tn": wc["tn"], "weight_fn": wc["fn"], "weight_fp": wc["fp"],
-    }
-    for name, (num, den, empty) in rate_parts(cr, ct, cw, cwt, n, p, w, wp).items():
-        out[name] = ratio(num, den) if math.isnan(empty) else ratio_or_one(num, den)
+# Bits of the keep column: one per rate in RATE_COLS, then these.
+SCORE_ABOVE, SCORE_BELOW, TOP = 8, 9, 10
+# Offsets of so many (partition, series) travel with the step; more are joined to the rows.
+LOOKUP_ROWS = 20_000
+
+WHOLE = ("off_records", "off_tag", "total_records", "total_pos")
+WEIGHTS = ("off_weight", "off_weight_tag", "total_weight", "total_weight_pos")
+EDGES = ("prev_run_last", "next_run_first")
+# What each step reads of a row: its local sums; its own values; its score and those around it.
+LOCAL = ("loc_records", "loc_tag", "loc_weight_low", "loc_weight_tag_low", "loc_weight_high", "loc_weight_tag_high")
+OWN = ("tag", "weight", "weight_tag")
+SCORES = ("score", "prev_score", "next_score")
+Arrays = dict[str, np.ndarray]
+
+
+def kept_name(buckets: int) -> str:
+    return f"_kept_{buckets}"
+
+
+def to_int(x: np.ndarray) -> np.ndarray:
+    """Truncate toward zero; NaN -> 0; clamped to 32 bits."""
+    return np.clip(np.nan_to_num(x, nan=0.0), -(2.0**31), 2.0**31 - 1).astype(np.int64)
+
+
+def _pair(rows: Arrays, name: str) -> wide.Wide:
+    return rows[f"{name}_high"], rows[f"{name}_low"]
+
+
+class Sums:
+    """The exclusive sums of the rows of a batch (or, ``above``, of the next-higher rows of
+    their series, which are these sums plus the rows' own values), with the series' totals."""
+
+    def __init__(self, rows: Arrays, above: bool = False):
+        self.cr, self.ct = rows["off_records"] + rows["loc_records"], rows["off_tag"] + rows["loc_tag"]
+        self.cw = wide.add(_pair(rows, "off_weight"), _pair(rows, "loc_weight"))
+        self.cwt = wide.add(_pair(rows, "off_weight_tag"), _pair(rows, "loc_weight_tag"))
+        if above:
+            self.cr, self.ct = self.cr + 1, self.ct + rows["tag"]
+            self.cw = wide.normal(self.cw[0] + (rows["weight"] >> wide.BITS), self.cw[1] + (rows["weight"] & wide.MASK))
+            self.cwt = wide.normal(self.cwt[0] + (rows["weight_tag"] >> wide.BITS), self.cwt[1] + (rows["weight_tag"] & wide.MASK))
+        self.n, self.p = rows["total_records"], rows["total_pos"]
+        self.w, self.wp = _pair(rows, "total_weight"), _pair(rows, "total_weight_pos")
+
+    def counts(self) -> Arrays:
+        tn = self.cr - self.ct
+        return {"tp": self.p - self.ct, "tn": tn, "fn": self.ct, "fp": self.n - self.p - tn}
+
+    def weights(self) -> Arrays:
+        tn = wide.subtract(self.cw, self.cwt)
+        fp = wide.subtract(wide.subtract(self.w, self.wp), tn)
+        return {"weight_tp": wide.to_double(wide.subtract(self.wp, self.cwt)), "weight_tn": wide.to_double(tn),
+                "weight_fn": wide.to_double(self.cwt), "weight_fp": wide.to_double(fp)}
+
+    def rates(self, counts: Arrays, weights: Arrays) -> Arrays:
+        """NaN where a denominator is zero, but precision 1.0.
+
+        Denominators use tp + fp = n - cr, tp + fn = P and fp + tn = N, unit-wise and weighted.
+        """
+        at, weight_at = self.n - self.cr, wide.to_double(wide.subtract(self.w, self.cw))
+        parts = {
+            "action_rate": (at, self.n), "weight_action_rate": (weight_at, wide.to_double(self.w)),
+            "recall": (counts["tp"], self.p), "weight_recall": (weights["weight_tp"], wide.to_double(self.wp)),
+            "precision": (counts["tp"], at), "weight_precision": (weights["weight_tp"], weight_at),
+            "fpr": (counts["fp"], self.n - self.p),
+            "weight_fpr": (weights["weight_fp"], wide.to_double(wide.subtract(self.w, self.wp))),
+        }
+        out = {}
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for name, (num, den) in parts.items():
+                den = den.astype(np.float64)
+                out[name] = np.where(den == 0, 1.0 if "precision" in name else np.nan, num.astype(np.float64) / den)
+        return out
+
+    def values(self) -> Arrays:
+        counts, weights = self.counts(), self.weights()
+        return {**counts, **weights, **self.rates(counts, weights)}
+
+
+def kept_bits(rows: Arrays, buckets: int) -> np.ndarray:
+    """All keep tests of a row as bits of one integer: is ``trunc(rate * B)`` not that of the
+    row above, is the integer score not that of the row above or below, is it the top row."""
+    here, above = Sums(rows), Sums(rows, above=True)
+    now, up = here.values(), above.values()
+    out = np.zeros(len(here.cr), np.int64)
+    for i, m in enumerate(RATE_COLS):
+        out |= (to_int(now[m] * buckets) != to_int(up[m] * buckets)).astype(np.int64) << i
+    score = to_int(rows["score"])
+    has_above, has_below = ~rows["next_score_null"], ~rows["prev_score_null"]
+    out |= (has_above & (score != to_int(rows["next_score"]))).astype(np.int64) << SCORE_ABOVE
+    out |= (~has_below | (score != to_int(rows["prev_score"]))).astype(np.int64) << SCORE_BELOW
+    out |= (here.cr + 1 == here.n).astype(np.int64) << TOP
     return out
 
 
-def _totals() -> tuple[Column, Column, Column, Column]:
-    return (F.col("total_records"), F.col("total_pos"),
-            F.col("total_weight"), F.col("total_weight_pos"))
-
-
-def _row_sums(at_next: bool) -> tuple[Column, Column, Column, Column]:
-    cr, ct = F.col("cum_records"), F.col("cum_tag")
-    cw, cwt = F.col("cum_weight"), F.col("cum_weight_tag")
-    if at_next:
-        cr, ct = cr + F.lit(1), ct + F.col("tag")
-        cw, cwt = cw + F.col("weight"), cwt + F.col("weight_tag")
-    return cr, ct, cw, cwt
+class Lookup:
+    """The offsets of all (partition, series), for rows that only name theirs."""
+
+    def __init__(self, offsets: pa.Table, series: int):
+        place = offsets["_pid"].to_numpy() * series + offsets["series"].to_numpy()
+        order = np.argsort(place)
+        self.series, self.place, self.columns = series, place[order], {}
+        for c in WHOLE:
+            self.columns[c] = offsets[c].to_numpy()[order]
+        for c in WEIGHTS:
+            high, low = wide.wide([int(x) for x in offsets[c].to_pylist()])
+            self.columns[f"{c}_high"], self.columns[f"{c}_low"] = high[order], low[order]
+        self.wide = bool(self.columns["total_weight_high"].any())
+        for c in EDGES:
+            self.columns[c] = offsets[c].to_numpy()[order].astype(np.float64)
+            self.columns[f"{c}_null"] = np.asarray(offsets[c].is_null())[order]
+
+    def of(self, pid: np.ndarray, series: np.ndarray) -> Arrays:
+        at = np.searchsorted(self.place, pid.astype(np.int64) * self.series + series)
+        return {c: v[at] for c, v in self.columns.items()}
+
+
+def _batch(columns: Sequence[pa.Array], names: Sequence[str], lookup: Lookup | None) -> Arrays:
+    """The columns of a batch as arrays, with the offsets and the scores around each row."""
+    rows: Arrays = {}
+    for name, column in zip(names, columns):
+        rows[name] = column.to_numpy(zero_copy_only=False)
+        if name in ("prev_score", "next_score", *EDGES):
+            rows[f"{name}_null"] = np.asarray(column.is_null())
+    if lookup is not None:
+        rows.update(lookup.of(rows["_pid"], rows["series"]))
+    for name in ("loc_weight_high", "loc_weight_tag_high"):
+        if name not in rows:  # left out where all sums fit the low limb
+            rows[name] = np.zeros(len(rows["loc_tag"]), np.int64)
+    if "tag" in rows:
+        rows["tag"] = rows["tag"].astype(np.int64)
+    if "score" in rows:
+        for near, edge in (("prev_score", "prev_run_last"), ("next_score", "next_run_first")):
+            missing = rows[f"{near}_null"]
+            rows[near] = np.where(missing, rows[edge], rows[near]).astype(np.float64)
+            rows[f"{near}_null"] = missing & rows[f"{edge}_null"]
+    return rows
+
+
+def _step(names: Sequence[str], lookup: Lookup | None, kind: str, returns: Callable[[Arrays], pa.Array]) -> Column:
+    @F.arrow_udf(kind)
+    def step(*columns: pa.Array) -> pa.Array:
+        return returns(_batch(columns, names, lookup))
+
+    return step(*names)
+
+
+def _struct(values: Arrays) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(v) for v in values.values()], list(values))
+
+
+def perf_rows(found: Running, keys: Sequence[str], buckets: int,
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Perf rows over written running sums: ``PERF_COLS`` and the row key, and for the curves
+    ``_kept_<buckets>``, ``_above`` (the rates of the row above) and ``_pid``."""
+    lookup, local = None, LOCAL
+    if found.names and found.bound <= min(LOOKUP_ROWS, max_broadcast_rows):
+        lookup = Lookup(found.offsets.toArrow(), len(found.names))
+        rows, place, edges = found.table, ("_pid", "series"), ()
+        local = LOCAL if lookup.wide else LOCAL[:4]
+    else:
+        offsets = materialize(found.offsets, "offsets")
+        limbs = {f"{c}_{part}": v for c in WEIGHTS for part, v in zip(("high", "low"), wide.limbs(F.col(c)))}
+        rows = with_offsets(replace(found, offsets=offsets.withColumns(limbs)), max_broadcast_rows)
+        place, edges = (*WHOLE, *limbs), EDGES
+    rates = ",".join(f"{c}:double" for c in RATE_COLS)
+    counts = ",".join([*(f"{c}:bigint" for c in COUNT_COLS), *(f"{c}:double" for c in WEIGHT_COLS)])
+    values = _step([*place, *local], lookup, f"struct<{counts},{rates}>", lambda r: _struct(Sums(r).values()))
+    above = _step([*place, *local, *OWN], lookup, f"struct<{rates}>",
+                  lambda r: _struct({m: v for m, v in Sums(r, above=True).values().items() if m in RATE_COLS}))
+    kept = _step([*place, *local, *OWN, *SCORES, *edges], lookup, "bigint", lambda r: pa.array(kept_bits(r, buckets)))
+    rows = rows.select(
+        decode_series(F.col("series"), found.names).alias("series"), "score", *keys, "_pid",
+        values.alias("_v"), above.alias("_above"), kept.alias(kept_name(buckets)))
+    return rows.select(
+        "series", "score", *keys, (F.col("_v.tn") + F.col("_v.fn") + F.lit(1)).alias("current_record"),
+        *[F.col(f"_v.{c}").alias(c) for c in (*COUNT_COLS, *WEIGHT_COLS, *RATE_COLS)],
+        "_pid", "_above", kept_name(buckets))
 
 
-def row_rates(at_next: bool = False) -> dict[str, Column]:
-    """Rates of this row, or (``at_next``) of the next-higher row of the series.
+def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | None = None,
+                          method: str | None = None) -> DataFrame:
+    """Perf rows (with what the curves need) for a long series table.
 
-    The next row's exclusive sums are this row's sums plus its own values, so
-    the successor's rates need no window at all.
+    The local sums and offsets are written once under the shared checkpoint folder, in
+    this call; every output reads them with the vectorised step on top.
     """
-    return rates_from_sums(*_row_sums(at_next), *_totals())
-
+    found = running_sums(long, spec.row_key, method or spec.prefix_method, spec.prefix_partitions,
+                         series_count, [n for n, _ in series_sources(spec)])
+    return perf_rows(found, spec.row_key, spec.buckets, spec.max_broadcast_rows)
 
-def row_rate_parts(at_next: bool = False) -> dict[str, tuple[Column, Column, float]]:
-    """Numerators and denominators of this row's (or the next row's) rates."""
-    return rate_parts(*_row_sums(at_next), *_totals())
 
+def performance(scored: DataFrame, spec: EvalSpec, method: str | None = None) -> DataFrame:
+    """Scored rows -> perf rows for every series (models, avg, score meta)."""
+    return performance_from_long(series_unpivot(spread(scored, spec.row_key), spec, numbered=True), spec, method=method)
 
-def add_rates(sums: DataFrame, keys: Sequence[str] = (), keep_inputs: bool = True) -> DataFrame:
-    """Perf rows from a prefix-sum table."""
-    r = row_rates()
-    cols = [F.col("series"), F.col("score"), *[F.col(k) for k in keys],
-            (F.col("cum_records") + F.lit(1)).alias("current_record")]
-    cols += [r[c].cast("bigint").alias(c) for c in COUNT_COLS]
-    cols += [r[c].cast("double").alias(c) for c in WEIGHT_COLS]
-    cols += [r[c].alias(c) for c in RATE_COLS]
-    if keep_inputs:
-        cols += [F.col(c) for c in ("tag", "weight", "weight_tag", "cum_records", "cum_tag",
-                                    "cum_weight", "cum_weight_tag", "prev_score", "next_score",
-                                    "total_records", "total_pos", "total_weight",
-                                    "total_weight_pos", "_pid")]
-        cols += [F.col(c) for c in sums.columns if c.startswith("_kept_")]
-    return sums.select(*cols)
 
+def spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` dealt over the shuffle partitions by their key, if they are so few bytes that
+    their scan may be one or two tasks; larger inputs have splits enough and stay as they are.
 
-def performance_from_long(long: DataFrame, spec: EvalSpec, series_count: int | None = None,
-                          method: str | None = None, written: bool = True) -> DataFrame:
-    """Perf rows (with the inputs the curves need) for a long series table.
-
-    ``written=True`` (default) writes the running sums once under the shared
-    checkpoint folder, with one integer per row that says which curves keep the
-    row, and returns the table read back: the perf output is a scan with cheap
-    expressions, and all curves and the thinning are a scan with a filter on
-    that integer. The write happens in this call.
+    Range partitioning computes its input twice, so one long task would run twice.
     """
-    from modeleval.operators.curves import kept_column, kept_name
-    from modeleval.operators.series import series_sources
-    sums = prefix_sums(long, spec.row_key, method=method or spec.prefix_method,
-                       partitions=spec.prefix_partitions, series_count=series_count,
-                       series_names=[n for n, _ in series_sources(spec)],
-                       max_broadcast_rows=spec.max_broadcast_rows)
-    if written:
-        # Counts and rates are cheap expressions of the sums and are not stored.
-        sums = materialize(sums.withColumn(kept_name(spec.buckets), kept_column(spec.buckets)), "sums")
-    return add_rates(sums, spec.row_key)
-
-
-def performance(scored: DataFrame, spec: EvalSpec, method: str | None = None) -> DataFrame:
-    """Scored rows -> perf rows for every series (models, avg, score meta)."""
-    from modeleval.operators.series import series_sources
-    long = series_unpivot(scored, spec)
-    return performance_from_long(long, spec, series_count=len(series_sources(spec)), method=method)
+    spark = rows.sparkSession
+    split = 128 << 20
+    if plan_bytes(rows) >= split * spark.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def perf_view(perf: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -5,39 +5,44 @@ records, positives, weight and positive weight of all rows *before* it, the
 scores of its neighbours, and the series totals. Both plans cut every series
 into range partitions first, so no task ever holds a whole series:
 
-1. ``repartitionByRange(P, series, score, *key)``: Spark samples the composite
-   key, so a score tied on a third of all rows is still cut across many tasks
-   by the row key;
+1. ``repartitionByRange(P, place, score, *key, tag, weight)``: Spark samples the
+   composite key, so a score tied on a third of all rows is still cut across many
+   tasks by the row key. ``place`` is one BIGINT that rises with (series, score), so
+   that nearly all comparisons end at the first column; tag and weight make the
+   order total for repeated keys (rows equal in all of these are interchangeable);
 2. local running sums inside each (partition, series) run:
 
    ``range``  (default) ``sortWithinPartitions`` + ``mapInArrow``: vectorised
               numpy cumulative sums over Arrow batches, state carried between
               batches; one shuffle in all;
    ``window`` the rows tagged with their partition id are written first, then
-              ``Window.partitionBy(series, partition).orderBy(score, key)``
+              ``Window.partitionBy(series, partition).orderBy(score, key, ..)``
               gives the local sums: all JVM, one more shuffle;
 
 3. the partition-tagged table is written once under the shared checkpoint
    folder; that cuts the lineage and pins the layout for what follows;
 4. per (partition, series) totals - at most P x S rows - give the offsets with
    a window over that tiny table;
-5. the offsets are broadcast-joined back (size bound P x S checked) and added
-   to the local sums.
+5. readers add the offsets to the local sums (``prefix_sums`` joins them; the
+   performance step takes them along, see there).
 
-Weights are whole numbers and never negative. Local sums are BIGINT and fail when
-they overflow; the sums over partitions are DECIMAL(38,0), so nothing is rounded.
+Weights are whole numbers and never negative. Local weight sums are two BIGINT limbs
+(``functions.wide``) and the sums over partitions DECIMAL(38,0), so nothing is rounded
+and no partition overflows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modeleval.functions import wide
 from modeleval.functions.safe import running_weight, weight_sum
-from modeleval.session import scratch_path
+from modeleval.session import materialize
 from modeleval.spec import DEFAULT_MAX_BROADCAST_ROWS
 
 # Compressed bytes of the score table that one range partition should hold.
@@ -45,6 +50,8 @@ TARGET_PARTITION_BYTES = 64 << 20
 
 SUM_COLS = ("cum_records", "cum_tag", "cum_weight", "cum_weight_tag")
 TOTAL_COLS = ("total_records", "total_pos", "total_weight", "total_weight_pos")
+LOCAL_COLS = ("loc_records", "loc_tag", "loc_weight_high", "loc_weight_low", "loc_weight_tag_high", "loc_weight_tag_low")
+VALUES = ("tag", "weight", "weight_tag")
 
 
 def _out_columns(keys: Sequence[str]) -> list[str]:
@@ -52,6 +59,20 @@ def _out_columns(keys: Sequence[str]) -> list[str]:
             "prev_score", "next_score", *TOTAL_COLS, "_pid"]
 
 
+@dataclass(frozen=True)
+class Running:
+    """Written local sums, their offsets and what is known about them.
+
+    ``names`` are the series names if the tables hold positions; ``bound`` is the most
+    rows that ``offsets`` can have (None if the number of series is not known).
+    """
+
+    table: DataFrame
+    offsets: DataFrame
+    names: list[str] | None
+    bound: int | None
+
+
 def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
                 partitions: int | None = None, series_count: int | None = None,
                 series_names: Sequence[str] | None = None,
@@ -61,16 +82,14 @@ def prefix_sums(long: DataFrame, keys: Sequence[str], method: str = "range",
     ``series_names`` (when known) lets the range plan shuffle and sort a small
     integer id instead of the name.
     """
-    if method not in ("range", "window"):
-        raise ValueError(f"unknown prefix method {method!r}")
-    local = "arrow" if method == "range" else "window"
-    return prefix_range(long, keys, partitions=partitions, series_count=series_count,
-                        series_names=series_names, local=local,
-                        max_broadcast_rows=max_broadcast_rows)
+    found = running_sums(long, keys, method, partitions, series_count, series_names)
+    return with_sums(found, keys, max_broadcast_rows)
 
 
 def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
     """Replace the series name by its position in ``names`` (unknown names fail)."""
+    if isinstance(long.schema["series"].dataType, T.IntegerType):
+        return long
     pairs = []
     for i, n in enumerate(names):
         pairs += [F.lit(n), F.lit(i)]
@@ -79,8 +98,20 @@ def encode_series(long: DataFrame, names: Sequence[str]) -> DataFrame:
         F.concat(F.lit("unknown series "), F.col("series")))).otherwise(sid).cast("int"))
 
 
-def decode_series(col: "F.Column", names: Sequence[str]) -> "F.Column":
-    return F.element_at(F.array(*[F.lit(n) for n in names]), col + F.lit(1))
+def decode_series(col: Column, names: Sequence[str] | None) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), col + F.lit(1)) if names else col
+
+
+# One series takes 2^44 places; scores are told apart there in steps of 2^-20 up to +-2^23.
+PLACES, STEPS = 1 << 44, float(1 << 20)
+
+
+def place_of(series: Column, score: Column) -> Column:
+    """One BIGINT that never falls as (series number, score) rises: NULL first, NaN last."""
+    edge = float(PLACES // 2 - 1)
+    scaled = F.nanvl(score, F.lit(float("inf"))) * F.lit(STEPS)
+    near = F.floor(F.least(F.greatest(scaled, F.lit(-edge)), F.lit(edge)))
+    return series.cast("bigint") * F.lit(PLACES) + F.when(score.isNull(), F.lit(-PLACES // 2)).otherwise(near)
 
 
 def _local_sums(batches: Iterator) -> Iterator:
@@ -104,9 +135,24 @@ def _local_sums(batches: Iterator) -> Iterator:
             pa.array(prev, type=pa.float64(), mask=prev_null),
             pa.array(nxt, type=pa.float64(), mask=nxt_null),
         ]
-        names = list(rb.schema.names) + ["loc_records", "loc_tag", "loc_weight",
-                                         "loc_weight_tag", "prev_score", "next_score"]
-        return pa.RecordBatch.from_arrays(arrays, names=names)
+        return pa.RecordBatch.from_arrays(arrays, names=list(rb.schema.names) + [*LOCAL_COLS, "prev_score", "next_score"])
+
+    def run_sums(x, starts, run, carried):
+        """Exclusive sums since the start of each row's run, and the sum up to the batch's end."""
+        before = wide.running(x)
+        end = (int(before[0][-1]) << wide.BITS) + int(before[1][-1]) + int(x[-1])
+        if run[-1] < 0:
+            end += carried
+        elif len(starts):
+            end -= (int(before[0][starts[-1]]) << wide.BITS) + int(before[1][starts[-1]])
+        if len(starts):
+            # Rows before the first new run continue the carried one.
+            at = starts[np.maximum(run, 0)]
+            before = wide.subtract(before, (np.where(run < 0, 0, before[0][at]), np.where(run < 0, 0, before[1][at])))
+        if carried and run[0] < 0:
+            high, low = wide.wide([carried])
+            before = wide.add(before, (np.where(run < 0, high[0], 0), np.where(run < 0, low[0], 0)))
+        return before, end
 
     for rb in batches:
         n = rb.num_rows
@@ -114,12 +160,10 @@ def _local_sums(batches: Iterator) -> Iterator:
             continue
         series = rb.column("series").to_numpy(zero_copy_only=False)
         score = rb.column("score").to_numpy(zero_copy_only=False).astype(np.float64)
-        values = [
-            np.ones(n, dtype=np.int64),
-            rb.column("tag").to_numpy(zero_copy_only=False).astype(np.int64),
-            rb.column("weight").to_numpy(zero_copy_only=False).astype(np.int64),
-            rb.column("weight_tag").to_numpy(zero_copy_only=False).astype(np.int64),
-        ]
+        values = [np.ones(n, dtype=np.int64)] + [
+            rb.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in VALUES]
+        if min(int(x.min()) for x in values) < 0:
+            raise ValueError("weights must not be negative")
         new_run = np.empty(n, dtype=bool)
         new_run[0] = series[0] != carry_series
         new_run[1:] = series[1:] != series[:-1]
@@ -127,19 +171,8 @@ def _local_sums(batches: Iterator) -> Iterator:
         starts = np.flatnonzero(new_run)
         sums = []
         for j, x in enumerate(values):
-            if (x < 0).any():
-                raise ValueError("weights must not be negative")
-            # Close to the limit the exact sum decides; numpy itself would wrap in silence.
-            if carry[j] + float(x.sum(dtype=np.float64)) > 9e18 and carry[j] + sum(x.tolist()) >= 2**63:
-                raise OverflowError("the weights of one range partition exceed BIGINT; use more partitions")
-            excl = np.cumsum(x) - x
-            if len(starts):
-                base = np.where(run >= 0, excl[starts[np.maximum(run, 0)]], -carry[j])
-            else:
-                base = np.full(n, -carry[j], dtype=np.int64)
-            s = excl - base
-            carry[j] = int(s[-1] + x[-1])
-            sums.append(s)
+            (high, low), carry[j] = run_sums(x, starts, run, carry[j])
+            sums += [low] if j < 2 else [high, low]
         prev = np.empty(n, dtype=np.float64)
         prev[1:] = score[:-1]
         prev[0] = last_score
@@ -186,65 +219,78 @@ def local_sums_table(long: DataFrame, keys: Sequence[str], partitions: int | Non
     With ``series_names`` the table holds the series as its integer position.
     """
     spark = long.sparkSession
+    order = ["score", *keys, *VALUES]
     if series_names:
         long = encode_series(long, series_names)
+        long = long.withColumn("_place", place_of(F.col("series"), F.col("score")))
+        order = ["_place", *order]
+    else:
+        order = ["series", *order]
     p = _range_partitions(long, partitions)
-    order = ["series", "score", *keys]
+    columns = ["series", "score", *keys, *VALUES, F.spark_partition_id().alias("_pid")]
     ranged = long.repartitionByRange(p, *order)
     if local == "window":
-        path = scratch_path(spark, "ranged")
-        ranged.withColumn("_pid", F.spark_partition_id()) \
-            .write.option("compression", "zstd").parquet(path)
-        return _window_local_sums(spark.read.parquet(path), keys)
-    staged = ranged.sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
-    extra = [T.StructField(n, T.LongType(), False)
-             for n in ("loc_records", "loc_tag", "loc_weight", "loc_weight_tag")]
+        return _window_local_sums(materialize(ranged.select(*columns), "ranged"), keys)
+    staged = ranged.sortWithinPartitions(*order).select(*columns)
+    extra = [T.StructField(n, T.LongType(), False) for n in LOCAL_COLS]
     extra += [T.StructField("prev_score", T.DoubleType(), True),
               T.StructField("next_score", T.DoubleType(), True)]
     schema = T.StructType(list(staged.schema.fields) + extra)
-    local_df = staged.mapInArrow(_local_sums, schema)
-    path = scratch_path(spark, "prefix")
-    local_df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    # Nearly all of it is running sums and row keys: differences pack well, dictionaries do not.
+    return materialize(staged.mapInArrow(_local_sums, schema), "prefix", {
+        "parquet.enable.dictionary": "false", "parquet.writer.version": "v2"})
+
+
+def _halves(weight: str) -> dict[str, Column]:
+    """A weight in two parts whose BIGINT sums 2^31 rows of a run cannot overflow."""
+    half = wide.BITS // 2
+    return {"upper": F.shiftright(weight, half), "lower": F.col(weight).bitwiseAND(F.lit((1 << half) - 1).cast("bigint"))}
 
 
 def _window_local_sums(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Local sums of each (series, partition) run with built-in window functions."""
-    w = Window.partitionBy("series", "_pid").orderBy("score", *keys)
+    """Local sums of each (series, partition) run with built-in window functions.
+
+    Weights are summed in halves (``_halves``) and put together as limbs.
+    """
+    w = Window.partitionBy("series", "_pid").orderBy("score", *keys, *VALUES)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    half = wide.BITS // 2
+    mask = F.lit((1 << half) - 1).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    return tagged.select(
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c).over(before), zero)
+
+    halves = {f"_{c}_{h}": total(v) for c in ("weight", "weight_tag") for h, v in _halves(c).items()}
+    summed = tagged.select(
         "*",
         (F.row_number().over(w) - 1).cast("bigint").alias("loc_records"),
-        F.coalesce(F.sum(F.col("tag").cast("bigint")).over(before), zero).alias("loc_tag"),
-        F.coalesce(F.sum("weight").over(before), zero).alias("loc_weight"),
-        F.coalesce(F.sum("weight_tag").over(before), zero).alias("loc_weight_tag"),
+        total(F.col("tag").cast("bigint")).alias("loc_tag"),
         F.lag("score").over(w).alias("prev_score"),
         F.lead("score").over(w).alias("next_score"),
-    )
+        *[v.alias(n) for n, v in halves.items()])
+    out = {}
+    for c in ("weight", "weight_tag"):
+        low = F.shiftleft(F.col(f"_{c}_upper").bitwiseAND(mask), half) + F.col(f"_{c}_lower")
+        out[f"loc_{c}_high"] = F.shiftright(f"_{c}_upper", half) + F.shiftright(low, wide.BITS)
+        out[f"loc_{c}_low"] = low.bitwiseAND(F.lit(wide.MASK).cast("bigint"))
+    return summed.withColumns(out).drop(*halves)
 
 
-def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None = None,
-                 series_count: int | None = None,
-                 series_names: Sequence[str] | None = None, local: str = "arrow",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    p = _range_partitions(long, partitions)
-    if series_names:
-        series_count = len(series_names)
-    table = local_sums_table(long, keys, p, series_names=series_names, local=local)
+def offsets_of(table: DataFrame) -> DataFrame:
+    """Step 4: per (partition, series) the sums before it, the scores around it, and the series totals."""
     seg = table.groupBy("_pid", "series").agg(
         F.count(F.lit(1)).alias("seg_records"),
         F.sum("tag").cast("bigint").alias("seg_tag"),
-        weight_sum(F.col("weight")).alias("seg_weight"),
-        weight_sum(F.col("weight_tag")).alias("seg_weight_tag"),
+        *[F.sum(v).alias(f"seg_{c}_{h}") for c in ("weight", "weight_tag") for h, v in _halves(c).items()],
         F.min("score").alias("seg_first"),
         F.max("score").alias("seg_last"),
-    )
+    ).withColumns({f"seg_{c}": wide.joined_halves(F.col(f"seg_{c}_upper"), F.col(f"seg_{c}_lower")) for c in ("weight", "weight_tag")})
     w = Window.partitionBy("series").orderBy("_pid")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("series")
     zero = F.lit(0)
-    offsets = seg.select(
+    return seg.select(
         "_pid", "series",
         F.coalesce(F.sum("seg_records").over(before), zero).cast("bigint").alias("off_records"),
         F.coalesce(F.sum("seg_tag").over(before), zero).cast("bigint").alias("off_tag"),
@@ -258,30 +304,51 @@ def prefix_range(long: DataFrame, keys: Sequence[str], partitions: int | None =
         running_weight(F.sum("seg_weight").over(whole)).alias("total_weight"),
         running_weight(F.sum("seg_weight_tag").over(whole)).alias("total_weight_pos"),
     )
-    # Offsets have one row per (partition, series): at most P x S, known here.
-    bound = p * (series_count if series_count else 1)
-    if series_count and bound <= max_broadcast_rows:
+
+
+def running_sums(long: DataFrame, keys: Sequence[str], method: str = "range", partitions: int | None = None,
+                 series_count: int | None = None, series_names: Sequence[str] | None = None) -> Running:
+    """Steps 1-4: the local sums, written, and the plan of their offsets."""
+    if method not in ("range", "window"):
+        raise ValueError(f"unknown prefix method {method!r}")
+    p = _range_partitions(long, partitions)
+    names = list(series_names) if series_names else None
+    count = len(names) if names else series_count
+    table = local_sums_table(long, keys, p, series_names=names, local="arrow" if method == "range" else "window")
+    return Running(table, offsets_of(table), names, p * count if count else None)
+
+
+def with_offsets(found: Running, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Step 5: rows with the offsets of their partition (broadcast if the bound allows)."""
+    offsets = found.offsets
+    if found.bound is not None and found.bound <= max_broadcast_rows:
         offsets = F.broadcast(offsets)
-    joined = table.join(offsets, ["_pid", "series"])
-    series = decode_series(F.col("series"), series_names).alias("series") if series_names else F.col("series")
-    out = joined.select(
-        series, "score", *keys, "tag", "weight", "weight_tag",
+    return found.table.join(offsets, ["_pid", "series"])
+
+
+def with_sums(found: Running, keys: Sequence[str], max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """The finished running sums of every row, weights as DECIMAL(38,0)."""
+    rows = with_offsets(found, max_broadcast_rows)
+
+    def weight(c: str) -> Column:
+        return running_weight(F.col(f"off_{c}") + wide.joined(F.col(f"loc_{c}_high"), F.col(f"loc_{c}_low"))).alias(f"cum_{c}")
+
+    return rows.select(
+        decode_series(F.col("series"), found.names).alias("series"), "score", *keys, *VALUES,
         (F.col("off_records") + F.col("loc_records")).alias("cum_records"),
         (F.col("off_tag") + F.col("loc_tag")).alias("cum_tag"),
-        running_weight(F.col("off_weight") + F.col("loc_weight")).alias("cum_weight"),
-        running_weight(F.col("off_weight_tag") + F.col("loc_weight_tag")).alias("cum_weight_tag"),
+        weight("weight"), weight("weight_tag"),
         F.coalesce("prev_score", "prev_run_last").alias("prev_score"),
         F.coalesce("next_score", "next_run_first").alias("next_score"),
         *TOTAL_COLS, "_pid",
     )
-    return out
 
 
 def merged_partitions(table: DataFrame, keys: Sequence[str], series_names: Sequence[str] | None = None) -> DataFrame:
     """Per series: the partitions' sums merged, and how many partitions overlap the one before
     them in (score, key) order, which must be none."""
     place = F.struct("score", *keys)
-    series = decode_series(F.col("series"), series_names) if series_names else F.col("series")
+    series = decode_series(F.col("series"), series_names)
     parts = table.groupBy("_pid", "series").agg(F.min(place).alias("low"), F.max(place).alias("high")).withColumn(
         "overlap", F.lag("high").over(Window.partitionBy("series").orderBy("_pid")) >= F.col("low"))
     overlaps = parts.groupBy(series.alias("series")).agg(F.count_if("overlap").alias("overlaps"))
@@ -293,7 +360,7 @@ def merged_partitions(table: DataFrame, keys: Sequence[str], series_names: Seque
 
 def partition_totals(table: DataFrame, series_names: Sequence[str] | None = None) -> DataFrame:
     """Per (partition, series) sums of a written local-sums table."""
-    series = decode_series(F.col("series"), series_names) if series_names else F.col("series")
+    series = decode_series(F.col("series"), series_names)
     return table.groupBy(F.col("_pid").alias("part"), series.alias("series")).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum("tag").cast("bigint").alias("pos"),

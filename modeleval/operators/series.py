@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modeleval.functions.safe import weight_sum
@@ -31,7 +31,7 @@ def series_sources(spec: EvalSpec) -> list[tuple[str, str]]:
     return pairs
 
 
-def missing_score_policy(long: DataFrame, policy: str) -> DataFrame:
+def missing_score_policy(long: DataFrame, policy: str, name: Column | None = None) -> DataFrame:
     """A row without a score for its series fails the job (``error``) or is left out (``drop``).
 
     The check rides along in the same stage; no extra pass over the data.
@@ -41,17 +41,18 @@ def missing_score_policy(long: DataFrame, policy: str) -> DataFrame:
         return long.filter(score.isNotNull())
     if policy == "error":
         return long.withColumn("score", F.when(score.isNull(), F.raise_error(
-            F.concat(F.lit("No score value for series "), F.col("series"))))
+            F.concat(F.lit("No score value for series "), F.col("series") if name is None else name)))
             .otherwise(score))
     raise ValueError(f"unknown missing-score policy {policy!r}")
 
 
-def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True) -> DataFrame:
+def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True, numbered: bool = False) -> DataFrame:
     """Long table ``series, score, <row key>, tag (0/1), weight, weight_tag``.
 
     Only labelled rows; the columns a series does not need are pruned here, so
     the later shuffle moves nothing else. ``unpivot`` keeps NULL scores, so the
-    missing-score rule can see them.
+    missing-score rule can see them. ``numbered`` gives each series its position
+    in ``series_sources`` (INT) instead of its name.
     """
     # A saved score table has the trimmed tag text only; rows of other tags are not in the reports.
     saved = "is_pos" not in scored.columns
@@ -64,9 +65,14 @@ def series_unpivot(scored: DataFrame, spec: EvalSpec, apply_policy: bool = True)
         tag.alias("tag"), F.col("weight"), F.col("weight_tag"),
         *[F.col(src).cast("double").alias(name) for name, src in pairs],
     )
-    long = base.unpivot(keys + list(LONG_VALUES), [n for n, _ in pairs], "series", "score")
+    if numbered:
+        cells = F.array(*[F.struct(F.lit(i).alias("series"), F.col(name).alias("score")) for i, (name, _) in enumerate(pairs)])
+        long = base.select(F.inline(cells), *keys, *LONG_VALUES)
+    else:
+        long = base.unpivot(keys + list(LONG_VALUES), [n for n, _ in pairs], "series", "score")
     long = long.select("series", "score", *keys, *LONG_VALUES)
-    return missing_score_policy(long, spec.on_missing_score) if apply_policy else long
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in pairs]), F.col("series") + 1) if numbered else None
+    return missing_score_policy(long, spec.on_missing_score, name) if apply_policy else long
 
 
 def prune_for_series(long: DataFrame) -> DataFrame:

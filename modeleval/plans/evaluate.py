@@ -55,11 +55,11 @@ def evaluate_binary(df: DataFrame, spec: EvalSpec, output: str | None = None,
     result = {"counters": run_counters(scored), "scores": saved}
     if not reports:
         return result
-    long = series_unpivot(saved, spec)
+    long = series_unpivot(saved, spec, numbered=True)
     if spec.prefix_partitions is None:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spec = spec.with_(prefix_partitions=partitions_for(plan_bytes(saved), len(series_sources(spec)), least))
-    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=True)
+    perf = performance_from_long(long, spec)
     # Points are small (about B + 1 per curve and series); written once, they
     # feed the panels and the CSV without recomputing the curve filters.
     points = materialize(all_points(perf, spec.buckets, spec.row_key), "points")

@@ -17,7 +17,7 @@ from modeleval.operators import curves as C
 from modeleval.operators.labels import add_labels, labelled_only, run_counters, scored_output
 from modeleval.operators.panels import gain_panels, pr_roc_panels, score_histogram
 from modeleval.operators.performance import (
-    COUNT_COLS, RATE_COLS, WEIGHT_COLS, performance_from_long, perf_view,
+    COUNT_COLS, RATE_COLS, WEIGHT_COLS, performance, perf_view,
 )
 from modeleval.operators.prefix import local_sums_table, merged_partitions, prefix_sums
 from modeleval.operators.purify import purifier, purify_lines
@@ -51,17 +51,9 @@ def li_long(spark: SparkSession, sf: str) -> DataFrame:
     return series_unpivot(li_scored(spark, sf), K.LI)
 
 
-def li_perf(spark: SparkSession, sf: str, method: str | None = None,
-            written: bool = True) -> DataFrame:
-    """Perf rows of eval set LI; written once unless only row-level columns are read."""
-    return performance_from_long(li_long(spark, sf), K.LI,
-                                 series_count=len(series_sources(K.LI)), method=method,
-                                 written=written)
-
-
-def li_perf_rows(spark: SparkSession, sf: str, method: str | None = None) -> DataFrame:
-    """Perf rows for queries that only project columns (no curve filters on top)."""
-    return li_perf(spark, sf, method=method, written=False)
+def li_perf(spark: SparkSession, sf: str, method: str | None = None) -> DataFrame:
+    """Perf rows of eval set LI."""
+    return performance(li_scored(spark, sf), K.LI, method=method)
 
 
 def li_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,9 +61,7 @@ def li_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _perf_of(df: DataFrame, spec) -> DataFrame:
-    long = series_unpivot(score(df, spec), spec)
-    perf = performance_from_long(long, spec, series_count=len(series_sources(spec)), written=False)
-    return perf_view(perf, spec.row_key)
+    return perf_view(performance(score(df, spec), spec), spec.row_key)
 
 
 def _sums_view(sums: DataFrame) -> DataFrame:
@@ -119,13 +109,13 @@ def q_save_scores(spark, sf):
 
 
 def q_save_perf(spark, sf):
-    path = sinks.save_perf(perf_view(li_perf_rows(spark, sf), KEY), scratch_path(spark, "perf"))
+    path = sinks.save_perf(perf_view(li_perf(spark, sf), KEY), scratch_path(spark, "perf"))
     return spark.read.parquet(path)
 
 
 def q_save_sorted(spark, sf):
     """The sorted dump as it lies in the files: each row's rank, and the rank its place has."""
-    ranked = li_perf_rows(spark, sf).select("series", "score", *KEY, "current_record")
+    ranked = li_perf(spark, sf).select("series", "score", *KEY, "current_record")
     path = sinks.save_sorted(ranked, scratch_path(spark, "sorted"))
     rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     first = rows.groupBy("series", "_file").agg(F.count(F.lit(1)).alias("_n"))
@@ -300,31 +290,31 @@ def q_prefix_sums_distributed(spark, sf):
 
 
 def q_record_rank(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, "current_record")
+    return li_perf(spark, sf).select("series", *KEY, "current_record")
 
 
 def q_confusion_counts(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, *COUNT_COLS)
+    return li_perf(spark, sf).select("series", *KEY, *COUNT_COLS)
 
 
 def q_weighted_confusion(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, *WEIGHT_COLS)
+    return li_perf(spark, sf).select("series", *KEY, *WEIGHT_COLS)
 
 
 def q_action_rate(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, "action_rate", "weight_action_rate")
+    return li_perf(spark, sf).select("series", *KEY, "action_rate", "weight_action_rate")
 
 
 def q_recall(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, "recall", "weight_recall")
+    return li_perf(spark, sf).select("series", *KEY, "recall", "weight_recall")
 
 
 def q_precision(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, "precision", "weight_precision")
+    return li_perf(spark, sf).select("series", *KEY, "precision", "weight_precision")
 
 
 def q_fpr(spark, sf):
-    return li_perf_rows(spark, sf).select("series", *KEY, "fpr", "weight_fpr")
+    return li_perf(spark, sf).select("series", *KEY, "fpr", "weight_fpr")
 
 
 def q_perf_single(spark, sf):
@@ -333,11 +323,11 @@ def q_perf_single(spark, sf):
 
 
 def q_perf_all(spark, sf):
-    return perf_view(li_perf_rows(spark, sf), KEY)
+    return perf_view(li_perf(spark, sf), KEY)
 
 
 def q_perf_window(spark, sf):
-    return perf_view(li_perf_rows(spark, sf, method="window"), KEY)
+    return perf_view(li_perf(spark, sf, method="window"), KEY)
 
 
 def q_thin_any_metric(spark, sf):
@@ -425,8 +415,7 @@ def q_perf_embeddings(spark, sf):
 
 
 def q_curves_events(spark, sf):
-    long = series_unpivot(score(K.table(spark, sf, "events"), K.EV), K.EV)
-    perf = performance_from_long(long, K.EV, series_count=1)
+    perf = performance(score(K.table(spark, sf, "events"), K.EV), K.EV)
     return C.all_points(perf, K.EV.buckets, list(K.EV.row_key))
 
 

@@ -70,12 +70,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(root, "modeleval", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df, label: str):
+def materialize(df, label: str, options: dict[str, str] | None = None):
     """Write ``df`` once under the shared checkpoint root and read it back.
 
     Cuts the lineage: later readers share the written rows instead of
     recomputing them, and a lost executor costs a re-read, not a recompute.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**(options or {})).parquet(path)
     return df.sparkSession.read.parquet(path)
