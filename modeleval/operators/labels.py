@@ -62,9 +62,11 @@ def run_counters(labelled: DataFrame) -> DataFrame:
     )
 
 
-def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
+def score_rows(df: DataFrame, spec: EvalSpec, unlabelled: bool = True) -> DataFrame:
     """Scored and labelled rows, before the label filter.
 
+    ``unlabelled=False`` leaves the scores of rows without a known label NULL.
+
     Columns: row key, ``tag``, ``weight``, ``weight_tag``, ``is_pos``, ``is_neg``,
     ``model0..``, ``score_max/min/avg/median`` and ``meta_<c>`` (DOUBLE) for each
     meta and score-meta column. Everything is computed from input columns, whatever
@@ -81,8 +83,8 @@ def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     clash = set(spec.row_key) & (outputs | RESERVED)
     if clash:
         raise ValueError(f"row key columns have names of output columns: {sorted(clash)}")
-    scored, hidden = apply_scorers(df, spec.scorers)
     labels = label_columns(spec)
+    scored, hidden = apply_scorers(df, spec.scorers, None if unlabelled else labels["is_pos"] | labels["is_neg"])
     return scored.select(
         *[F.col(k) for k in spec.row_key],
         *[labels[c].alias(c) for c in LABELS],
@@ -92,6 +94,26 @@ def score_rows(df: DataFrame, spec: EvalSpec) -> DataFrame:
     )
 
 
+LABELLED = "labelled"
+
+
+def score_table(scored: DataFrame) -> DataFrame:
+    """Every scored row under a flag ``labelled`` (1 or 0); unlabelled rows are counted but hold nothing else.
+
+    Written by that flag, the reports read its labelled part only and the counters need
+    no second pass over the input.
+    """
+    known = F.col("is_pos") | F.col("is_neg")
+    return scored.select(*[F.when(known, F.col(c)).alias(c) for c in scored.columns if c not in ("is_pos", "is_neg")],
+                         known.cast("int").alias(LABELLED))
+
+
+def table_counters(saved: DataFrame, spec: EvalSpec) -> DataFrame:
+    """``run_counters`` of a written ``score_table``."""
+    tag = F.col("tag")
+    return run_counters(saved.select("weight", is_tag(tag, spec.pos_tags).alias("is_pos"), is_tag(tag, spec.neg_tags).alias("is_neg")))
+
+
 def scored_output(scored: DataFrame) -> DataFrame:
     """The saved score table: labelled rows only, without the helper flags."""
     return labelled_only(scored).drop("is_pos", "is_neg")

@@ -8,8 +8,9 @@ the row fail the test (dropped) instead of failing the job. Rules:
 * a condition that does not parse: every row passes (``on_invalid='keep'``,
   the original behaviour) or an error (``'error'``, our default);
 * a row where the condition is false or NULL is dropped;
-* a row on which it cannot be evaluated (text where a number is needed, say) fails the
-  job (``on_row_error='error'``, our default) or is dropped (``'drop'``, the original);
+* a row on which it cannot be evaluated (text where a number is needed, an overflow, a
+  division by zero) fails the job (``on_row_error='error'``, our default) or is dropped
+  (``'drop'``, the original). ANSI rules hold in both, and no session setting changes;
 * a column ``space::name`` can also be called ``name``, if nothing else has that name;
 * an unknown column or a non-boolean condition is always an error.
 """
@@ -17,8 +18,7 @@ the row fail the test (dropped) instead of failing the job. Rules:
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
@@ -56,18 +56,18 @@ def simple_names(columns: Sequence[str]) -> dict[str, str]:
     return {s: c for c, s in short.items() if s and taken[s] == 1}
 
 
-@contextmanager
-def _errors_as_null(df: DataFrame, on: bool) -> Iterator[None]:
-    """Expressions analysed inside give NULL where they would otherwise end the job."""
-    conf = df.sparkSession.conf
-    before = conf.get("spark.sql.ansi.enabled")
-    if on:
-        conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        if on:
-            conf.set("spark.sql.ansi.enabled", before)
+def _true_without_error(df: DataFrame, cond: Column, condition: str) -> Column:
+    """True where ``cond`` is; not where it is false, NULL or cannot be evaluated.
+
+    ``try_to_binary`` gives NULL for whatever its input raises. The branch keeps parts of the
+    condition from being computed ahead of it. The columns that the condition names are read
+    first, outside of it, so that errors from before the filter still end the job.
+    """
+    tried = F.try_to_binary(F.when(F.spark_partition_id() >= 0, cond.cast("string")), F.lit("utf-8"))
+    kept = tried == F.encode(F.lit("true"), "utf-8")
+    text = condition.lower()
+    named = [f"`{c}`" for c, t in df.dtypes if c.lower() in text and "map<" not in t and "variant" not in t]
+    return (F.xxhash64(*named) >= F.lit(-(2**63)).cast("bigint")) & kept if named else kept
 
 
 def purify(df: DataFrame, condition: str | None, on_invalid: str = "error",
@@ -77,9 +77,12 @@ def purify(df: DataFrame, condition: str | None, on_invalid: str = "error",
         raise ValueError(f"unknown row-error policy {on_row_error!r}")
     extra = simple_names(df.columns)
     named = df.withColumns({s: F.col(f"`{c}`") for s, c in extra.items()}) if extra else df
-    with _errors_as_null(df, on_row_error == "drop"):
-        cond = parse_condition(named, condition, on_invalid)
-        return df if cond is None else named.filter(cond).drop(*extra)
+    cond = parse_condition(named, condition, on_invalid)
+    if cond is None:
+        return df
+    if on_row_error == "drop":
+        cond = _true_without_error(named, cond, condition)
+    return named.filter(cond).drop(*extra)
 
 
 def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
@@ -88,12 +91,13 @@ def purify_lines(lines: DataFrame, headers: Sequence[str], delimiter: str,
                  on_row_error: str = "error") -> DataFrame:
     """Filter raw text lines by a condition over their named fields; lines come out unchanged.
 
-    As in the original job, a set condition also drops header lines; with no
-    condition the input passes through untouched.
+    As in the original job, a set condition also drops the header, the first line of each
+    file (``lines`` comes from ``scan_text`` then); with no condition the input passes
+    through untouched.
     """
     if condition is None or not condition.strip():
         return lines
-    body = skip_header(lines, headers, delimiter) if has_header else lines
+    body = skip_header(lines) if has_header else lines
     parsed = split_fields(body, headers, delimiter, on_short_row=on_short_row, keep_line=True)
     kept = purify(parsed, condition, on_invalid, on_row_error)
     # Not parsable: all lines pass but headers, and unparsed, so no short row can matter.

@@ -5,8 +5,8 @@ A scorer turns input rows into one DOUBLE score. Three kinds:
 * ``ExprScorer``   a Spark SQL expression or Column (JVM-side, codegen);
 * ``LogitScorer``  a linear model behind a logistic link, scaled
                    (``scale / (1 + exp(-(b + sum w_i x_i)))``), also an expression;
-* ``PandasScorer`` any vectorised Python model: an iterator ``pandas_udf`` that
-                   loads the model once per task and scores Arrow batches;
+* ``PandasScorer`` any vectorised Python model; all of a run share one iterator
+                   ``pandas_udf`` that loads them once per task and scores Arrow batches;
 * ``SparkMLScorer`` a fitted ``pyspark.ml`` model; its probability of class 1, scaled.
 
 ``score_models`` runs them all and adds ``model0 .. model{N-1}`` plus the per-row
@@ -96,17 +96,33 @@ class PandasScorer:
     load: Callable[[], Any] = field(default=lambda: None)
 
     def apply(self, df: DataFrame, out: str) -> DataFrame:
-        names = list(self.inputs)
-        load, predict = self.load, self.predict
+        return score_in_python(df, {out: self})
 
-        @pandas_udf("double")
-        def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            model = load()
-            for frame in batches:
-                frame.columns = names
-                yield pd.Series(predict(model, frame), dtype="float64").reset_index(drop=True)
 
-        return df.withColumn(out, _score(F.struct(*[F.col(c) for c in names])))
+def score_in_python(df: DataFrame, scorers: dict[str, PandasScorer], only: Column | None = None) -> DataFrame:
+    """``df`` with one more column per Python model, all scored in one step.
+
+    A task loads every model once and gets the union of their inputs once; rows where
+    ``only`` is not true are not given to the models and score NULL.
+    """
+    inputs = list(dict.fromkeys(c for s in scorers.values() for c in s.inputs))
+    models = [(name, s.load, s.predict, list(s.inputs)) for name, s in scorers.items()]
+
+    @pandas_udf(", ".join(f"`{name}` double" for name in scorers))
+    def _score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        loaded = [load() for _, load, _, _ in models]
+        for columns in batches:
+            wanted, frame = columns[0], pd.concat(columns[1:], axis=1, keys=inputs)
+            rows = frame if wanted.all() else frame[wanted.to_numpy()]
+            scores = {name: pd.Series(predict(model, rows[names]), dtype="float64").to_numpy()
+                      for model, (name, _, predict, names) in zip(loaded, models)}
+            out = pd.DataFrame(scores, index=rows.index)
+            yield out if rows is frame else out.reindex(frame.index)
+
+    together = free_name(df, "_python")
+    wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    scored = df.withColumn(together, _score(wanted, *[F.col(c) for c in inputs]))
+    return scored.withColumns({name: F.col(together)[name] for name in scorers}).drop(together)
 
 
 @dataclass(frozen=True)
@@ -156,22 +172,37 @@ def score_models(df: DataFrame, scorers: Sequence[Any], with_stats: bool = True)
     return out
 
 
-def apply_scorers(df: DataFrame, scorers: Sequence[Any]) -> tuple[DataFrame, list[str]]:
-    """``df`` with one more column per scorer, under names that no input column has."""
+def apply_scorers(df: DataFrame, scorers: Sequence[Any], only: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with one more column per scorer, under names that no input column has.
+
+    Expressions and Python models are evaluated only on the rows where ``only`` is true
+    (a fitted ``pyspark.ml`` model on all); all Python models share one step.
+    """
     if not scorers:
         raise ValueError("at least one scorer is needed")
-    prefix = "_score"
-    while any(c.lower().startswith(prefix) for c in df.columns):
-        prefix += "_"
+    prefix = free_name(df, "_score")
     hidden = [f"{prefix}{i}" for i in range(len(scorers))]
-    ready = {h: s.column() for h, s in zip(hidden, map(as_scorer, scorers)) if hasattr(s, "column")}
+    named = dict(zip(hidden, map(as_scorer, scorers)))
+    ready = {h: s.column() for h, s in named.items() if hasattr(s, "column")}
+    if only is not None:
+        ready = {h: F.when(only, c) for h, c in ready.items()}
     out = df.withColumns(ready) if ready else df
-    for h, s in zip(hidden, map(as_scorer, scorers)):
-        if h not in ready:
+    in_python = {h: s for h, s in named.items() if isinstance(s, PandasScorer)}
+    if in_python:
+        out = score_in_python(out, in_python, only)
+    for h, s in named.items():
+        if h not in ready and h not in in_python:
             out = s.apply(out, h)
     return out, hidden
 
 
+def free_name(df: DataFrame, prefix: str) -> str:
+    """``prefix``, longer if a column of ``df`` starts with it."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def add_score_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``score_max``, ``score_min``, ``score_avg``, ``score_median`` of the named scores."""
     return df.withColumns(score_stats([F.col(n) for n in names]))

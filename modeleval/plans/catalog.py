@@ -39,6 +39,10 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
+# The same set with row keys that many rows share.
+LI_TIES = LI.with_(row_key=("l_linenumber", "l_suppkey"))
+
+
 # ---------------------------------------------------------------- eval set EV
 EV = EvalSpec(
     target="event_type", pos_tags=("purchase",), neg_tags=("view", "signup", "click", "error"),
@@ -103,8 +107,17 @@ def _linear_predict(model, frame):
 PANDAS_SCORER = PandasScorer(inputs=("l_quantity", "l_discount"), predict=_linear_predict)
 
 
+def _ratio_predict(model, frame):
+    return frame["l_extendedprice"] / model
+
+
+PYTHON_SCORERS = (PANDAS_SCORER, PandasScorer(inputs=("l_extendedprice",), predict=_ratio_predict, load=lambda: 128.0),
+                  PandasScorer(inputs=("l_discount", "l_tax"), predict=lambda model, frame: (frame["l_discount"] + frame["l_tax"]) * 1000))
+
+
 # ---------------------------------------------------------------- text sets
 TEXT_HEADERS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+ODD_HEADERS = ("key", "status", "price", "date", "priority")
 DELIM = "|"
 
 
@@ -141,7 +154,9 @@ def text_set(spark: SparkSession, sf_dir: str, kind: str) -> str:
     ``plain``   one line per order, no header;
     ``header``  the same lines as CSV-style files, each starting with the header line;
     ``short``   like ``plain`` but lines of status 'F' lack the last field;
-    ``bad``     like ``header``, but every seventh order's price is ``n/a``.
+    ``bad``     like ``header``, but every seventh order's price is ``n/a``;
+    ``odd``     files that start with the names ``key|status|price|date|priority``, with a line
+                equal to that and one equal to the joined headers for every 50th order.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     with _text_lock:
@@ -156,6 +171,12 @@ def text_set(spark: SparkSession, sf_dir: str, kind: str) -> str:
             short = F.concat_ws(DELIM, *TEXT_HEADERS[:-1])
             fields.select(F.when(F.col("o_orderstatus") == "F", short).otherwise(full)
                           .alias("value")).write.text(path)
+        elif kind == "odd":
+            names = ODD_HEADERS
+            twice = fields.filter(F.col("o_orderkey").cast("long") % 50 == 0).select(
+                F.explode(F.array(*[F.struct(*[F.lit(n).alias(c) for n, c in zip(line, names)]) for line in (ODD_HEADERS, TEXT_HEADERS)])).alias("l")).select("l.*")
+            (fields.toDF(*names).unionByName(twice).repartition(5).write.option("header", True).option("sep", DELIM)
+             .option("quote", "").option("escapeQuotes", False).option("emptyValue", "").option("nullValue", "").csv(path))
         elif kind in ("header", "bad"):
             if kind == "bad":
                 fields = fields.withColumn("o_totalprice", F.when(F.col("o_orderkey").cast("long") % 7 == 0, F.lit("n/a"))

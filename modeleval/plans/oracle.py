@@ -279,6 +279,8 @@ def oracle() -> dict[str, str]:
         "scan_text": PLAIN_LINES,
         "split_fields": ORDER_FIELDS,
         "skip_header": PLAIN_LINES,
+        "skip_header_by_place": (PLAIN_LINES + " UNION ALL SELECT unnest(['key|status|price|date|priority', "
+                                 "'o_orderkey|o_orderstatus|o_totalprice|o_orderdate|o_orderpriority']) AS value FROM f WHERE o_orderkey::BIGINT % 50 = 0"),
         "check_headers": (f"WITH f AS ({ORDER_FIELDS}) " + " UNION ALL ".join(
             f"SELECT {i} AS position, '{c}' AS name, count(*) FILTER (WHERE {c} <> '') AS filled FROM f"
             for i, c in enumerate(("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")))),
@@ -296,6 +298,9 @@ def oracle() -> dict[str, str]:
         "save_filtered": PURIFIED,
         "points_csv": _csv_sql(),
         "purify": PURIFIED.replace("WHERE", "WHERE o_orderkey::BIGINT % 7 <> 0 AND"),
+        "purify_row_errors": ("WITH v AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 3 THEN '9223372036854775807' WHEN 5 THEN 'n/a' "
+                              "ELSE o_orderkey::VARCHAR END AS value, CASE o_orderkey % 10 WHEN 7 THEN '0' ELSE (o_orderkey % 3 + 1)::VARCHAR END AS divisor FROM orders) "
+                              "SELECT * FROM v WHERE o_orderkey % 10 NOT IN (3, 5, 7) AND o_orderkey + 1 > 100 AND o_orderkey % (o_orderkey % 3 + 1) < 2"),
         "purify_invalid": PLAIN_LINES,
         "purifier_api": f"SELECT {keys} FROM lineitem WHERE l_quantity > 25 AND l_linestatus = 'O'",
         "labelled_only": f"WITH {LI_SCORED} SELECT {keys}, tag FROM li_lab WHERE is_pos OR is_neg",
@@ -310,6 +315,8 @@ def oracle() -> dict[str, str]:
                          "TRY_CAST(l_linestatus AS DOUBLE) AS meta_l_linestatus FROM lineitem"),
         "meta_string": "SELECT o_orderkey, CAST(o_orderpriority AS VARCHAR) AS meta_o_orderpriority FROM orders",
         "score_models": f"WITH {LI_SCORED} SELECT {keys}, model0, model1, model2 FROM li_lab",
+        "score_models_python": (f"SELECT {keys}, CAST(l_quantity * 10 + l_discount * 1000 AS DOUBLE) AS model0, "
+                                "l_extendedprice / 128::DOUBLE AS model1, (l_discount + l_tax) * 1000 AS model2 FROM lineitem"),
         "score_models_clash": (f"SELECT {keys}, l_returnflag AS tag, CAST(trunc(l_quantity * 2 * 1000) AS BIGINT) AS weight, "
                                "CAST(l_linenumber * 10 AS DOUBLE) AS model0, l_quantity + 0.5::DOUBLE AS model1, l_quantity * 2 AS model2, "
                                "greatest(CAST(l_linenumber * 10 AS DOUBLE), l_quantity + 0.5::DOUBLE, l_quantity * 2) AS score_max, "
@@ -340,6 +347,9 @@ def oracle() -> dict[str, str]:
                         "FROM li_long GROUP BY series"),
         "missing_score_check": _missing_sql(),
         "sort_by_score": li_perf_sql(f"SELECT series, score, {keys}, current_record FROM perf"),
+        "sort_by_score_ties": (f"WITH {LI_LONG},\n{perf_ctes('li_long', (*K.LI_TIES.row_key, 'tag', 'weight'))}\n"
+                               f"SELECT series, score, {_k(K.LI_TIES.row_key)}, tag, weight, current_record, CAST(ct AS BIGINT) AS cum_tag, "
+                               "CAST(cw AS DOUBLE) AS cum_weight, CAST(cwt AS DOUBLE) AS cum_weight_tag FROM perf"),
         "prefix_sums": li_perf_sql(f"SELECT {sums_cols} FROM perf"),
         "prefix_sums_distributed": li_perf_sql(f"SELECT {sums_cols} FROM perf"),
         "record_rank": li_perf_sql(f"SELECT series, {keys}, current_record FROM perf"),
@@ -377,6 +387,7 @@ def oracle() -> dict[str, str]:
         "perf_embeddings": _simple_perf_sql(EM_BASE, "vec_id"),
         "curves_events": _curves_events_sql(),
     }
+    q["evaluate_counters"] = q["run_counters"]
     for curve, metric in CURVES:
         q[f"curve_{curve}"] = li_perf_sql(",\n" + curve_cte("cv", curve, metric, 10, LI_KEYS)
                                           + "\nSELECT * FROM cv")

@@ -20,7 +20,7 @@ from modeleval.operators.performance import (
     COUNT_COLS, RATE_COLS, WEIGHT_COLS, performance, perf_view,
 )
 from modeleval.operators.prefix import local_sums_table, merged_partitions, prefix_sums
-from modeleval.operators.purify import purifier, purify_lines
+from modeleval.operators.purify import purifier, purify, purify_lines
 from modeleval.operators.scoring import score_models, score_multiclass
 from modeleval.operators.series import (
     as_doubles, edge_rows, missing_scores, population_totals, prune_for_series, score_range,
@@ -38,6 +38,10 @@ KEY = list(K.LI_KEY)
 # The conditions used by the filter queries.
 PURIFY_CONDITION = "try_cast(o_totalprice AS DOUBLE) > 250000 AND o_orderstatus <> 'F'"
 ROW_ERROR_CONDITION = "double(o_totalprice) > 250000 AND o_orderstatus <> 'F'"
+# Of every 10 orders one value is the largest BIGINT, one is text, and one divisor is zero.
+ERROR_VALUE = "CASE o_orderkey % 10 WHEN 3 THEN '9223372036854775807' WHEN 5 THEN 'n/a' ELSE string(o_orderkey) END"
+ERROR_DIVISOR = "CASE o_orderkey % 10 WHEN 7 THEN '0' ELSE string(o_orderkey % 3 + 1) END"
+ROW_ERRORS_CONDITION = "bigint(value) + 1 > 100 AND bigint(value) % bigint(divisor) < 2"
 INVALID_CONDITION = "o_totalprice >>> ("
 API_CONDITION = "l_quantity > 25 AND l_linestatus = 'O'"
 
@@ -80,7 +84,12 @@ def q_split_fields(spark, sf):
 
 
 def q_skip_header(spark, sf):
-    return skip_header(scan_text(spark, K.text_set(spark, sf, "header")), K.TEXT_HEADERS, K.DELIM)
+    return skip_header(scan_text(spark, K.text_set(spark, sf, "header")))
+
+
+def q_skip_header_by_place(spark, sf):
+    """Files whose first line is not the given names, and data lines equal to both: these stay."""
+    return skip_header(scan_text(spark, K.text_set(spark, sf, "odd")))
 
 
 def q_check_headers(spark, sf):
@@ -148,6 +157,12 @@ def q_purify(spark, sf):
     return purify_lines(lines, K.TEXT_HEADERS, K.DELIM, ROW_ERROR_CONDITION, on_row_error="drop")
 
 
+def q_purify_row_errors(spark, sf):
+    """A condition that overflows, divides by zero or meets text on some rows: these are dropped."""
+    orders = K.table(spark, sf, "orders").select("o_orderkey", F.expr(ERROR_VALUE).alias("value"), F.expr(ERROR_DIVISOR).alias("divisor"))
+    return purify(orders, ROW_ERRORS_CONDITION, on_row_error="drop")
+
+
 def q_purify_invalid(spark, sf):
     """A condition that does not parse: every line passes, but header lines do not."""
     lines = scan_text(spark, K.text_set(spark, sf, "header"))
@@ -212,6 +227,11 @@ def q_score_models(spark, sf):
         .select(*KEY, "model0", "model1", "model2")
 
 
+def q_score_models_python(spark, sf):
+    """Three Python models, loaded and run in one step."""
+    return score_models(K.lineitem(spark, sf), K.PYTHON_SCORERS, with_stats=False).select(*KEY, "model0", "model1", "model2")
+
+
 def q_score_models_clash(spark, sf):
     """Input columns named like outputs: scorers, label and weight read the input's."""
     li = K.lineitem(spark, sf).select(
@@ -253,6 +273,11 @@ def q_run_counters(spark, sf):
     return run_counters(li_scored(spark, sf))
 
 
+def q_evaluate_counters(spark, sf):
+    """The counters of a whole evaluation, from the one pass that writes the score table."""
+    return evaluate(K.lineitem(spark, sf), K.LI, reports=False)["counters"]
+
+
 def q_partition_totals(spark, sf):
     names = [n for n, _ in series_sources(K.LI)]
     return merged_partitions(local_sums_table(li_long(spark, sf), KEY, series_names=names), KEY, names)
@@ -280,6 +305,15 @@ def q_sort_by_score(spark, sf):
     return sums.select("series", "score", *KEY, (F.col("cum_records") + 1).alias("current_record"))
 
 
+def q_sort_by_score_ties(spark, sf):
+    """Running sums where many rows share score and row key: tag and weight decide their order."""
+    keys = list(K.LI_TIES.row_key)
+    long = series_unpivot(score(K.lineitem(spark, sf), K.LI_TIES), K.LI_TIES, numbered=True)
+    sums = prefix_sums(long, keys, series_names=[n for n, _ in series_sources(K.LI_TIES)])
+    return sums.select("series", "score", *keys, "tag", "weight", (F.col("cum_records") + 1).alias("current_record"), "cum_tag",
+                       F.col("cum_weight").cast("double").alias("cum_weight"), F.col("cum_weight_tag").cast("double").alias("cum_weight_tag"))
+
+
 def q_prefix_sums(spark, sf):
     return _sums_view(prefix_sums(li_long(spark, sf), KEY, method="window"))
 
@@ -424,6 +458,7 @@ def registry() -> dict[str, Query]:
         "scan_text": q_scan_text,
         "split_fields": q_split_fields,
         "skip_header": q_skip_header,
+        "skip_header_by_place": q_skip_header_by_place,
         "check_headers": q_check_headers,
         "short_row_policy": q_short_row_policy,
         "null_to_empty": q_null_to_empty,
@@ -433,6 +468,7 @@ def registry() -> dict[str, Query]:
         "save_filtered": q_save_filtered,
         "points_csv": q_points_csv,
         "purify": q_purify,
+        "purify_row_errors": q_purify_row_errors,
         "purify_invalid": q_purify_invalid,
         "purifier_api": q_purifier_api,
         "labelled_only": q_labelled_only,
@@ -444,6 +480,7 @@ def registry() -> dict[str, Query]:
         "meta_numeric": q_meta_numeric,
         "meta_string": q_meta_string,
         "score_models": q_score_models,
+        "score_models_python": q_score_models_python,
         "score_models_clash": q_score_models_clash,
         "score_stats": q_score_stats,
         "score_lr": q_score_lr,
@@ -451,11 +488,13 @@ def registry() -> dict[str, Query]:
         "score_multiclass": q_score_multiclass,
         "mode_dispatch": q_mode_dispatch,
         "run_counters": q_run_counters,
+        "evaluate_counters": q_evaluate_counters,
         "partition_totals": q_partition_totals,
         "population_totals": q_population_totals,
         "score_range": q_score_range,
         "missing_score_check": q_missing_score_check,
         "sort_by_score": q_sort_by_score,
+        "sort_by_score_ties": q_sort_by_score_ties,
         "prefix_sums": q_prefix_sums,
         "prefix_sums_distributed": q_prefix_sums_distributed,
         "record_rank": q_record_rank,

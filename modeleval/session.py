@@ -11,6 +11,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,10 +67,63 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+_owner: ContextVar[list[str] | None] = ContextVar("modeleval_scratch_owner", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "modeleval", f"{label}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "modeleval", f"{label}-{uuid.uuid4().hex[:12]}")
+    owned = _owner.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch_owner() -> Iterator[list[str]]:
+    """Collects the scratch paths handed out inside, also those of an owner further in."""
+    outer, paths = _owner.get(), []
+    token = _owner.set(paths)
+    try:
+        yield paths
+    finally:
+        _owner.reset(token)
+        if outer is not None:
+            outer.extend(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables, wherever the shared folder is. Only paths of ``scratch_path``."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "modeleval") + os.sep
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"not a scratch path: {path}")
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+class Run(dict):
+    """The outputs of an evaluation by name, and the scratch tables that back them.
+
+    ``close`` (or leaving a ``with`` block) deletes those tables; outputs that were written
+    elsewhere stay, and the DataFrames of this run can no longer be read.
+    """
+
+    def __init__(self, spark: SparkSession, outputs: dict, paths: list[str]):
+        super().__init__(outputs)
+        self.spark, self.paths = spark, list(paths)
+
+    def close(self) -> None:
+        paths, self.paths = self.paths, []
+        release(self.spark, paths)
+
+    def __enter__(self) -> "Run":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def materialize(df, label: str, options: dict[str, str] | None = None):

@@ -6,6 +6,8 @@ the driver. Paths should sit on shared storage (see ``session.scratch_path``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,10 @@ CSV_SOURCES = ("action_rate", "weight_action_rate", "recall", "weight_recall", "
                "weight_precision", "fpr", "weight_fpr")
 
 
-def save_scores(scored: DataFrame, path: str, fmt: str = "parquet", mode: str = "error") -> str:
-    """Score rows, one file set per task."""
-    scored.write.mode(mode).format(fmt).save(path)
+def save_scores(scored: DataFrame, path: str, fmt: str = "parquet", mode: str = "error",
+                by: Sequence[str] = ()) -> str:
+    """Score rows, one file set per task (and per value of the ``by`` columns)."""
+    scored.write.mode(mode).format(fmt).partitionBy(*by).save(path)
     return path
 
 

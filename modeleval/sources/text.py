@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +44,38 @@ def split_line(value: Column, delimiter: str) -> Column:
     return F.split(value, _literal_regex(delimiter), -1)
 
 
-def skip_header(lines: DataFrame, headers: Sequence[str], delimiter: str,
-                value_col: str = "value") -> DataFrame:
-    """Drop header lines: every line equal to the joined header, so one per file."""
-    header_line = delimiter.join(headers)
-    return lines.filter(F.col(value_col) != F.lit(header_line))
+def skip_header(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Drop the first line of every file, whatever it says; an equal line further down stays.
+
+    ``lines`` is a scan of text files (``scan_text``), possibly filtered by file. The place
+    of a line comes from the scan: rows of a file block follow each other in a task, and
+    the block at offset 0 starts with the header. One pass without a shuffle; batches
+    without a first block pass through uncopied.
+    """
+    try:
+        placed = lines.select(value_col, "_metadata.file_path", "_metadata.file_block_start")
+    except AnalysisException as e:
+        raise ValueError("the place of a line is only known in a scan of text files") from e
+    return placed.mapInArrow(_without_first_lines, lines.select(value_col).schema)
+
+
+def _without_first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of (line, file, block start) rows, without the first of each block at offset 0."""
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        line, path, start = batch.columns
+        # Runs of equal (file, block start): few in a batch, so only their bounds are looked at.
+        runs = [pc.run_end_encode(c) for c in (path, start)]
+        ends = sorted({e for r in runs for e in r.run_ends.to_pylist()})
+        first, keep = 0, []
+        for end in ends:
+            here = (path[first].as_py(), start[first].as_py())
+            skip = here != before and here[1] == 0
+            keep.append(line.slice(first + skip, end - first - skip))
+            before, first = here, end
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays(keep)], [batch.schema.names[0]])
 
 
 def split_fields(lines: DataFrame, headers: Sequence[str], delimiter: str,
@@ -83,7 +113,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], headers: Sequ
     """Text file(s) -> typed-as-text columns named after ``headers``."""
     lines = scan_text(spark, path)
     if has_header:
-        lines = skip_header(lines, headers, delimiter)
+        lines = skip_header(lines)
     return split_fields(lines, headers, delimiter, on_short_row=on_short_row, keep_line=keep_line)
 
 
