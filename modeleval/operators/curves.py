@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from modeleval.functions.safe import bucket_of
 from modeleval.operators.performance import COUNT_COLS, RATE_COLS, SCORE_ABOVE, SCORE_BELOW, TOP, WEIGHT_COLS, kept_name
+from modeleval.session import materialize
 
 # Curve names and the perf metric each one is thinned on.
 CURVE_METRICS = {
@@ -78,7 +79,10 @@ def _numbered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _points(perf: DataFrame, buckets: int, keys: Sequence[str], metrics: dict[str, str], with_score: bool) -> DataFrame:
-    """Points of the curves in ``metrics`` (name -> rate), and of the score curve, in one scan."""
+    """Points of the curves in ``metrics`` (name -> rate), and of the score curve, in one scan.
+
+    The kept rows are written in this call.
+    """
     rows = _with_kept(perf, buckets, list(metrics.values()))
     bits = {c: RATE_COLS.index(m) for c, m in metrics.items()}
     names = [F.when(_has(buckets, b, TOP), F.struct(F.lit(c).alias("curve"), F.lit(0).alias("_tail"))) for c, b in bits.items()]
@@ -87,7 +91,8 @@ def _points(perf: DataFrame, buckets: int, keys: Sequence[str], metrics: dict[st
                   F.when(_has(buckets, TOP), F.struct(F.lit(SCORE_CURVE).alias("curve"), F.lit(1).alias("_tail")))]
     any_bit = [*bits.values(), TOP, *([SCORE_BELOW] if with_score else [])]
     kept = rows.filter(_has(buckets, *any_bit)).select(F.explode(F.array_compact(F.array(*names))).alias("_c"), *_point_cols(keys), "_pid")
-    return _numbered(kept.select("_c.*", *_point_cols(keys), "_pid"), keys)
+    # Few rows, read twice by the numbering.
+    return _numbered(materialize(kept.select("_c.*", *_point_cols(keys), "_pid"), "kept"), keys)
 
 
 def curves(perf: DataFrame, buckets: int, keys: Sequence[str],
