@@ -139,3 +139,17 @@ def test_base_spans_of_any_text(spark, texts):
     out = pii.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), pii.Judge([], {})).collect()
     for r in out:
         assert r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in base_pii(texts[r.doc_id]))
+
+
+def test_very_long_matches_of_every_generator(spark):
+    """Each kind is given a threshold that all proposals pass, so that every pattern runs."""
+    long = ["x@a" + ".b" * 200_000, "y [at] b" + " [dot] c" * 20_000, "1" + ".1" * 200_003, "1[.]2" + "[.]3" * 50_000,
+            "4 " * 200_000, "9" * 400_000, "+1" + "(0) " * 100_000 + "1", "555-123-" * 50_000, "a" * 500_000 + "@", "@" * 300_000]
+    judge = pii.Judge([], dict.fromkeys(pii.KINDS, 0.5))
+    frame = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string").repartition(4)
+    out = {r.doc_id: r for r in pii.report(frame, judge).collect()}
+    assert len(out) == len(long)
+    assert [(r.n_email, r.n_ip, r.n_card, r.n_phone) for _, r in sorted(out.items())] == [
+        (1, 0, 0, 0), (0, 0, 0, 0), (0, 50_001, 0, 0), *[(0, 0, 0, 0)] * 7]
+    assert out[0].spans == f"email:0:{len(long[0])}"
+    assert out[1].spans.startswith("email:0:") and out[1].n_email == 0 and out[1].n_added == 1
