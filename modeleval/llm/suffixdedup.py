@@ -184,9 +184,9 @@ class Spans:
     def anchors(self) -> DataFrame:
         """Per anchor seen more than once: whether its runs differ."""
         def emit(batch, data, offsets, found, seen):
-            return pa.RecordBatch.from_arrays([_signed(found[3]), pa.array((found[4] >> np.uint64(33)).astype(np.int32))], ["anchor", "run"])
+            return pa.RecordBatch.from_arrays([_signed(found[3]), _signed(found[4])], ["anchor", "run"])
 
-        return self._runs(emit, "anchor long, run int").groupBy("anchor").agg(
+        return self._runs(emit, "anchor long, run long").groupBy("anchor").agg(
             F.count(F.lit(1)).alias("n"), (F.min("run") != F.max("run")).alias("differ")).filter("n > 1").select("anchor", "differ")
 
     def runs(self, repeated: np.ndarray) -> DataFrame:
