@@ -15,7 +15,7 @@ a rare shingle down to 1 for one that every document has; hash collisions are fa
 A bucket of a band is never expanded into all its pairs. Its members are compared with
 one hub (the member that shares most bands), then only members in other components than
 the hub's go on, with more hubs, ``HUB_GROWTH`` times as many each round, until the bucket
-is known to be one component or every member has been a hub: no pair that could matter is
+is known to be one component of all links so far or every member has been a hub: no pair that could matter is
 left out. Pairs whose total weights differ by more than the threshold allows are not
 compared, since their similarity is at most the ratio of the totals. After the first
 round blocks of a bucket's hubs meet parts of its members as sets, about ``PART`` texts of
@@ -228,11 +228,9 @@ def dealt(open_members: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
-    """Links ``hub, member, hub_comp, comp`` between the ``chosen`` hubs of each bucket and its
-    members in other components."""
-    comp = "struct<degree:bigint,key:binary>"
+    """Links ``a, b`` between the ``chosen`` hubs of each bucket and its members in other components."""
     rows = dealt(open_members, chosen).join(texts.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).select(
-        "band", "part", "block", "is_hub", "key", F.col("comp.degree").alias("degree"), F.col("comp.key").alias("comp"), "text")
+        "band", "part", "block", "is_hub", "key", F.col("comp.key").alias("comp"), "text")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         hasher, hubs, out = WordHasher(), frame[frame.is_hub].reset_index(drop=True), []
@@ -254,12 +252,10 @@ def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame,
                     both = np.bincount(row[pick], np.minimum(weight[pick], np.repeat(own, many)), len(hubs))
                     linked = both >= threshold * (total + own.sum() - both)
                     m = members.iloc[lo + i]
-                    out += [(hubs.key[j], m.key, hubs.degree[j], hub_comp[j], m.degree, m.comp) for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist()]
-        return pd.DataFrame(out, columns=["hub", "member", "hub_degree", "hub_key", "degree", "comp_key"])
+                    out += [(hubs.key[j], m.key) for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist()]
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    found = rows.groupBy("band", "part", "block").applyInPandas(compare, "hub binary, member binary, hub_degree long, hub_key binary, degree long, comp_key binary")
-    return found.select("hub", "member", F.struct(F.col("hub_degree").alias("degree"), F.col("hub_key").alias("key")).cast(comp).alias("hub_comp"),
-                        F.struct("degree", F.col("comp_key").alias("key")).cast(comp).alias("comp"))
+    return rows.groupBy("band", "part", "block").applyInPandas(compare, "a binary, b binary")
 
 
 def _sets(hasher: WordHasher, levels: np.ndarray, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,7 +295,7 @@ def shingle_buckets(members: DataFrame, texts: DataFrame, levels: np.ndarray, th
 # ----------------------------------------------------------------------- classes
 def _round(open_members: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float, tried: int) -> tuple[DataFrame, DataFrame]:
     """One round over buckets whose first ``tried`` members have been hubs: the links ``a, b`` found,
-    and the buckets that are still open."""
+    and the rows of buckets with members that have not been hubs."""
     hubs = tried * HUB_GROWTH + 1  # how many of each bucket have been hubs after this round
     place = F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
     chosen = open_members.withColumn("place", place).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
@@ -307,23 +303,28 @@ def _round(open_members: DataFrame, texts: DataFrame, levels: np.ndarray, thresh
     if tried == 0:
         pairs = open_members.join(chosen.drop("n", "place"), "band").filter(F.col("comp") != F.col("hub_comp")).filter(
             F.least("total", "hub_total") >= (threshold - 1e-6) * F.greatest("total", "hub_total")).select(
-            "hub", F.col("key").alias("member"), "hub_comp", "comp").distinct()
-        pairs = materialize(pairs, "near-pairs")
-        links = verify(pairs.select("hub", "member"), texts, levels, threshold).join(
-            pairs, (F.col("a") == F.col("hub")) & (F.col("b") == F.col("member"))).select("hub", "member", "hub_comp", "comp")
+            "hub", F.col("key").alias("member")).distinct()
+        links = verify(materialize(pairs, "near-pairs"), texts, levels, threshold)
     else:
         links = compare_parts(open_members, chosen, texts, levels, threshold)
-    links = materialize(links, "near-links")
-    # Each component joins the one of highest rank that it is linked to, and that one's in turn.
-    joined = links.select("hub_comp", "comp")
-    up = joined.unionAll(joined.select(F.col("comp").alias("x"), F.col("hub_comp").alias("y"))).groupBy(F.col("hub_comp").alias("low")).agg(
-        F.max("comp").alias("high")).filter(F.col("high") > F.col("low"))
-    up = materialize(up, "near-up")
-    up = up.join(up.select(F.col("low").alias("high"), F.col("high").alias("top")), "high", "left").select("low", F.coalesce("top", "high").alias("top"))
-    left = open_members.filter(F.col("n") > hubs)
-    left = left.join(up, F.col("comp") == F.col("low"), "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
+    return materialize(links, "near-links"), open_members.filter(F.col("n") > hubs)
+
+
+def still_open(left: DataFrame, found: list[DataFrame], degree: DataFrame) -> DataFrame:
+    """The rows of ``left`` in buckets that are more than one component of all links ``found`` so far.
+
+    Components are whole: a bucket whose members hang together through other buckets is done,
+    and none of its texts is sent again. A component is named by its member of highest rank.
+    """
+    linked = reduce(DataFrame.unionAll, found)
+    if not linked.isEmpty():
+        labels = connected_components(linked).join(degree, "key").select("key", F.col("comp").alias("label"), F.struct("degree", "key").alias("rank"))
+        top = labels.groupBy("label").agg(F.max("rank").alias("top"))
+        named = labels.join(top, "label").select("key", "top")
+        left = left.join(named, "key", "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
+    left = materialize(left, "near-left")
     split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
-    return links.select(F.col("hub").alias("a"), F.col("member").alias("b")), materialize(left.join(split, "band", "left_semi"), "near-open")
+    return materialize(left.join(split, "band", "left_semi"), "near-open")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -341,14 +342,20 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(degree.select("key"), "key", "left_semi").dropDuplicates(["key"])
     open_members, texts = materialize(open_members, "near-open"), materialize(texts, "near-candidates")
 
-    found, open_members = _round(open_members, texts, levels, threshold, 0)
-    found = [found]
-    small, large = open_members.filter(F.col("n") <= PART), open_members.filter(F.col("n") > PART)
-    for some, tried in ((small, 1), (None, 0)):
-        some = some if some is not None else large if large.isEmpty() else shingle_buckets(large, texts, levels, threshold)
+    degree = materialize(degree, "near-degree")
+    links, left = _round(open_members, texts, levels, threshold, 0)
+    found = [links]
+    open_members = still_open(left, found, degree)
+    for large, tried in ((False, 1), (True, 0)):
+        if large:
+            some = open_members.filter(F.col("n") > PART)
+            some = some if some.isEmpty() else shingle_buckets(still_open(some, found, degree), texts, levels, threshold)
+        else:
+            some = open_members.filter(F.col("n") <= PART)
         while not some.isEmpty():
-            links, some = _round(some, texts, levels, threshold, tried)
+            links, left = _round(some, texts, levels, threshold, tried)
             found.append(links)
+            some = left if left.isEmpty() else still_open(left, found, degree)
             tried = tried * HUB_GROWTH + 1
 
     linked = reduce(DataFrame.unionAll, found)
