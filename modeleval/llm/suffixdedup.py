@@ -7,8 +7,9 @@ consecutive windows with one anchor (a run) only need comparing with runs of the
 anchor. Runs are grouped by anchor:
 
 1. Anchors are counted over all documents. Those seen once are done: nothing repeats there.
-2. Runs that are equal byte for byte are counted: they repeat as a whole, and the group
-   keeps one of them. So thousands of copies of a text weigh as much as one.
+2. Runs with equal anchor and run hashes (two sums of 64 bits over their bytes, not a
+   cryptographic digest) count as equal: they repeat as a whole, and the group keeps one
+   of them. So thousands of copies of a text weigh as much as one.
 3. Runs that share an anchor but differ are suffix-sorted together (``suffixes.py``);
    windows that repeat are neighbours in that order, and are compared symbol by symbol.
    Every window of a run has the whole anchor inside, so the anchor is one symbol there.
