@@ -1,6 +1,6 @@
 """Column-expression helpers (all JVM-side, codegen friendly)."""
 
-from modeleval.functions.safe import bucket_of, ratio, ratio_or_one, to_int, weight_sum
+from modeleval.functions.safe import bucket_of, to_int, weight_sum
 from modeleval.functions.stats import (
     format_rate,
     score_avg,
@@ -20,6 +20,6 @@ from modeleval.functions.tags import (
 
 __all__ = [
     "binary_tag", "bucket_of", "format_rate", "is_tag", "meta_numeric", "null_to_empty",
-    "ratio", "ratio_or_one", "row_weight", "score_avg", "score_max", "score_median",
+    "row_weight", "score_avg", "score_max", "score_median",
     "score_min", "to_int", "trim_tag", "weight_sum", "weight_tag",
 ]

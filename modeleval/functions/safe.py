@@ -1,10 +1,9 @@
 """Guarded arithmetic that keeps ANSI mode on.
 
 Spark 4 runs with ANSI semantics: a division by zero or a cast of NaN to an
-integer raises. The evaluation rules want NaN for an empty denominator, 1.0 for
-an empty precision denominator, and Scala ``Double.toInt`` truncation (toward
-zero, NaN -> 0, saturating), so these helpers say so explicitly. They are plain
-column expressions and stay inside whole-stage codegen.
+integer raises. The evaluation rules want Scala ``Double.toInt`` truncation (toward
+zero, NaN -> 0, saturating) and exact sums, so these helpers say so explicitly. They are
+plain column expressions and stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -20,20 +19,6 @@ INT_MIN = -2147483648
 WEIGHT_SUM_TYPE = "decimal(38,0)"
 
 
-def _double(c: Column) -> Column:
-    return c.cast("double")
-
-
-def ratio(num: Column, den: Column) -> Column:
-    """num / den as double; NaN when den is zero."""
-    return F.when(den == 0, F.lit(float("nan"))).otherwise(_double(num) / _double(den))
-
-
-def ratio_or_one(num: Column, den: Column) -> Column:
-    """num / den as double; 1.0 when den is zero (the precision rule)."""
-    return F.when(den == 0, F.lit(1.0)).otherwise(_double(num) / _double(den))
-
-
 def to_int(x: Column) -> Column:
     """Scala ``Double.toInt``: truncate toward zero, NaN -> 0, clamp to int range.
 
