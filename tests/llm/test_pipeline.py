@@ -57,8 +57,8 @@ def test_stages():
 
 def test_every_query_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
-    assert set(oracle()) == {"op4_shard", "op5_mix", "op7_urls"} <= set(entry.oracle_sql())
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
+    assert set(oracle()) == {"op4_shard", "op5_mix", "op7_urls", "op11_centroids", "op12_exact"} <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(registry()))
