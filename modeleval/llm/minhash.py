@@ -228,12 +228,23 @@ def dealt(open_members: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
-    """Links ``a, b`` between the ``chosen`` hubs of each bucket and its members in other components."""
+    """Links ``a, b`` between the ``chosen`` hubs of each bucket and its members in other components.
+
+    All are compared; of those within one call only links that join two components are
+    returned, so there are fewer of them than members and hubs.
+    """
     rows = dealt(open_members, chosen).join(texts.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).select(
         "band", "part", "block", "is_hub", "key", F.col("comp.key").alias("comp"), "text")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         hasher, hubs, out = WordHasher(), frame[frame.is_hub].reset_index(drop=True), []
+        joined: dict[bytes, bytes] = {}
+
+        def root(comp: bytes) -> bytes:
+            while comp in joined:
+                comp = joined[comp]
+            return comp
+
         members = frame[~frame.is_hub].reset_index(drop=True)
         if len(hubs) and len(members):
             row, hashes, weight = _sets(hasher, levels, hubs.text)
@@ -252,7 +263,11 @@ def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame,
                     both = np.bincount(row[pick], np.minimum(weight[pick], np.repeat(own, many)), len(hubs))
                     linked = both >= threshold * (total + own.sum() - both)
                     m = members.iloc[lo + i]
-                    out += [(hubs.key[j], m.key) for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist()]
+                    for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist():
+                        one, other = root(hub_comp[j]), root(m.comp)
+                        if one != other:
+                            joined[other] = one
+                            out.append((hubs.key[j], m.key))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return rows.groupBy("band", "part", "block").applyInPandas(compare, "a binary, b binary")
