@@ -30,10 +30,12 @@ SELECT doc_id, placed.slot AS slot, name AS shard FROM placed JOIN lookup USING
 
 
 MIX_SQL = r"""
-WITH d AS (
+WITH k AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(concat_ws(chr(31), 'mix', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 13))::BIGINT AS bits
+         md5(concat_ws(chr(31), 'mix', coalesce('v' || doc_id::VARCHAR, 'n'), coalesce('v' || source, 'n'), md5(coalesce(text, '')))) AS draw
   FROM documents),
+d AS (SELECT doc_id, source, size, greatest(size - size % (2 ** greatest(length(bin(size)) - 4, 0))::BIGINT, 1)::BIGINT AS cls,
+             ('0x' || substr(md5(draw || ':' || (row_number() OVER (PARTITION BY draw) - 1)::VARCHAR), 1, 13))::BIGINT AS bits FROM k),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1)::INT % 3 + 1]::DOUBLE AS w,
              1.5::DOUBLE * sum(source_size) OVER () AS total FROM s),
@@ -42,14 +44,25 @@ l AS (SELECT a.*, (SELECT a.total - coalesce(sum(2.0::DOUBLE * b.source_size), 0
              / (SELECT sum(b.w) FROM r b WHERE (b.ratio, b.source IS NULL, coalesce(b.source, '')) >= (a.ratio, a.source IS NULL, coalesce(a.source, ''))) AS lvl FROM r a),
 g AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, (SELECT arg_min(lvl, ratio) FROM l WHERE lvl <= ratio) * w) AS target FROM l),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS certain FROM g),
-u AS (SELECT source, bits, sum(size) AS words FROM d GROUP BY ALL),
-c AS (SELECT u.source, bits, sum(words) OVER (PARTITION BY u.source ORDER BY bits) - words / 2.0 AS middle,
-             target - certain * source_size AS quota FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source),
-cut AS (SELECT source, max(bits) AS cut FROM c WHERE quota > 0 AND middle <= quota GROUP BY source)
-SELECT doc_id, size, q.source_size AS source_size, q.target AS target,
-       (size * (certain + CASE WHEN bits <= cut THEN 1 ELSE 0 END))::BIGINT AS taken,
-       (certain + CASE WHEN bits <= cut THEN 1 ELSE 0 END)::BIGINT AS copies
-FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN cut ON d.source IS NOT DISTINCT FROM cut.source"""
+z AS (SELECT *, target - certain * source_size AS quota FROM q),
+-- c: classes above one are certain, the rest are drawn with p = c * class
+v AS (SELECT source, cls, sum(size) AS words FROM d GROUP BY ALL),
+x AS (SELECT v.source, cls, words, quota, (quota - (sum(words) OVER (PARTITION BY v.source ORDER BY cls DESC) - words))
+             / nullif((sum(cls * words) OVER (PARTITION BY v.source ORDER BY cls))::DOUBLE, 0) AS c
+      FROM v JOIN z ON v.source IS NOT DISTINCT FROM z.source WHERE quota > 0),
+lv AS (SELECT source, arg_max(c, cls) FILTER (WHERE c * cls <= 1) AS c FROM x GROUP BY source),
+p AS (SELECT d.*, source_size, target, certain, quota, least(1.0::DOUBLE, coalesce(c, 0) * cls) AS p, (bits + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+      FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source LEFT JOIN lv ON d.source IS NOT DISTINCT FROM lv.source),
+-- Pareto quotient q = u / (1 - u) * (1 - p) / p, ranked as q / (1 + q)
+k2 AS (SELECT *, least(floor(u * (1 - p) / (u * (1 - p) + p * (1 - u)) * 4503599627370496.0::DOUBLE), 4503599627370495)::BIGINT AS rank FROM p),
+sure AS (SELECT source, sum(size) AS sure FROM k2 WHERE p >= 1 GROUP BY source),
+t AS (SELECT k2.source, rank, sum(sum(size)) OVER (PARTITION BY k2.source ORDER BY rank) - sum(size) / 2.0 AS middle,
+             any_value(quota) - coalesce(any_value(sure), 0) AS quota
+      FROM k2 LEFT JOIN sure ON k2.source IS NOT DISTINCT FROM sure.source WHERE p < 1 AND p > 0 GROUP BY k2.source, rank),
+cut AS (SELECT source, max(rank) AS cut FROM t WHERE middle <= quota GROUP BY source)
+SELECT doc_id, size, source_size, target, (size * (certain + (p >= 1 OR coalesce(rank <= cut, false))::INT))::BIGINT AS taken,
+       (certain + (p >= 1 OR coalesce(rank <= cut, false))::INT)::BIGINT AS copies
+FROM k2 LEFT JOIN cut ON k2.source IS NOT DISTINCT FROM cut.source"""
 
 
 def _url_sql(rules: Sequence[tuple[str, str]]) -> str:

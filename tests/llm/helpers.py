@@ -124,16 +124,35 @@ def mix(rows: list[tuple]) -> dict[int, tuple]:
             left -= target[s]
         open_ -= over
 
-    def bits(i, t):
-        return int(hashlib.md5(f"mix\x1f{i}\x1f{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()[:13], 16)
+    def bits(i, t, x):
+        draw = "\x1f".join(["mix", f"v{i}", "n" if x is None else f"v{x}", hashlib.md5((t or "").encode()).hexdigest()])
+        return int(hashlib.md5(f"{hashlib.md5(draw.encode()).hexdigest()}:0".encode()).hexdigest()[:13], 16)
 
     out = {}
     for s in order:
-        own = sorted((bits(i, t), i) for i, t, x in rows if x == s)
+        own = [(i, bits(i, t, x)) for i, t, x in rows if x == s]
         certain = int(target[s] // total[s]) if total[s] else 0
-        quota, seen = target[s] - certain * total[s], 0
-        for _, i in own:
-            more = quota > 0 and seen + size[i] / 2 <= quota
+        quota = target[s] - certain * total[s]
+        chance = mix_chances({i: size[i] for i, _ in own}, quota)
+        sure = {i for i, p in chance.items() if p >= 1}
+        quotient = {i: (u := (b + 0.5) / 2**52) / (1 - u) / (chance[i] / (1 - chance[i])) for i, b in own if 0 < chance[i] < 1}
+        seen = sum(size[i] for i in sure)
+        for i in sorted(quotient, key=quotient.get):
+            if seen + size[i] / 2 <= quota:
+                sure.add(i)
             seen += size[i]
-            out[i] = (size[i], total[s], target[s], size[i] * (certain + more))
+        for i, _ in own:
+            out[i] = (size[i], total[s], target[s], size[i] * (certain + (i in sure)))
     return out
+
+
+def mix_chances(size: dict, quota: float) -> dict:
+    """Inclusion probabilities min(1, c * class) whose expected words are the quota, by bisection."""
+    classes = {i: max(1, n >> max(0, n.bit_length() - 4) << max(0, n.bit_length() - 4)) for i, n in size.items()}
+    if quota <= 0 or not sum(size.values()):
+        return dict.fromkeys(size, 0.0)
+    lo, hi = 0.0, 1.0
+    for _ in range(200):
+        c = (lo + hi) / 2
+        lo, hi = (c, hi) if sum(min(1, c * classes[i]) * n for i, n in size.items()) < quota else (lo, c)
+    return {i: 1.0 if c * k > 1 - 1e-12 else c * k for i, k in classes.items()}

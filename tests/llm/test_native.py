@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from modeleval.llm import mixing, pii, sharding, urlfilter
 from modeleval.llm.queries import SHARDS, SLOTS, URL_RULES
 
-from .helpers import SF, base_pii, edge_docs, judge, mix, no_docs, rows_of
+from .helpers import SF, base_pii, edge_docs, judge, mix, mix_chances, no_docs, rows_of
 
 
 # ------------------------------------------------------------------- sharding
@@ -72,6 +72,37 @@ def test_one_source_with_a_third_of_all_rows(spark):
         assert abs(r["sum(taken)"] - r.target) <= 20
 
 
+def test_a_row_repeated_through_a_source(spark):
+    """600 of a source's 1,000 rows are one row: it is drawn copy by copy, so targets are met within a document."""
+    texts = [(7, "same words here " * 40, "a") if i % 5 < 3 else (100 + i, "w " * (1 + i % 90), "a") for i in range(1000)]
+    texts += [(5000 + i, "x " * (1 + i % 50), "b") for i in range(1000)] + [(9000 + i, "y " * (1 + i % 70), "c") for i in range(500)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    out = mixing.mix_report(docs.repartition(7)).collect()
+    assert len(out) == len(texts) and len({r.copies for r in out if r.doc_id == 7}) == 2
+    taken, target = {}, {}
+    for r in out:
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+        target[r.source_size] = r.target
+    assert all(abs(taken[s] - target[s]) <= 120 for s in target)
+    assert sorted(map(str, out)) == sorted(map(str, mixing.mix_report(docs.repartition(3)).collect()))
+    assert mixing.mix(docs).count() == sum(r.copies for r in out)
+
+
+def test_documents_are_drawn_by_their_own_chances(spark):
+    """Over many seeds a document is in the sample as often as its inclusion probability says."""
+    sizes = {i: (3, 10, 40, 400)[i % 4] for i in range(160)}
+    docs = spark.createDataFrame([(i, "w " * n, "a") for i, n in sizes.items()], "doc_id long, text string, source string").coalesce(1)
+    quota, seeds = 0.5 * sum(sizes.values()), 6
+    chances = mix_chances(sizes, quota)
+    often = dict.fromkeys(set(sizes.values()), 0)
+    for seed in range(seeds):
+        for r in mixing.mix_report(docs, seed=f"s{seed}").collect():
+            often[r.size] += r.copies - 1
+    assert len({round(p, 9) for p in chances.values()}) == 4
+    for i in range(4):
+        assert often[sizes[i]] / (40 * seeds) == pytest.approx(chances[i], abs=0.11)
+
+
 # ----------------------------------------------------------------------- URLs
 URLS = [None, "", "no scheme", "http://", "https://EXAMPLE.com/en/x?y", "http://a.b.www.example.com/en/", "http://example.com", "http://example.com?/en/",
         "ftp://x.net/es/1#f", "http://net/fr/", "http://xnet/es/", "http://user@Example.COM:80/en/", "http://example.com/EN/", "x://é.com/", "http://.com/",
