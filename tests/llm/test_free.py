@@ -70,11 +70,37 @@ def test_items_of_any_length_are_found_at_the_full_share(length, kind):
     index = decontam.Index([" ".join(i) for i in items])
     texts = [rng.choices(vocabulary, k=rng.randrange(40)) + one_sided(i, kind, rng, vocabulary) + rng.choices(vocabulary, k=rng.randrange(40)) for i in items]
     found = {(r, i): e for r, i, e, _ in index.find(decontam.WordHasher(), pa.array([" ".join(t) for t in texts]))}
-    assert set(found) == {(i, i) for i in range(len(items))}
+    # The walks miss a passage with a chance of 1 - RECALL; what they find is exact.
+    assert set(found) <= {(i, i) for i in range(len(items))} and len(found) >= 0.95 * len(items)
     if length <= 59:
         assert all(e == least_edits(items[i], texts[i]) for (_, i), e in found.items())
 
 
+@pytest.mark.parametrize("length", [8, 10, 13, 21, 40])
+def test_walks_reach_their_recall(length):
+    """On items and edits other than those that the number of walks was chosen by."""
+    rng = np.random.default_rng(length + 1000)
+    edits = int(length * 0.2)
+    assert 1 <= decontam.repetitions(length, edits) < decontam.MOST_WALKS
+    for kind in ("insert", "delete", "replace"):
+        items = rng.integers(1, 2**63, (400, length), dtype=np.uint64)
+        passages, size = decontam.spread_edits(items, edits, kind, rng)
+        texts = [" ".join(f"w{x}" for x in p[:n]) for p, n in zip(passages, size)]
+        index = decontam.Index([" ".join(f"w{x}" for x in item) for item in items])
+        found = index.find(decontam.WordHasher(), pa.array(texts))
+        assert len({r for r, i, _, _ in found if r == i}) >= 0.98 * len(items)
+
+
+def test_walks_fall_into_step_after_an_edit():
+    rng = np.random.default_rng(3)
+    words = rng.integers(1, 2**63, 400, dtype=np.uint64)
+    other = np.delete(words, 200)
+    line = [np.append(w, np.uint64(0)) for w in (words, other)]
+    same = np.mean([np.isin(*(decontam.walk_keys(x, np.arange(len(x) - 1), walk) for x in line)).mean() for walk in range(20)])
+    assert same > 0.96
+    assert decontam.walk_keys(np.zeros(5, np.uint64), np.arange(5), 0).tolist() == [0] * 5
+
+
 def test_passages_start_where_they_are():
     rng, vocabulary = random.Random(5), [f"w{i}" for i in range(5000)]
     items = [rng.choices(vocabulary, k=n) for n in (8, 30, 200) for _ in range(10)]
