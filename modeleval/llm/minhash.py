@@ -13,10 +13,11 @@ a rare shingle down to 1 for one that every document has; hash collisions are fa
 ``e``. The table of weights, one byte a bucket, is what tasks share: its size is fixed.
 
 A bucket of a band is never expanded into all its pairs. Its members are compared with
-one hub (the member that shares most bands), then only members in other components than
-the hub's go on, with more hubs, ``HUB_GROWTH`` times as many each round, until the bucket
-is known to be one component of all links so far or every member has been a hub: no pair that could matter is
-left out. Pairs whose total weights differ by more than the threshold allows are not
+one hub (the member that shares most bands), then buckets that are more than one component
+of all links so far go on with ``HUB_GROWTH`` more hubs, and those that still are with the
+last ones: every member outside the bucket's largest component. Of two members in different
+components one is outside the largest, so no pair that could matter is left out, and a group
+of near copies costs rows for the few that have no link yet, not for the whole group. Pairs whose total weights differ by more than the threshold allows are not
 compared, since their similarity is at most the ratio of the totals. After the first
 round blocks of a bucket's hubs meet parts of its members as sets, about ``PART`` texts of
 each in one call, so no row is made for a pair that is no link.
@@ -308,12 +309,32 @@ def shingle_buckets(members: DataFrame, texts: DataFrame, levels: np.ndarray, th
 
 
 # ----------------------------------------------------------------------- classes
+def _place() -> F.Column:
+    return F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
+
+
+def last_hubs(open_members: DataFrame, tried: int) -> DataFrame:
+    """The members outside their bucket's largest component that are not among its first ``tried``
+    ones, as ``dealt`` takes hubs. Places are dealt by hash, about ``PART`` to a block."""
+    sizes = open_members.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("largest"))
+    # Spark limits the place before the shuffle, so a bucket sends few rows from each task.
+    first = open_members.withColumn("place", _place()).filter(F.col("place") <= tried).groupBy("band").agg(F.min("rank").alias("seen"))
+    blocks = F.ceil((F.col("n") - F.col("largest.c")) / PART).cast("int")
+    return open_members.join(largest, "band").join(first, "band").filter(
+        (F.col("comp") != F.col("largest.comp")) & (F.col("rank") < F.col("seen"))).select(
+        "band", "n", (F.pmod(F.xxhash64("key"), blocks) * PART + 1).alias("place"), F.col("key").alias("hub"), F.col("comp").alias("hub_comp"))
+
+
 def _round(open_members: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float, tried: int) -> tuple[DataFrame, DataFrame]:
     """One round over buckets whose first ``tried`` members have been hubs: the links ``a, b`` found,
-    and the rows of buckets with members that have not been hubs."""
+    and the rows of buckets with pairs that have not been compared. The rounds have 1, then
+    ``HUB_GROWTH`` more, then all hubs that can matter."""
     hubs = tried * HUB_GROWTH + 1  # how many of each bucket have been hubs after this round
-    place = F.row_number().over(W.partitionBy("band").orderBy(F.col("rank").desc()))
-    chosen = open_members.withColumn("place", place).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
+    if tried > 1:
+        links = compare_parts(open_members, last_hubs(open_members, tried), texts, levels, threshold)
+        return materialize(links, "near-links"), open_members.filter(F.lit(False))
+    chosen = open_members.withColumn("place", _place()).filter(F.col("place") <= hubs).filter(F.col("place") > tried).select(
         "band", "n", (F.col("place") - tried).alias("place"), F.col("key").alias("hub"), F.col("total").alias("hub_total"), F.col("comp").alias("hub_comp"))
     if tried == 0:
         pairs = open_members.join(chosen.drop("n", "place"), "band").filter(F.col("comp") != F.col("hub_comp")).filter(

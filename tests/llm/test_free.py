@@ -374,6 +374,61 @@ def test_hubs_are_dealt_into_blocks(spark, monkeypatch):
     assert len({(h, m) for own, hubs in groups.values() for h in hubs for m in own}) == 100 * 100
 
 
+def test_last_hubs_cover_all_components(spark):
+    """Any two members of different components: one is a last hub or was among the first hubs."""
+    rng = random.Random(3)
+    key = lambda i: str(i).zfill(3).encode()
+    size = {1: 120, 2: 40}
+    comp = {(b, i): (0 if b == 1 and i % 4 else rng.randrange(5)) for b in size for i in range(size[b])}
+    members = spark.createDataFrame(
+        [(b, key(i), size[b], (i, key(i)), (c, key(c))) for (b, i), c in comp.items()],
+        "band long, key binary, n long, rank struct<degree:long,key:binary>, comp struct<degree:long,key:binary>")
+    hubs = {(r.band, int(r.hub)) for r in minhash.last_hubs(members, 10).collect()}
+    been = {(b, i) for b, i in comp if i >= size[b] - 10}  # the highest ranks
+    assert hubs and not hubs & been
+    assert all({(b, i), (b, j)} & (hubs | been) for b, i in comp for j in range(i) if comp[b, i] != comp[b, j])
+    assert len({h for h in hubs if h[0] == 1}) < 40  # of 120
+
+
+def weighted_sets(spark, texts):
+    levels = minhash.idf_levels(frame(spark, texts))
+    row, hashes, weight = minhash.weighted_shingles(minhash.WordHasher(), levels, minhash.pa.array(texts))
+    return [(hashes[row == i], weight[row == i]) for i in range(len(texts))]
+
+
+def test_recall_with_a_group_of_a_third_of_all_rows(spark, monkeypatch):
+    """All pairs of weighted Jaccard 0.8 or more, by brute force, in and outside a group that holds a
+    third of all rows: at least 0.95 are in one class, and every class is connected by such pairs."""
+    rng = random.Random(31)
+    prose = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    def edited(words, most):
+        words = list(words)
+        for p in rng.sample(range(len(words)), rng.randrange(most + 1)):
+            words[p] = "x" + str(rng.randrange(10**9))
+        return " ".join(words)
+
+    base, texts = prose(120), []
+    texts += [edited(base, 8) for _ in range(100)]
+    for _ in range(60):
+        own = prose(rng.randrange(40, 200))
+        texts += [" ".join(own), edited(own, max(1, len(own) // 40))]
+    texts += [" ".join(prose(60)) for _ in range(80)]
+    sets = weighted_sets(spark, texts)
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if minhash.weighted_jaccard(sets[i], sets[j]) >= minhash.THRESHOLD]
+    monkeypatch.setattr(minhash, "PART", 16)
+    monkeypatch.setattr(minhash, "HUB_GROWTH", 4)  # all three rounds
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
+    for part in ([p for p in near if p[0] < 100], [p for p in near if p[1] >= 100]):
+        assert len(part) >= 40
+        assert sum(got[i] == got[j] for i, j in part) >= 0.95 * len(part)
+    root = list(range(len(texts)))
+    for i, j in near:
+        a, b = root[i], root[j]
+        root = [a if x == b else x for x in root]
+    assert all(root[i] == root[c] for i, c in got.items())
+
+
 def test_near_duplicate_edges(spark):
     docs = edge_docs(spark)
     got = minhash.near_duplicates(docs).collect()
