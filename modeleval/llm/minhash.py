@@ -238,42 +238,75 @@ def compare_parts(open_members: DataFrame, chosen: DataFrame, texts: DataFrame,
         "band", "part", "block", "is_hub", "key", F.col("comp.key").alias("comp"), "text")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        hasher, hubs, out = WordHasher(), frame[frame.is_hub].reset_index(drop=True), []
-        joined: dict[bytes, bytes] = {}
+        hasher, hubs, members, out = WordHasher(), frame[frame.is_hub], frame[~frame.is_hub], []
+        joined: dict[int, int] = {}
 
-        def root(comp: bytes) -> bytes:
+        def root(comp: int) -> int:
             while comp in joined:
                 comp = joined[comp]
             return comp
 
-        members = frame[~frame.is_hub].reset_index(drop=True)
         if len(hubs) and len(members):
-            row, hashes, weight = _sets(hasher, levels, hubs.text)
-            total = np.bincount(row, weight, len(hubs))
-            order = np.argsort(hashes, kind="stable")
-            row, hashes, weight = row[order], hashes[order], weight[order]
-            hub_comp = hubs.comp.to_numpy()
-            for lo in range(0, len(members), 64):
-                at, h, w = _sets(hasher, levels, members.text[lo:lo + 64])
-                cut = np.searchsorted(at, np.arange(min(64, len(members) - lo) + 1))
-                for i in range(len(cut) - 1):
-                    mine, own = h[cut[i]:cut[i + 1]], w[cut[i]:cut[i + 1]]
-                    first, last = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
-                    many = last - first
-                    pick = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                    both = np.bincount(row[pick], np.minimum(weight[pick], np.repeat(own, many)), len(hubs))
-                    linked = both >= threshold * (total + own.sum() - both)
-                    m = members.iloc[lo + i]
-                    for j in np.flatnonzero(linked & (hub_comp != m.comp)).tolist():
-                        one, other = root(hub_comp[j]), root(m.comp)
-                        if one != other:
-                            joined[other] = one
-                            out.append((hubs.key[j], m.key))
+            sets = [_sets(hasher, levels, side.text) for side in (hubs, members)]
+            both = shared_weight(*sets, len(hubs), len(members))
+            hub_total, total = (np.bincount(s[0], s[2], len(side)) for s, side in zip(sets, (hubs, members)))
+            comps = pd.factorize(pd.concat([hubs.comp, members.comp]))[0]
+            hub_comp, comp = comps[:len(hubs)], comps[len(hubs):]
+            linked = both >= threshold * (hub_total[None, :] + total[:, None] - both)
+            hub_keys, keys = hubs.key.tolist(), members.key.tolist()
+            for i, j in np.argwhere(linked & (hub_comp[None, :] != comp[:, None])).tolist():
+                one, other = root(hub_comp[j]), root(comp[i])
+                if one != other:
+                    joined[other] = one
+                    out.append((hub_keys[j], keys[i]))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return rows.groupBy("band", "part", "block").applyInPandas(compare, "a binary, b binary")
 
 
+def shared_weight(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], n_a: int, n_b: int) -> np.ndarray:
+    """(n_b, n_a) sums of the lesser weights of what each set of ``b`` has in common with each of
+    ``a``, both as (row, hash, weight).
+
+    Shingles that many of both sides have, with one weight, are columns of a matrix product;
+    the others are looked up one by one. Both go in pieces, so memory does not grow with the texts.
+    """
+    both, common = np.zeros((n_b, n_a)), np.intersect1d(a[1], b[1])
+    if not len(common):
+        return both
+    sides = []
+    for row, hashes, weight in (a, b):
+        keep = np.isin(hashes, common)
+        sides.append((row[keep], np.searchsorted(common, hashes[keep]), weight[keep]))
+    (a_row, a_at, a_weight), (b_row, b_at, b_weight) = sides
+    pairs = np.bincount(a_at, minlength=len(common)) * np.bincount(b_at, minlength=len(common))
+    low, high = np.full(len(common), np.inf), np.zeros(len(common))
+    for _, at, weight in sides:
+        np.minimum.at(low, at, weight)
+        np.maximum.at(high, at, weight)
+    wide = (low == high) & (32 * pairs >= n_a * n_b)
+    column = np.where(wide, np.cumsum(wide) - 1, -1)
+    a_column, b_column = column[a_at], column[b_at]
+    for lo in range(0, int(wide.sum()), 2048):
+        left, right = np.zeros((n_a, 2048)), np.zeros((n_b, 2048))
+        mine, own = (a_column >= lo) & (a_column < lo + 2048), (b_column >= lo) & (b_column < lo + 2048)
+        left[a_row[mine], a_column[mine] - lo] = 1
+        right[b_row[own], b_column[own] - lo] = b_weight[own]
+        both += right @ left.T
+    mine, own = np.flatnonzero(a_column < 0), np.flatnonzero(b_column < 0)
+    mine = mine[np.argsort(a_at[mine], kind="stable")]
+    first = np.searchsorted(a_at[mine], np.arange(len(common) + 1))
+    many = np.diff(first)[b_at[own]]
+    ends = np.cumsum(many)
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, 1 << 20):
+        piece = slice(*np.searchsorted(ends, [lo, lo + (1 << 20)], "right"))
+        n, at = many[piece], own[piece]
+        mate = mine[np.repeat(first[b_at[at]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        at = np.repeat(at, n)
+        both += np.bincount(b_row[at] * n_a + a_row[mate], np.minimum(b_weight[at], a_weight[mate]), n_a * n_b).reshape(n_b, n_a)
+    return both
+
+
 def _sets(hasher: WordHasher, levels: np.ndarray, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``weighted_shingles`` of a column of texts, a few at a time."""
     found = []

@@ -396,6 +396,25 @@ def weighted_sets(spark, texts):
     return [(hashes[row == i], weight[row == i]) for i in range(len(texts))]
 
 
+def test_shared_weight_is_the_sum_of_lesser_weights():
+    rng = np.random.default_rng(4)
+    for many, n_a, n_b in ((30, 9, 12), (5000, 20, 15), (200_000, 3, 4), (6000, 256, 300)):
+        sides = []
+        for n in (n_a, n_b):
+            has = [np.sort(rng.choice(many, rng.integers(0, min(many, 3000)), replace=False)) for _ in range(n)]
+            hashes = np.concatenate(has)
+            weight = 1 + hashes % 7 / 7.0
+            weight[hashes % 5 == 0] *= rng.integers(1, 4, int((hashes % 5 == 0).sum()))
+            sides.append((np.repeat(np.arange(n), [len(h) for h in has]), hashes.astype(np.uint64), weight))
+        got = minhash.shared_weight(*sides, n_a, n_b)
+        one = [[dict(zip(s[1][s[0] == i].tolist(), s[2][s[0] == i].tolist())) for i in range(n)] for s, n in zip(sides, (n_a, n_b))]
+        for j in range(0, n_b, 7):
+            for i in range(0, n_a, 5):
+                assert got[j, i] == pytest.approx(sum(min(w, one[0][i][h]) for h, w in one[1][j].items() if h in one[0][i]))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
+    assert not minhash.shared_weight(none, sides[0], 2, 300).any()
+
+
 def test_recall_with_a_group_of_a_third_of_all_rows(spark, monkeypatch):
     """All pairs of weighted Jaccard 0.8 or more, by brute force, in and outside a group that holds a
     third of all rows: at least 0.95 are in one class, and every class is connected by such pairs."""
