@@ -31,7 +31,6 @@ have a common passage part. The buckets of these shingles go through the same ro
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -379,17 +378,24 @@ def _round(open_members: DataFrame, texts: DataFrame, levels: np.ndarray, thresh
     return materialize(links, "near-links"), open_members.filter(F.col("n") > hubs)
 
 
-def still_open(left: DataFrame, found: list[DataFrame], degree: DataFrame) -> DataFrame:
-    """The rows of ``left`` in buckets that are more than one component of all links ``found`` so far.
+def more_components(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The components (``key, comp``) of all links so far: of those before, which ``labels`` stands
+    for, and new ``links``; None if there are none yet."""
+    if links.isEmpty():
+        return labels
+    return connected_components(links if labels is None else links.unionAll(labels.select(F.col("key").alias("a"), F.col("comp").alias("b"))))
+
+
+def still_open(left: DataFrame, labels: DataFrame | None, degree: DataFrame) -> DataFrame:
+    """The rows of ``left`` in buckets that are more than one component (``labels``) of all links so far.
 
     Components are whole: a bucket whose members hang together through other buckets is done,
     and none of its texts is sent again. A component is named by its member of highest rank.
     """
-    linked = reduce(DataFrame.unionAll, found)
-    if not linked.isEmpty():
-        labels = connected_components(linked).join(degree, "key").select("key", F.col("comp").alias("label"), F.struct("degree", "key").alias("rank"))
-        top = labels.groupBy("label").agg(F.max("rank").alias("top"))
-        named = labels.join(top, "label").select("key", "top")
+    if labels is not None:
+        ranked = labels.join(degree, "key").select("key", F.col("comp").alias("label"), F.struct("degree", "key").alias("rank"))
+        top = ranked.groupBy("label").agg(F.max("rank").alias("top"))
+        named = ranked.join(top, "label").select("key", "top")
         left = left.join(named, "key", "left").select("band", "key", "total", "n", "rank", F.coalesce("top", "comp").alias("comp"))
     left = materialize(left, "near-left")
     split = left.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
@@ -413,22 +419,20 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
 
     degree = materialize(degree, "near-degree")
     links, left = _round(open_members, texts, levels, threshold, 0)
-    found = [links]
-    open_members = still_open(left, found, degree)
+    labels = more_components(None, links)
+    open_members = still_open(left, labels, degree)
     for large, tried in ((False, 1), (True, 0)):
         if large:
             some = open_members.filter(F.col("n") > PART)
-            some = some if some.isEmpty() else shingle_buckets(still_open(some, found, degree), texts, levels, threshold)
+            some = some if some.isEmpty() else shingle_buckets(still_open(some, labels, degree), texts, levels, threshold)
         else:
             some = open_members.filter(F.col("n") <= PART)
         while not some.isEmpty():
             links, left = _round(some, texts, levels, threshold, tried)
-            found.append(links)
-            some = left if left.isEmpty() else still_open(left, found, degree)
+            labels = more_components(labels, links)
+            some = left if left.isEmpty() else still_open(left, labels, degree)
             tried = tried * HUB_GROWTH + 1
 
-    linked = reduce(DataFrame.unionAll, found)
-    labels = None if linked.isEmpty() else connected_components(linked)
     own = alone.select("key", "first_id")
     if labels is None:
         return own.select("key", "first_id", F.col("first_id").alias("class_id"), F.col("key").alias("class_key"))
