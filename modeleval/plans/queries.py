@@ -124,13 +124,14 @@ def q_save_perf(spark, sf):
 
 def q_save_sorted(spark, sf):
     """The sorted dump as it lies in the files: each row's rank, and the rank its place has."""
-    ranked = li_perf(spark, sf).select("series", "score", *KEY, "current_record")
-    path = sinks.save_sorted(ranked, scratch_path(spark, "sorted"))
+    ranked = li_perf(spark, sf).select("series", "score", *KEY, "current_record", "_pid")
+    path = sinks.save_sorted(ranked, scratch_path(spark, "sorted"), ranges="_pid")
     rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     first = rows.groupBy("series", "_file").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("series").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     first = first.select("series", "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(first, ["series", "_file"]).select(
+    # One row for each file; without the hint the rows would be shuffled by their file's name.
+    return rows.join(F.broadcast(first), ["series", "_file"]).select(
         "series", *KEY, "current_record", (F.col("_before") + F.col("_row") + 1).alias("written_rank"))
 
 
