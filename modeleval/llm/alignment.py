@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -30,6 +30,11 @@ from modeleval.llm.common import slices
 from modeleval.llm.tokens import PRE_TOKEN, byte_alphabet
 from modeleval.session import materialize
 
+# Working arrays take 50 times the bytes of the texts and more: so much text, and so many links, at a time.
+SLICE = 256 << 10
+LINKS_AT_A_TIME = 1 << 16
+# What a writer of links holds back before it writes a row group.
+ROW_GROUP_BYTES = 16 << 20
 LINKS = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("times", T.LongType())]))
 
 
@@ -52,7 +57,8 @@ class ByteLevel:
         self.path, self.spec = path, spec
 
     def load(self) -> "ByteLevel":
-        self.fast, self.library = self._ranked(), None
+        if self.spec is not None:  # tens of MB, read once
+            self.fast, self.library, self.spec = self._ranked(), None, None
         return self
 
     def _ranked(self):
@@ -208,6 +214,16 @@ class Aligner:
         return offsets, key[first] // len(self.len_b), key[first] % len(self.len_b), times
 
 
+def aligned_batches(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[pa.RecordBatch]:
+    """The rows of ``align`` for batches of ``doc_id, __text``; one call per task."""
+    aligner = None
+    for whole in batches:
+        aligner = aligner or Aligner(path_a, path_b)
+        for batch in slices(whole, "__text", SLICE):
+            found = aligner.align(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found.flatten()], ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
+
+
 def align(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, groups, links`` for every row of ``docs``.
 
@@ -215,20 +231,15 @@ def align(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, id_col: str = "
     holds each (a, b) whose tokens end together, with the number of ``times`` in the text.
     Both vocabulary paths are those of files on every executor. Texts that are null or
     empty, or that either tokenizer does not give back byte for byte, have zeros, an empty
-    ``groups`` and no links. Whole texts are aligned: a task holds about 2 MB of texts, or
-    one longer text. Repeated rows give repeated results; a null id stays null; other
-    columns are not read; an empty table gives no rows. No shuffle.
+    ``groups`` and no links. Whole texts are aligned: a task works on about ``SLICE`` bytes of
+    texts, or one longer text, at a time. Repeated rows give repeated results; a null id stays
+    null; other columns are not read; an empty table gives no rows. No shuffle.
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)] + [
         T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups")] + [T.StructField("groups", T.StringType()), T.StructField("links", LINKS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = None
-        for whole in batches:
-            aligner = aligner or Aligner(vocabulary_a, vocabulary_b)
-            for batch in slices(whole, "__text"):
-                found = aligner.align(batch.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(0), *found.flatten()], schema.names)
+        return aligned_batches(batches, vocabulary_a, vocabulary_b)
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("__text")).mapInArrow(run, schema)
 
@@ -241,6 +252,27 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return counts.join(most, "b").select("a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
 
 
+def link_totals(links: pa.ListArray, per_link: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
+    """For each array that ``per_link(a, b)`` gives, its sum over every row's links, times included.
+
+    Rows are taken in runs of about ``LINKS_AT_A_TIME`` links (one row at least).
+    """
+    ends, lo, parts = np.cumsum(links.value_lengths().to_numpy(zero_copy_only=False)), 0, []
+    while lo < len(links):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LINKS_AT_A_TIME, "right")))
+        run = links.slice(lo, hi - lo)
+        row = np.repeat(np.arange(hi - lo), run.value_lengths().to_numpy(zero_copy_only=False))
+        a, b, times = (x.to_numpy() for x in run.flatten().flatten())
+        sums = []
+        for values in per_link(a, b):
+            total = np.zeros(hi - lo, np.int64)
+            np.add.at(total, row, values * times)
+            sums.append(total)
+        parts.append(sums)
+        lo = hi
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
 def alignment_report(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` for every row.
 
@@ -248,7 +280,8 @@ def alignment_report(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, id_c
     from that table, and a last scan adds them up per document. Edge cases as in ``align``.
     """
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
-    aligned = materialize(align(docs, vocabulary_a, vocabulary_b, id_col, text_col).withColumn("groups", digest), "alignment")
+    aligned = materialize(align(docs, vocabulary_a, vocabulary_b, id_col, text_col).withColumn("groups", digest), "alignment",
+                          {"parquet.block.size": str(ROW_GROUP_BYTES)})
     counts = pair_counts(aligned).toArrow()
     if counts.num_rows > possible_pairs(vocabulary_a, vocabulary_b):
         raise RuntimeError("more linked pairs than the vocabularies allow")
@@ -259,18 +292,15 @@ def alignment_report(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, id_c
     schema = T.StructType([aligned.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in (
         "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")), T.StructField("groups_sha256", T.StringType())])
 
+    def per_link(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        place = np.searchsorted(keys, a.astype(np.int64) << 32 | b.astype(np.int64))
+        return [np.ones(len(a), np.int64), best[place], count[place]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = batch.column(5)
-            size = links.value_lengths().to_numpy(zero_copy_only=False)
-            row, (pa_a, pa_b, pa_times) = np.repeat(np.arange(batch.num_rows), size), links.flatten().flatten()
-            times = pa_times.to_numpy()
-            place = np.searchsorted(keys, pa_a.to_numpy().astype(np.int64) << 32 | pa_b.to_numpy().astype(np.int64))
-            sums = []
-            for per_link in (np.ones(len(times), np.int64), best[place], count[place]):
-                total = np.zeros(batch.num_rows, np.int64)
-                np.add.at(total, row, per_link * times)
-                sums.append(pa.array(total))
+            if not batch.num_rows:
+                continue
+            sums = [pa.array(x) for x in link_totals(batch.column(5), per_link)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *sums, batch.column(4)], schema.names)
 
     return aligned.mapInArrow(run, schema)

@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -166,6 +168,44 @@ def test_linked_tokens_are_suffixes_within_the_bound():
     assert short <= alignment.possible_pairs(A, B) < 50 * max(len(a), len(b))
 
 
+def test_alignment_works_on_a_small_part_of_a_batch_at_a_time():
+    rng = random.Random(3)
+    words = ["token", "Alignment", "été", "x1", "of", "naïve", "<s>", "\n", "2026"]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "__text"])
+    assert batch.nbytes > 4 * alignment.SLICE
+    found = []
+    rows = alignment.aligned_batches(iter([batch.slice(0, 1), batch]), A, B)
+    next(rows)  # the vocabularies are there
+    tracemalloc.start()
+    for part in rows:
+        found.append(part.select(["doc_id", "n_a", "n_b", "n_groups"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20  # 98 MB for slices of 2 MB
+    assert sum(p.num_rows for p in found) == len(texts)
+    assert [i for p in found for i in p["doc_id"].to_pylist()] == list(range(len(texts)))
+
+
+def test_link_totals_are_those_of_every_row_whatever_the_parts(monkeypatch):
+    rng = random.Random(4)
+    rows = [[{"a": rng.randrange(9), "b": rng.randrange(9), "times": rng.randrange(1, 4)} for _ in range(n)] for n in (0, 3, 0, 40, 1, 7, 0, 12, 0)]
+    links = pa.array(rows, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int64())])))
+    expected = [[sum(x["times"] for x in r) for r in rows], [sum(x["a"] * x["b"] * x["times"] for x in r) for r in rows]]
+    seen = []
+
+    def per_link(a, b):
+        seen.append(len(a))
+        return [np.ones(len(a), np.int64), a.astype(np.int64) * b]
+
+    for most in (1, 5, 10, 1000):
+        monkeypatch.setattr(alignment, "LINKS_AT_A_TIME", most)
+        seen.clear()
+        assert [x.tolist() for x in alignment.link_totals(links, per_link)] == expected
+        assert [x.tolist() for x in alignment.link_totals(links.slice(2, 4), per_link)] == [x[2:6] for x in expected]
+        assert max(seen) <= max(most, 40)
+
+
 # ------------------------------------------------------------------- centroids
 def plain_clusters(rows, k, rounds, dims):
     def whole(v):
