@@ -10,6 +10,7 @@ from modeleval.operators import prefix
 from modeleval.operators.performance import performance
 from modeleval.operators.prefix import Packed, local_sums_table, prefix_sums
 from modeleval.plans import catalog as K
+from modeleval.plans import queries
 from modeleval.plans.evaluate import score
 from modeleval.session import scratch_owner, shuffles_removed
 from tests.conftest import SF_SMALL
@@ -124,3 +125,10 @@ def test_partitions_follow_the_bytes_of_the_files(spark, tmp_path, monkeypatch):
     assert prefix._range_partitions(rows.join(rows.select("id"), "id"), None, 5) <= 2 * size * 5 / 10_000 + 1
     made = spark.sparkContext.parallelize([(1, 0.5)] * 10).toDF(["id", "score"]).select("id")
     assert prefix._range_partitions(made, None, 5) == least
+
+
+def test_saved_perf_keeps_no_running_sums(spark):
+    with scratch_owner() as paths:
+        saved = queries.q_save_perf(spark, SF_SMALL)
+    kept = [os.path.basename(p).rsplit("-", 1)[0] for p in paths if os.path.exists(p)]
+    assert kept == ["perf"] and saved.count() > 0
